@@ -20,15 +20,18 @@ from collections.abc import Iterator
 from itertools import chain
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
 
-#: Words kept per worker; the table is emptied when it is full, which bounds its memory.
-CACHE_WORDS = 200_000
+#: Entries of a table of words; a worker keeps at most two tables of each kind, which bounds its memory.
+CACHE_WORDS = 300_000
 CONTROL = re.compile("[\x1c-\x1f]")
 BLANKS = re.compile("[^\\S\x1c-\x1f]+")
+#: Text of these alone has one normal form and one-to-one lower case in every Unicode version.
+LATIN = re.compile("[\x00-\xff]+")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -58,39 +61,67 @@ class Bpe:
         # Unicode tables (case, letters) are the library's; the merging below is ours.
         library = Tokenizer.from_str(spec)
         self.normalise, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
+        # Byte-level alphabet: printable bytes stand for themselves, the others for 256 and up, in order.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in set(printable)]
+        self.letters = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+        # The library's own split pattern, when the file has the form that we know; else every chunk goes to the library.
+        steps = data["pre_tokenizer"].get("pretokenizers", [])
+        known = [x["type"] for x in steps] == ["Split", "ByteLevel"] and [x["type"] for x in data["normalizer"].get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        self.pattern = regex.compile(steps[0]["pattern"]["Regex"]) if known else None
+        self.words: dict[str, list[int]] = {}
 
     def word(self, word: str) -> list[int]:
         """Ids of one pre-token."""
-        symbols = [self.vocab[c] for c in word[:-1]] + [self.vocab[word[-1] + self.suffix]]
+        vocab, merges = self.vocab, self.merges
+        symbols = [vocab[c] for c in word[:-1]] + [vocab[word[-1] + self.suffix]]
         n = len(symbols)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap: list[tuple[int, int, int, int, int]] = []
+        heap = []
+        for i, pair in enumerate(zip(symbols, symbols[1:])):
+            if pair in merges:
+                rank, merged = merges[pair]
+                heap.append((rank, i, *pair, merged))
+        heapq.heapify(heap)
+
+        def push(i: int, j: int) -> None:
+            pair = symbols[i], symbols[j]
+            if pair in merges:
+                rank, merged = merges[pair]
+                heapq.heappush(heap, (rank, i, *pair, merged))
 
-        def push(i: int) -> None:
-            j = after[i]
-            if j >= 0 and (found := self.merges.get((symbols[i], symbols[j]))):
-                heapq.heappush(heap, (found[0], i, symbols[i], symbols[j], found[1]))
-
-        for i in range(n - 1):
-            push(i)
         while heap:
             _, i, left, right, merged = heapq.heappop(heap)
             j = after[i]
             if symbols[i] != left or j < 0 or symbols[j] != right:
                 continue  # stale: one of both has been merged meanwhile
             symbols[i], symbols[j] = merged, -1
-            after[i] = after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
+            k = after[i] = after[j]
             after[j] = -1
-            push(i)
+            if k >= 0:
+                before[k] = i
+                push(i, k)
             if before[i] >= 0:
-                push(before[i])
+                push(before[i], i)
         return [s for s in symbols if s >= 0]
 
     def chunk(self, text: str) -> list[int]:
         """Ids of text without white space and special tokens. White space never lies within a pre-token."""
-        return list(chain.from_iterable(self.word(w) for w, _ in self.split(self.normalise(text))))
+        if self.pattern is None or not LATIN.fullmatch(text):
+            return list(chain.from_iterable(self.word(w) for w, _ in self.split(self.normalise(text))))
+        ids: list[int] = []
+        text = text.lower()
+        for w in (text,) if text.isalpha() else self.pattern.findall(text):
+            if w not in self.words:
+                if len(self.words) >= CACHE_WORDS:
+                    self.words.clear()
+                coded = self.word(w if w.isascii() and w.isprintable() else "".join(map(self.letters.__getitem__, w.encode())))
+                if len(w) > 100:
+                    ids += coded
+                    continue
+                self.words[w] = coded
+            ids += self.words[w]
+        return ids
 
     def chunks(self, text: str | None) -> Iterator[tuple[str, bool]]:
         """The white-space-free chunks of a text, and whether each is a special token."""
@@ -112,17 +143,20 @@ class Bpe:
 
 
 class Cache(dict):
-    """chunk -> what make(ids of the chunk) gives; emptied when full."""
+    """chunk -> what make(ids of the chunk) gives. Two generations: the older is dropped when the younger is full."""
 
     def __init__(self, bpe: Bpe, make):
-        self.bpe, self.make = bpe, make
+        self.bpe, self.make, self.older = bpe, make, {}
 
     def __missing__(self, chunk: str):
+        if (value := self.older.get(chunk)) is None:
+            value = self.make(self.bpe.chunk(chunk))
+            if len(chunk) > 100:
+                return value
         if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
-        value = self.make(self.bpe.chunk(chunk))
-        if len(chunk) <= 200:
-            self[chunk] = value
+        self[chunk] = value
         return value
 
     def each(self, text: str | None):
@@ -133,6 +167,7 @@ class Cache(dict):
 
 
 _loaded: dict[int, Bpe] = {}
+_caches: dict[tuple[int, str], Cache] = {}
 
 
 def loaded(spec: str) -> Bpe:
@@ -140,10 +175,25 @@ def loaded(spec: str) -> Bpe:
     key = hash(spec)
     if key not in _loaded:
         _loaded.clear()
+        _caches.clear()
         _loaded[key] = Bpe(spec)
     return _loaded[key]
 
 
+def cached(spec: str, kind: str) -> Cache:
+    """One cache per worker, file and kind of value; it outlives the task."""
+    key = hash(spec), kind
+    if key not in _caches:
+        bpe = loaded(spec)
+        make = {
+            "ids": list,
+            "strings": lambda ids: (len(ids), " ".join(map(str, ids)), bpe.decode(ids)),
+            "packed": lambda ids: struct.pack(f"<{len(ids)}I", *ids),
+        }[kind]
+        _caches[key] = Cache(bpe, make)
+    return _caches[key]
+
+
 def shared(spark: SparkSession, path: str | None):
     """The tokenizer file (under 2 MB) is read on the driver, so that executors need no local copy."""
     with open(path or tokenizer_path(), encoding="utf-8") as f:
@@ -155,7 +205,7 @@ def encode(df: DataFrame, path: str | None = None) -> DataFrame:
     spec = shared(df.sparkSession, path)
 
     def run(batches):
-        ids = Cache(loaded(spec.value), list)
+        ids = cached(spec.value, "ids")
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf.doc_id, "ids": [list(chain.from_iterable(ids.each(t))) for t in pdf.text]})
 
@@ -180,7 +230,7 @@ def round_trip(df: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches):
         bpe = loaded(spec.value)
-        both = Cache(bpe, lambda ids: (len(ids), " ".join(map(str, ids)), bpe.decode(ids)))
+        both = cached(spec.value, "strings")
         for pdf in batches:
             rows = []
             for doc_id, text in zip(pdf.doc_id, pdf.text):
@@ -198,7 +248,7 @@ def windows(df: DataFrame, size: int, end_id: int, path: str | None = None) -> D
     end = struct.pack("<I", end_id)
 
     def run(batches):
-        packed = Cache(loaded(spec.value), lambda ids: struct.pack(f"<{len(ids)}I", *ids))
+        packed = cached(spec.value, "packed")
         for pdf in batches:
             rows = []
             for doc_id, text in zip(pdf.doc_id, pdf.text):
