@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, documents
 
-MOST, FOLDS, THRESHOLD = 20_000, 5, 0.3
-BINS, STEPS, RATE, DECAY = 12, 400, 0.05, 1e-4
+MOST, FOLDS, THRESHOLD = 10_000, 5, 0.3
+BINS, STEPS, RATE, DECAY = 12, 1500, 0.1, 1e-5
 FEATURES = ["length", "upper", "digit", "symbol", "bar", "shout", "distinct", "repeated", "word", "stop", "line", "other"]
 
 
@@ -91,10 +91,8 @@ def trained(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Addit
     m, v = np.zeros(size + 1), np.zeros(size + 1)
 
     def pull(b: np.ndarray, g: np.ndarray) -> np.ndarray:
-        out = np.zeros(size + 1)
-        np.add.at(out, b.ravel(), np.repeat(g, b.shape[1]))
-        out[-1] = g.sum()
-        return out / len(b)
+        sums = np.bincount(b.ravel(), np.repeat(g, b.shape[1]), minlength=size)
+        return np.append(sums, g.sum()) / len(b)
 
     for step in range(1, STEPS + 1):
         fp, fu = model.raw(p), model.raw(u)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, packing
+from . import bpe, embeddings, fingerprints, jaccard, packing, pii, quality, secrets, sharding, suffixes
 
-MODULES = [bpe, packing]
+MODULES = [embeddings, sharding, bpe, pii, fingerprints, suffixes, jaccard, quality, secrets, packing]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
