@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from . import jobs, relations, scalars
 
-
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+MODULES = [scalars, relations, jobs]
+QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
+SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
+flagship = jobs.flagship
