@@ -99,7 +99,8 @@ def differing(pairs: DataFrame, retries: int = RETRIES) -> DataFrame:
     for level in range(retries):
         blocks = F.greatest(F.lit(1), F.ceil((F.size("x") + F.size("y")) / F.lit(4 * LOAD))) * 4**level
         signed = F.concat(F.transform("x", lambda d: F.struct(F.lit(1).alias("c"), d.alias("d"))), F.transform("y", lambda d: F.struct(F.lit(-1).alias("c"), d.alias("d"))))
-        units = left.select("rid", "pair", blocks.alias("blocks"), F.explode(signed).alias("u")).select("rid", "pair", "u.c", "u.d", F.pmod(F.xxhash64("u.d", F.lit(3)), F.col("blocks")).alias("block"))
+        dealt = left.repartition("rid")  # all groupings below include rid, so nothing else is shuffled
+        units = dealt.select("rid", "pair", blocks.alias("blocks"), F.explode(signed).alias("u")).select("rid", "pair", "u.c", "u.d", F.pmod(F.xxhash64("u.d", F.lit(3)), F.col("blocks")).alias("block"))
         cells = sketched(units, ["rid", "pair", "block"]).where("c != 0 or d != 0")
         block = cells.groupBy("rid", "pair", "block").agg(F.collect_list(F.struct("i", "c", "d", "h")).alias("cells")).select("rid", "pair", peeled(F.col("cells")).alias("n"))
         tried = cut(block.groupBy("rid", "pair").agg(F.sum("n").alias("n"), F.max(F.col("n").isNull()).alias("hidden")))
@@ -156,18 +157,19 @@ def compare(df: DataFrame) -> DataFrame:
         digests(text, own).alias("a"), digests(edited, own).alias("e"), digests(edited, unit_of(F.length(edited))).alias("ef"),
         digests(text, wide).alias("w"), digests(following, wide).alias("n"),
     )
-    main = cut(sets.repartition("rid"))  # written once, so rid stays as it is
+    main = cut(sets)  # written once, so rid stays as it is
+    dealt = main.repartition("rid")
     pair = lambda k, x, y: F.struct(F.lit(k).alias("pair"), F.col(x).alias("x"), F.col(y).alias("y"))
     pairs = main.select("rid", F.explode(F.array(pair(0, "a", "e"), pair(1, "w", "n"))).alias("p")).select("rid", "p.*")
     n = differing(pairs.where(F.size("x") + F.size("y") > 0)).groupBy("rid").agg(F.max(F.when(F.col("pair") == 0, F.col("n"))).alias("n0"), F.max(F.when(F.col("pair") == 1, F.col("n"))).alias("n1"))
-    own_sets = main.select("rid", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("a").alias("d")), F.struct(F.lit(1).alias("which"), F.col("ef").alias("d")))).alias("s")).select("rid", "s.*")
+    own_sets = dealt.select("rid", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("a").alias("d")), F.struct(F.lit(1).alias("which"), F.col("ef").alias("d")))).alias("s")).select("rid", "s.*")
     prints = fingerprints(own_sets).groupBy("rid").agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("f0"), F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("f1"))
 
     def like(x: str, y: str, n: str) -> Column:
         both, d = F.size(x) + F.size(y), F.coalesce(n, F.lit(0))
         return F.when(both == 0, 1.0).otherwise((both - d) / (both + d))
 
-    return main.join(n, "rid", "left").join(prints, "rid", "left").select(
+    return dealt.join(n, "rid", "left").join(prints, "rid", "left").select(
         "doc_id", "n_chars", "edited_sha256", F.coalesce("f0", F.lit("")).alias("fingerprint"), F.coalesce("f1", F.lit("")).alias("edited_fingerprint"),
         like("a", "e", "n0").alias("near_edited"), like("w", "n", "n1").alias("near_next"),
     )
