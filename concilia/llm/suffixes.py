@@ -25,7 +25,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,7 +88,7 @@ def suffix_order(data: np.ndarray) -> np.ndarray:
     """
     w = words(data)
     n = len(w)
-    order = np.argsort(w, kind="stable")
+    order = np.argsort(w)
     new = np.concatenate([[True], w[order][1:] != w[order][:-1]])
     rank = np.empty(n, dtype=np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
@@ -101,7 +101,7 @@ def suffix_order(data: np.ndarray) -> np.ndarray:
         ahead = at + h
         key = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
         own = rank[at]
-        by = np.lexsort((key, own))
+        by = np.argsort(own * (n + 1) + key)
         at, key, own = at[by], key[by], own[by]
         order[again] = at
         new[again] = np.concatenate([[True], (own[1:] != own[:-1]) | (key[1:] != key[:-1])])
@@ -110,7 +110,7 @@ def suffix_order(data: np.ndarray) -> np.ndarray:
     return order
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lanes: int = 2048) -> np.ndarray:
+def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lanes: int = 16_384) -> np.ndarray:
     """lcp[k]: how many bytes order[k] and order[k + 1] share, up to ``most``.
 
     Kasai's rule: going through the text, the common prefix of a suffix with its successor in order
@@ -215,7 +215,7 @@ class Shard:
         return list(zip(piece.tolist(), (first - self.starts[piece]).tolist(), (end - self.starts[piece]).tolist()))
 
 
-PIECE = "anchor long, digest string"
+PIECE = "anchor long, digest binary"
 
 
 def located(df: DataFrame, length: int) -> DataFrame:
@@ -227,10 +227,10 @@ def located(df: DataFrame, length: int) -> DataFrame:
             for name, text in zip(pdf.name, pdf.text):
                 raw = (text or "").encode()
                 for a, b, anchor in pieces_of(np.frombuffer(raw, dtype=np.uint8), length):
-                    rows.append((name, anchor, xxhash.xxh128_hexdigest(raw[a : b + length]), a, b))
+                    rows.append((name, anchor, xxhash.xxh128_digest(raw[a : b + length]), a, b))
             yield pd.DataFrame(rows, columns=["name", "anchor", "digest", "first", "last"])
 
-    return df.select("name", "text").mapInPandas(run, "name string, anchor long, digest string, first int, last int")
+    return df.select("name", "text").mapInPandas(run, "name binary, anchor long, digest binary, first int, last int")
 
 
 def fetched(df: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -317,8 +317,13 @@ def without(raw: bytes, cuts: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, raw[at:]])
 
 
+def name_of() -> Column:
+    """128 bits for a doc_id and text."""
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text_key(F.col("text")))))
+
+
 def named(df: DataFrame) -> DataFrame:
-    return df.withColumn("name", F.concat_ws(":", F.col("doc_id").cast("string"), text_key(F.col("text"))))
+    return df.withColumn("name", name_of())
 
 
 def judged(df: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -351,7 +356,7 @@ def whole_characters(raw: bytes, cuts: list[tuple[int, int]]) -> list[tuple[int,
 
 def cleaned(df: DataFrame, length: int = LENGTH) -> DataFrame:
     """df with repeated passages taken out of its text (null stays null); all other columns as they are."""
-    rows = df.withColumn("_name", F.concat_ws(":", F.col("doc_id").cast("string"), text_key(F.col("text"))))
+    rows = df.withColumn("_name", name_of())
     found = spans(rows.select(F.col("_name").alias("name"), "text"), length).withColumnsRenamed({"name": "_name", "spans": "_spans"})
 
     @F.pandas_udf(T.StringType())
