@@ -11,12 +11,12 @@ rows are encoded separately. Other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
 import re
 import struct
 import zlib
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import pandas as pd
@@ -27,7 +27,11 @@ from pyspark.sql import functions as F
 from .common import documents
 
 #: Entries of a table of words; a worker keeps at most two tables of each kind, which bounds its memory.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
+#: Slots that note by hash which words have been met once; only words met again enter a table.
+SEEN_SLOTS = 1 << 22
+#: Places in a word of usual length; a longer word takes its own length.
+WIDE = 1024
 CONTROL = re.compile("[\x1c-\x1f]")
 BLANKS = re.compile("[^\\S\x1c-\x1f]+")
 #: Text of these alone has one normal form and one-to-one lower case in every Unicode version.
@@ -40,6 +44,27 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class Recent(dict):
+    """word -> make(word), kept from the second time on. Two generations: the older is dropped when the younger is full."""
+
+    def __init__(self, make):
+        self.make, self.older, self.seen = make, {}, bytearray(SEEN_SLOTS)
+
+    def __missing__(self, word: str):
+        if (value := self.older.get(word)) is None:
+            value = self.make(word)
+            slot = hash(word) & (SEEN_SLOTS - 1)
+            if len(word) > 100 or not self.seen[slot]:
+                self.seen[slot] = 1
+                return value
+        if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+            self.seen = bytearray(SEEN_SLOTS)
+        self[word] = value
+        return value
+
+
 class Bpe:
     """The model part of a tokenizer file: vocabulary and merges."""
 
@@ -52,10 +77,11 @@ class Bpe:
         self.suffix = model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.strings = {i: s for s, i in (self.vocab | self.special).items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, pair in enumerate(model["merges"]):
-            left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[self.vocab[left], self.vocab[right]] = (rank, self.vocab[left + right])
+        pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in model["merges"]]
+        self.lefts, self.rights = [self.vocab[a] for a, _ in pairs], [self.vocab[b] for _, b in pairs]
+        self.becomes = [self.vocab[a + b] for a, b in pairs]
+        #: (left id, right id) as one number -> rank
+        self.merges = {a << 32 | b: rank for rank, (a, b) in enumerate(zip(self.lefts, self.rights))}
         self.joined = "" if data.get("decoder") else " "  # without a decoder the library joins by blanks
         self.specials = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         # Unicode tables (case, letters) are the library's; the merging below is ours.
@@ -69,42 +95,45 @@ class Bpe:
         steps = data["pre_tokenizer"].get("pretokenizers", [])
         known = [x["type"] for x in steps] == ["Split", "ByteLevel"] and [x["type"] for x in data["normalizer"].get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
         self.pattern = regex.compile(steps[0]["pattern"]["Regex"]) if known else None
-        self.words: dict[str, list[int]] = {}
+        self.words = Recent(self._coded)
 
     def word(self, word: str) -> list[int]:
-        """Ids of one pre-token."""
-        vocab, merges = self.vocab, self.merges
-        symbols = [vocab[c] for c in word[:-1]] + [vocab[word[-1] + self.suffix]]
+        """Ids of one pre-token. A heap entry is rank * WIDE + place; the rank names the pair and what it becomes."""
+        vocab, merges, lefts, rights, becomes = self.vocab, self.merges, self.lefts, self.rights, self.becomes
+        symbols = [*map(vocab.__getitem__, word[:-1]), vocab[word[-1] + self.suffix]]
         n = len(symbols)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        wide = WIDE if n < WIDE else n
         heap = []
-        for i, pair in enumerate(zip(symbols, symbols[1:])):
-            if pair in merges:
-                rank, merged = merges[pair]
-                heap.append((rank, i, *pair, merged))
-        heapq.heapify(heap)
-
-        def push(i: int, j: int) -> None:
-            pair = symbols[i], symbols[j]
-            if pair in merges:
-                rank, merged = merges[pair]
-                heapq.heappush(heap, (rank, i, *pair, merged))
-
+        left = symbols[0]
+        for i in range(1, n):
+            right = symbols[i]
+            if (rank := merges.get(left << 32 | right, -1)) >= 0:
+                heap.append(rank * wide + i - 1)
+            left = right
+        if not heap:
+            return symbols
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        heapify(heap)
         while heap:
-            _, i, left, right, merged = heapq.heappop(heap)
+            rank, i = divmod(heappop(heap), wide)
             j = after[i]
-            if symbols[i] != left or j < 0 or symbols[j] != right:
+            if symbols[i] != lefts[rank] or j < 0 or symbols[j] != rights[rank]:
                 continue  # stale: one of both has been merged meanwhile
-            symbols[i], symbols[j] = merged, -1
+            symbols[i] = merged = becomes[rank]
+            symbols[j] = -1
             k = after[i] = after[j]
             after[j] = -1
             if k >= 0:
                 before[k] = i
-                push(i, k)
-            if before[i] >= 0:
-                push(before[i], i)
+                if (rank := merges.get(merged << 32 | symbols[k], -1)) >= 0:
+                    heappush(heap, rank * wide + i)
+            if (k := before[i]) >= 0 and (rank := merges.get(symbols[k] << 32 | merged, -1)) >= 0:
+                heappush(heap, rank * wide + k)
         return [s for s in symbols if s >= 0]
 
+    def _coded(self, w: str) -> list[int]:
+        return self.word(w if w.isascii() and w.isprintable() else "".join(map(self.letters.__getitem__, w.encode())))
+
     def chunk(self, text: str) -> list[int]:
         """Ids of text without white space and special tokens. White space never lies within a pre-token."""
         if self.pattern is None or not LATIN.fullmatch(text):
@@ -112,14 +141,6 @@ class Bpe:
         ids: list[int] = []
         text = text.lower()
         for w in (text,) if text.isalpha() else self.pattern.findall(text):
-            if w not in self.words:
-                if len(self.words) >= CACHE_WORDS:
-                    self.words.clear()
-                coded = self.word(w if w.isascii() and w.isprintable() else "".join(map(self.letters.__getitem__, w.encode())))
-                if len(w) > 100:
-                    ids += coded
-                    continue
-                self.words[w] = coded
             ids += self.words[w]
         return ids
 
@@ -142,27 +163,17 @@ class Bpe:
         return self.joined.join(map(self.strings.__getitem__, ids))
 
 
-class Cache(dict):
-    """chunk -> what make(ids of the chunk) gives. Two generations: the older is dropped when the younger is full."""
+class Cache(Recent):
+    """chunk -> what make(ids of the chunk) gives."""
 
     def __init__(self, bpe: Bpe, make):
-        self.bpe, self.make, self.older = bpe, make, {}
-
-    def __missing__(self, chunk: str):
-        if (value := self.older.get(chunk)) is None:
-            value = self.make(self.bpe.chunk(chunk))
-            if len(chunk) > 100:
-                return value
-        if len(self) >= CACHE_WORDS:
-            self.older = dict(self)
-            self.clear()
-        self[chunk] = value
-        return value
+        super().__init__(lambda chunk: make(bpe.chunk(chunk)))
+        self.bpe, self.of_ids = bpe, make
 
     def each(self, text: str | None):
         """Of each chunk of text, in order."""
         if not text or (self.bpe.specials and "<|" in text) or CONTROL.search(text):
-            return [self.make([self.bpe.special[c]]) if special else self[c] for c, special in self.bpe.chunks(text)]
+            return [self.of_ids([self.bpe.special[c]]) if special else self[c] for c, special in self.bpe.chunks(text)]
         return map(self.__getitem__, text.split())
 
 
