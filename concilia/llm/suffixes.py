@@ -4,7 +4,9 @@ Every byte covered by a string of ``length`` bytes that also starts anywhere els
 
 1. Each window of ``length`` bytes has an anchor: its leftmost 32-byte gram of smallest hash. Equal
    windows have equal anchors, at equal places. Windows next to each other that share an anchor form
-   a piece; only its digest and place are shuffled. A piece that occurs twice is repeated throughout.
+   a piece; only its digest and place are shuffled. Pieces whose anchor occurs once hold nothing
+   that is repeated and are left out; a piece that occurs twice is repeated throughout. Pieces are
+   told apart by anchor and digest, 128 bits together.
 2. Different pieces with one anchor may share some windows. Their bytes go to shards by anchor. A
    shard sorts its suffixes (Larsson-Sadakane refinement) and finds
    common prefixes of neighbours (Kasai's rule, many stretches of text in step): windows with a
@@ -25,6 +27,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -215,7 +218,18 @@ class Shard:
         return list(zip(piece.tolist(), (first - self.starts[piece]).tolist(), (end - self.starts[piece]).tolist()))
 
 
-PIECE = "anchor long, digest binary"
+PIECE = "anchor long, digest long"
+
+
+@F.pandas_udf(T.BinaryType())
+def squeezed(text: pd.Series) -> pd.Series:
+    """Texts as they are shuffled: UTF-8, compressed; null stays null."""
+    squeeze = zstandard.ZstdCompressor().compress
+    return pd.Series([None if t is None else squeeze(t.encode()) for t in text], dtype=object)
+
+
+def raw_of(packed: bytes | None) -> bytes:
+    return b"" if packed is None else zstandard.decompress(packed)
 
 
 def located(df: DataFrame, length: int) -> DataFrame:
@@ -227,10 +241,11 @@ def located(df: DataFrame, length: int) -> DataFrame:
             for name, text in zip(pdf.name, pdf.text):
                 raw = (text or "").encode()
                 for a, b, anchor in pieces_of(np.frombuffer(raw, dtype=np.uint8), length):
-                    rows.append((name, anchor, xxhash.xxh128_digest(raw[a : b + length]), a, b))
-            yield pd.DataFrame(rows, columns=["name", "anchor", "digest", "first", "last"])
+                    rows.append((name, anchor, xxhash.xxh3_64_intdigest(raw[a : b + length]), a, b))
+            out = pd.DataFrame(rows, columns=["name", "anchor", "digest", "first", "last"])
+            yield out.assign(digest=out.digest.to_numpy(dtype=np.uint64).view(np.int64))
 
-    return df.select("name", "text").mapInPandas(run, "name binary, anchor long, digest binary, first int, last int")
+    return df.select("name", "text").mapInPandas(run, f"name binary, {PIECE}, first int, last int")
 
 
 def fetched(df: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -240,12 +255,12 @@ def fetched(df: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for pdf in batches:
             rows = []
-            for text, places_ in zip(pdf.text, pdf.places):
-                raw = (text or "").encode()
+            for packed, places_ in zip(pdf.packed, pdf.places):
+                raw = raw_of(packed)
                 rows += [(p["anchor"], p["digest"], raw[p["first"] : p["last"] + length]) for p in places_]
             yield pd.DataFrame(rows, columns=["anchor", "digest", "piece"])
 
-    return df.select("name", "text").join(places, "name").select("text", "places").mapInPandas(run, f"{PIECE}, piece binary")
+    return df.select("name", squeezed("text").alias("packed")).join(places, "name").select("packed", "places").mapInPandas(run, f"{PIECE}, piece binary")
 
 
 def sorted_out(units: DataFrame, length: int) -> DataFrame:
@@ -277,14 +292,16 @@ def sorted_out(units: DataFrame, length: int) -> DataFrame:
                 x.merge(y)
                 tell(x, left)
                 tell(y, right)
-        return pd.DataFrame(out, columns=["anchor", "digest", "a", "b"]).astype({"anchor": "int64", "a": "int32", "b": "int32"})
+        return pd.DataFrame(out, columns=["anchor", "digest", "a", "b"]).astype({"anchor": "int64", "digest": "int64", "a": "int32", "b": "int32"})
 
     return units.groupBy("_shard").applyInPandas(run, f"{PIECE}, a int, b int")
 
 
 def spans(df: DataFrame, length: int = LENGTH) -> DataFrame:
     """name, spans: array<struct<start, end>> of repeated bytes, for df (name, text); documents without any are left out."""
-    pieces = cut(located(df, length))
+    every = cut(located(df, length))
+    twice = cut(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
+    pieces = cut(every.join(twice, "anchor", "left_semi"))
     kinds = cut(pieces.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min(F.struct("name", "first", "last")).alias("at")))
     shared = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     several = kinds.join(shared, "anchor", "left_semi")
@@ -333,12 +350,13 @@ def judged(df: DataFrame, length: int = LENGTH) -> DataFrame:
     def run(batches):
         for pdf in batches:
             out = []
-            for doc_id, text, found in zip(pdf.doc_id, pdf.text, pdf.spans):
-                raw, cuts = (text or "").encode(), merged(found)
+            for doc_id, packed, found in zip(pdf.doc_id, pdf.packed, pdf.spans):
+                raw, cuts = raw_of(packed), merged(found)
                 out.append((doc_id, len(raw), sum(b - a for a, b in cuts), len(cuts), hashlib.sha256(without(raw, cuts)).hexdigest()))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]).astype({"doc_id": "Int64"})
 
-    return rows.join(spans(rows, length), "name", "left").select("doc_id", "text", "spans").mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    packed = rows.select("doc_id", "name", squeezed("text").alias("packed"))
+    return packed.join(spans(rows, length), "name", "left").select("doc_id", "packed", "spans").mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def whole_characters(raw: bytes, cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -360,15 +378,15 @@ def cleaned(df: DataFrame, length: int = LENGTH) -> DataFrame:
     found = spans(rows.select(F.col("_name").alias("name"), "text"), length).withColumnsRenamed({"name": "_name", "spans": "_spans"})
 
     @F.pandas_udf(T.StringType())
-    def kept(text: pd.Series, found_: pd.Series) -> pd.Series:
+    def kept(packed: pd.Series, found_: pd.Series) -> pd.Series:
         out = []
-        for t, s in zip(text, found_):
-            raw = (t or "").encode()
-            out.append(without(raw, whole_characters(raw, merged(s))).decode() if t else t)
-        return pd.Series(out)
+        for p, s in zip(packed, found_):
+            raw = raw_of(p)
+            out.append(None if p is None else without(raw, whole_characters(raw, merged(s))).decode())
+        return pd.Series(out, dtype=object)
 
-    joined = rows.join(found, "_name", "left")
-    return joined.withColumn("text", F.when(F.col("_spans").isNotNull(), kept("text", "_spans")).otherwise(F.col("text"))).select(*df.columns)
+    joined = rows.withColumn("_packed", squeezed("text")).drop("text").join(found, "_name", "left")
+    return joined.withColumn("text", kept("_packed", "_spans")).select(*df.columns)
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
