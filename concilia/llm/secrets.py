@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns, and a randomness test battery for other tokens; DataFrame functions only.
 
-Tokens of 20 and more characters with a digit and a letter get an encoding (hex, base32, base64) by
-their characters. Under the hypothesis that a token is random in its encoding, three tests follow:
+Tokens of 20 and more characters with a digit and a letter get an encoding (hex, also with dashes or
+0x, base32, base36, base62, base64) by their characters; a token of any other mix gets the classes of
+letters and the signs that it has. A '=' inside ends a token, so the value of NAME=value is one. Under the hypothesis that a token is random in its encoding, three tests follow:
 chi-squared uniformity over the alphabet (with the exact mean and variance for its length), runs
 above and below the middle, and serial correlation at lag one; their p-values are combined by the
 Cauchy rule. Within each stratum of lengths a Benjamini-Hochberg threshold, read off a histogram of
@@ -24,15 +25,21 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ["assign", "access", "hex", "random"]
 
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+TOKEN = r"[A-Za-z0-9+/_-]{20,}(?:=++(?![A-Za-z0-9+/_-]))?"
 MIXED = r"(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])"
 Q = 0.01
+LOWER, UPPER, DIGITS, SIGNS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/_-"
+# Dashes and 0x of hex are form; they are left out of the tests.
+FORMED = r"^(?:0[xX])?(?:[0-9a-f]+(?:-[0-9a-f]+)*|[0-9A-F]+(?:-[0-9A-F]+)*)$"
 ENCODINGS = [  # name, what a token must match, alphabet
     ("hex", r"^[0-9a-f]+$", "0123456789abcdef"),
     ("hex", r"^[0-9A-F]+$", "0123456789ABCDEF"),
-    ("base32", r"^[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
-    ("base64", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
-    ("base64url", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("base32", r"^[A-Z2-7]+$", UPPER + "234567"),
+    ("base36", r"^[a-z0-9]+$", LOWER + DIGITS),
+    ("base36", r"^[A-Z0-9]+$", UPPER + DIGITS),
+    ("base62", r"^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS),
+    ("base64", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"),
+    ("base64url", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_"),
 ]
 
 
@@ -71,13 +78,18 @@ def tail(z: Column) -> Column:
 
 
 def tested(tokens: Column) -> Column:
-    """Add p to each token's struct: how likely one as uneven is when the token is random; null without an encoding."""
+    """Add p to each token's struct: how likely one as uneven is when the token is random."""
+
+    def bare(c: Column) -> Column:
+        token = F.regexp_replace(c["token"], "=+$", "")
+        return F.struct(c["start"].alias("start"), c["end"].alias("end"), F.when(token.rlike(FORMED), F.regexp_replace(token, "^0[xX]|-", "")).otherwise(token).alias("token"))
 
     def coded(c: Column) -> Column:
-        letters = F.lit(None).cast("string")
+        has = lambda pattern, letters: F.when(c["token"].rlike(pattern), letters).otherwise("")
+        letters = F.concat(has("[A-Z]", UPPER), has("[a-z]", LOWER), F.lit(DIGITS), *[has(rf"\{s}" if s in "+-" else s, s) for s in SIGNS])
         for _, pattern, alphabet in reversed(ENCODINGS):
             letters = F.when(c["token"].rlike(pattern), F.lit(alphabet)).otherwise(letters)
-        return F.struct(c["start"].alias("start"), c["end"].alias("end"), F.regexp_replace(c["token"], "=+$", "").alias("token"), letters.alias("letters"))
+        return F.struct(c["start"].alias("start"), c["end"].alias("end"), c["token"].alias("token"), letters.alias("letters"))
 
     def indexed(c: Column) -> Column:
         x = F.transform(F.split(c["token"], ""), lambda ch: F.instr(c["letters"], ch) - 1)
@@ -114,7 +126,7 @@ def tested(tokens: Column) -> Column:
         p = F.greatest(0.5 - F.atan(cauchy) / F.lit(3.141592653589793), F.lit(1e-15))
         return F.struct(c["start"].alias("start"), c["end"].alias("end"), n.cast("int").alias("n"), p.alias("p"))
 
-    encoded = F.filter(F.transform(tokens, coded), lambda c: c["letters"].isNotNull() & (F.length(c["token"]) >= 20))
+    encoded = F.transform(F.transform(tokens, bare), coded)
     return F.transform(F.transform(F.transform(F.transform(encoded, indexed), summed), moments), scored)
 
 

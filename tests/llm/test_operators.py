@@ -292,6 +292,26 @@ def test_secrets(spark, edges, docs):
     assert secrets.scan(edges).count() == len(EDGES)
 
 
+def test_secrets_of_every_form(spark):
+    rng = random.Random(11)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    made = lambda letters, n: "".join(rng.choices(letters, k=n))
+    forms = {
+        "assigned": lambda: ("AWS_SECRET_ACCESS_KEY=", made(lower + upper + digits + "+/", 40)), "session": lambda: ("session=", made(lower + upper + digits, 32)), "padded": lambda: ("id=", made(lower + upper + digits + "+/", 43) + "="),
+        "base36": lambda: ("", made(lower + digits, 32)), "upper": lambda: ("", made(upper + digits, 32)), "uuid": lambda: ("", "-".join(made("0123456789abcdef", n) for n in (8, 4, 4, 4, 12))),
+        "short hex": lambda: ("", "0x" + made("0123456789abcdef", 24)), "mix": lambda: ("", made(lower + upper + digits, 19) + "/" + made(lower + upper + digits, 9) + "-" + made(lower + upper + digits, 9)),
+    }
+    rows = [(form, *make()) for form, make in forms.items() for _ in range(20)]
+    rows = [(form, name, value) for form, name, value in rows if re.search("[0-9]", value)]
+    df = spark.createDataFrame([(k, f"é {name}{value} end") for k, (_, name, value) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.random] for r in secrets.scan(df).collect()}
+    for form in forms:
+        hit = [got[k] == [(2 + len(name), 2 + len(name) + len(value))] for k, (f, name, value) in enumerate(rows) if f == form]
+        assert sum(hit) >= 0.85 * len(hit), form
+    dull = spark.createDataFrame([(k, "x " + "a1/b-" * 12) for k in range(5)], "doc_id long, text string")
+    assert not any(r.random for r in secrets.scan(dull).collect())
+
+
 def test_empty_tables(spark, nothing):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     for out in (bpe.round_trip(nothing), packing.pack_documents(nothing), sharding.shard(nothing), fingerprints.compare(nothing), suffixes.judged(nothing), suffixes.cleaned(nothing), jaccard.join(nothing), jaccard.deduplicated(nothing), quality.scored(nothing, labels), pii.rewritten(nothing), secrets.scan(nothing)):
