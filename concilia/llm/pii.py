@@ -149,6 +149,10 @@ def hexed(key: bytes, tweak: str, text: str) -> str:
     return "".join(f"{d:x}" for d in digits)
 
 
+#: Syllables of a made-up name at the first attempt; each attempt has one more, so any number of names settles.
+GIVEN, FAMILY = 3, 4
+
+
 def syllables(key: bytes, tweak: str, norm: str, script: str, n: int) -> str:
     x, out, table = number(key, tweak, norm), [], SYLLABLES[script]
     for _ in range(n):
@@ -187,9 +191,9 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int = 0) -> str:
     if kind == "given":
         gender, _, name = norm.partition(":")
         script = script_of(name)
-        return f"{gender}:{syllables(key, tweak, norm, script, 3)}{ENDINGS[script][gender]}"
+        return f"{gender}:{syllables(key, tweak, norm, script, GIVEN + attempt)}{ENDINGS[script][gender]}"
     if kind == "family":
-        return syllables(key, tweak, norm, script_of(norm), 4) + SURNAMES[script_of(norm)]
+        return syllables(key, tweak, norm, script_of(norm), FAMILY + attempt) + SURNAMES[script_of(norm)]
     plus = "+" if norm.startswith("+") else ""
     digits = [int(c) for c in norm[len(plus) :]]
     keep = max(0, len(digits) - 10) if kind == "phone" else 0  # the country's code stays

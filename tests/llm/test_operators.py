@@ -261,6 +261,15 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     assert len(exceptions) == 29 and {r.attempt for r in exceptions} == {1}
 
 
+def test_more_names_than_short_surrogates(spark):
+    few = len(pii.SYLLABLES["greek"]) ** 3
+    norms = ["m:" + "".join("αβγδεζηθικ"[k // 10**p % 10] for p in range(5)) for k in range(few + 1000)]
+    made = spark.createDataFrame([("given", n) for n in norms], pii.ENTITY)
+    attempts = {r.norm: r.attempt for r in pii.assigned(made, b"k").collect()}
+    new = {pii.surrogate(b"k", "given", n, attempts.get(n, 0)) for n in norms}
+    assert len(new) == len(norms) and not new & set(norms)
+
+
 @pytest.mark.parametrize("n", [1, 2, 5])
 def test_permutation_is_one_to_one(n):
     base = 7
