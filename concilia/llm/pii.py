@@ -5,7 +5,9 @@ name) get replacements that depend on a key, the kind and the entity's normal fo
 mention in every document gets the same one (coreference). Runs of letters, digits or hex digits go
 through a keyed Feistel permutation of strings of their length, which keeps format and length and
 gives different entities different surrogates; card and IBAN check digits are made valid again. Names are
-made of syllables of the same script, given names with an ending of the same gender.
+made of syllables of the same script, given names with an ending of the same gender. A name is any run
+of capitalised words after a title; it is replaced wherever else it stands in the document, and a given
+name has the gender that its document tells.
 
 Collisions are looked for over the whole corpus before anything is written: a surrogate must not
 equal its entity, another entity, or another entity's surrogate. Entities that lose get the next
@@ -17,6 +19,7 @@ table gives no rows; ``rewritten`` keeps all other columns as they are.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import unicodedata
@@ -53,7 +56,16 @@ CARD = re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")
 IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 SECRET = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{8,})""")
-NAME = re.compile(r"\b(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.? ([^\W\d_a-zа-яα-ω][^\W\d_]+)(?: ([^\W\d_a-zа-яα-ω][^\W\d_]+))?")
+# A word of a name, hyphens and apostrophes within; before it there may be initials and particles.
+_LETTER = r"(?:[^\W\d_]|[\u0300-\u036f])"
+_FIRST = r"[^\W\d_a-zß-öø-ÿа-яёα-ωά-ώ]"
+_WORD = rf"{_FIRST}(?:{_LETTER}|['’](?!s\b)(?={_LETTER})|-(?={_LETTER}))+"
+_BEFORE = rf"(?:{_FIRST}(?:\. ?| )|(?:van|von|der|den|ten|ter|de|del|della|di|da|dos|du|la|le|zu|bin|ibn) )"
+_TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
+WORD = re.compile(_WORD)
+PART = re.compile(r"[^'’-]+")
+INITIAL = re.compile(rf"{_FIRST}(?!{_LETTER}|['’-])")
+NAME = re.compile(rf"\b((?:(?:{_TITLE})\b\.? )+)({_BEFORE}{{0,4}}{_WORD}(?: {_BEFORE}{{0,4}}(?!(?:{_TITLE})\b){_WORD})*)")
 DIGIT = re.compile(r"\d")
 
 
@@ -70,16 +82,71 @@ def mod97(text: str) -> int:
 Found = tuple[int, int, str, str]  # start, end, kind, normal form
 
 
+def names(text: str) -> list[Found]:
+    """Names after titles, and the same names elsewhere in the text; none overlapping.
+
+    The last word after a title is the family name, those before it (and initials) are given names. A
+    lone word is a given name if the text has it as such only. A given name has the gender that its
+    titles in the text tell, none if they tell two.
+    """
+    plain = lambda w: unicodedata.normalize("NFC", w).lower()
+    titled: list[tuple[list[tuple[int, int, str]], tuple[int, int, str], str]] = []  # given names, family name, gender
+    for m in NAME.finditer(text):
+        gender = next((g for t in m[1].split() if (g := TITLES[t.rstrip(".")])), "")
+        *first, last = [(w.start(), w.end(), plain(w[0])) for w in WORD.finditer(text, m.start(2), m.end(2))]
+        taken = [(a, b) for a, b, _ in (*first, last)]
+        first += [(w.start(), w.end(), plain(w[0])) for w in INITIAL.finditer(text, m.start(2), m.end(2)) if not any(a <= w.start() < b for a, b in taken)]
+        titled.append((first, last, gender))
+    if not titled:
+        return []
+    families = {last[2] for first, last, _ in titled if first}
+    genders: dict[str, set[str]] = {}
+    for first, _, gender in titled:
+        for _, _, norm in first:
+            genders.setdefault(norm, set()).add(gender)
+    for first, last, gender in titled:
+        if first or last[2] in families or last[2] not in genders:
+            families.add(last[2])
+        else:
+            genders[last[2]].add(gender)
+
+    def told(norm: str) -> tuple[str, str]:
+        if norm in families:
+            return "family", norm
+        known = genders[norm] - {""}
+        return "given", f"{known.pop() if len(known) == 1 else ''}:{norm}"
+
+    out: dict[int, Found] = {}
+    for first, last, _ in titled:
+        for a, b, norm in first:
+            known = genders[norm] - {""}
+            out[a] = (a, b, "given", f"{known.pop() if len(known) == 1 else ''}:{norm}")
+        out[last[0]] = (last[0], last[1], *told(last[2]))
+    for m in WORD.finditer(text):
+        if m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_"):
+            continue
+        # The whole word, or else its parts between hyphens and apostrophes.
+        parts = [(m.start(), m.end())]
+        if plain(m[0]) not in families and plain(m[0]) not in genders:
+            parts = [(m.start() + p.start(), m.start() + p.end()) for p in PART.finditer(m[0])]
+        for a, b in parts:
+            norm = plain(text[a:b])
+            if a not in out and b - a > 1 and not text[a].islower() and (norm in families or norm in genders):
+                out[a] = (a, b, *told(norm))
+    return sorted(out.values())
+
+
 def entities(text: str | None) -> list[Found]:
     """Entities of a text in order, none overlapping; earlier kinds win."""
     if not text:
         return []
     out: list[Found] = []
-    taken: list[tuple[int, int]] = []
+    taken: list[tuple[int, int]] = []  # in order
 
     def add(a: int, b: int, kind: str, norm: str) -> None:
-        if not any(a < y and x < b for x, y in taken):
-            taken.append((a, b))
+        k = bisect.bisect(taken, (a, b))
+        if (not k or taken[k - 1][1] <= a) and (k == len(taken) or taken[k][0] >= b):
+            taken.insert(k, (a, b))
             out.append((a, b, kind, norm))
 
     def each(pattern: re.Pattern, kind: str, norm: Callable[[str], str | None], group: int = 0) -> None:
@@ -98,12 +165,8 @@ def entities(text: str | None) -> list[Found]:
         each(IP, "ip", lambda s: s if all(int(p) < 256 for p in s.split(".")) else None)
         each(SSN, "ssn", only)
         each(PHONE, "phone", lambda s: ("+" if s[0] == "+" else "") + only(s))
-    for m in NAME.finditer(text):
-        gender = TITLES[m[1]]
-        given, family = (2, 3) if m[3] else (None, 2)
-        if given:
-            add(m.start(given), m.end(given), "given", f"{gender}:{unicodedata.normalize('NFC', m[given]).lower()}")
-        add(m.start(family), m.end(family), "family", unicodedata.normalize("NFC", m[family]).lower())
+    for a, b, kind, norm in names(text):
+        add(a, b, kind, norm)
     return sorted(out)
 
 
@@ -207,7 +270,7 @@ def dressed(kind: str, old: str, new: str) -> str:
         return "".join(next(rest) if c.isalnum() or c == "+" else c for c in old)
     if kind in ("given", "family"):
         new = new.rpartition(":")[2]
-        return new.upper() if old.isupper() and len(old) > 1 else new.capitalize()
+        return new[:1].upper() if len(old) == 1 else new.upper() if old.isupper() else new.capitalize()
     if kind == "email" and len(old) == len(new):
         return "".join(n.upper() if o.isupper() else n for o, n in zip(old, new))
     return new

@@ -261,6 +261,22 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     assert len(exceptions) == 29 and {r.attempt for r in exceptions} == {1}
 
 
+def test_names_of_any_form(spark):
+    texts = [
+        "Dr Anna Maria Schmidt came. Schmidt said that Anna left, and SCHMIDT's dog too.", "Dr Paul Smith wrote. Mr Paul Smith left; Sir Paul sat.", "Frau Prof. Eva Müller-Lüdenscheidt und Herr Ludwig van Beethoven",
+        "Mr John F. Kennedy, Mrs O'Brien. Smith is not one here.", "Mr Smith's house, Mr Smith I know. Dr Who", "Señor José Pérez; José Pérez.",
+    ]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    new = {r.doc_id: r.text for r in pii.rewritten(df).collect()}
+    for k, private in enumerate([("Anna", "Maria", "Schmidt", "SCHMIDT"), ("Paul", "Smith"), ("Eva", "Müller", "Lüdenscheidt", "Ludwig", "Beethoven"), ("John", "Kennedy", "Brien"), ("Smith",), ("Jos", "Pérez", "Pe")]):
+        assert not any(p in new[k].replace("Smith is not", "") for p in private), new[k]
+    one = re.fullmatch(r"Dr (\w+) (\w+) (\w+) came\. (\w+) said that (\w+) left, and (\w+)'s dog too\.", new[0])
+    assert one[3] == one[4] == one[6].capitalize() and one[1] == one[5] and one[6].isupper()
+    two = re.fullmatch(r"Dr (\w+) (\w+) wrote\. Mr (\w+) (\w+) left; Sir (\w+) sat\.", new[1])
+    assert two[1] == two[3] == two[5] and two[2] == two[4]
+    assert re.fullmatch(r"Mr (\w+)'s house, Mr \1 I know\. Dr \w+", new[4]) and "Smith is not one here." in new[3]
+
+
 def test_more_names_than_short_surrogates(spark):
     few = len(pii.SYLLABLES["greek"]) ** 3
     norms = ["m:" + "".join("αβγδεζηθικ"[k // 10**p % 10] for p in range(5)) for k in range(few + 1000)]
