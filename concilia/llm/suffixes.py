@@ -23,6 +23,7 @@ by ``judged``.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pandas as pd
@@ -372,10 +373,14 @@ def whole_characters(raw: bytes, cuts: list[tuple[int, int]]) -> list[tuple[int,
     return out
 
 
-def cleaned(df: DataFrame, length: int = LENGTH) -> DataFrame:
-    """df with repeated passages taken out of its text (null stays null); all other columns as they are."""
+def cleaned(df: DataFrame, length: int = LENGTH, least_words: int | None = None) -> DataFrame:
+    """df with repeated passages taken out of its text (null stays null); all other columns as they are.
+
+    Passages have ``length`` bytes and more, or ``least_words`` words and more when that is given.
+    """
     rows = df.withColumn("_name", name_of())
-    found = spans(rows.select(F.col("_name").alias("name"), "text"), length).withColumnsRenamed({"name": "_name", "spans": "_spans"})
+    texts = rows.select(F.col("_name").alias("name"), "text")
+    found = (spans(texts, length) if least_words is None else word_spans(texts, least_words)).withColumnsRenamed({"name": "_name", "spans": "_spans"})
 
     @F.pandas_udf(T.StringType())
     def kept(packed: pd.Series, found_: pd.Series) -> pd.Series:
@@ -389,6 +394,58 @@ def cleaned(df: DataFrame, length: int = LENGTH) -> DataFrame:
     return joined.withColumn("text", kept("_packed", "_spans")).select(*df.columns)
 
 
+# Words are judged without punctuation around them, so a passage is found whatever follows its last word.
+CORE = re.compile(r"[^\W_](?:\S*[^\W_])?")
+
+
+def word_windows(raw: bytes, cuts: list[tuple[int, int]], n: int) -> list[tuple[int, int, bytes]]:
+    """start, end (bytes) and digest of each run of n words that lies in one of the spans."""
+    text = raw.decode()
+    words_, at, places = [], 0, []
+    for m in CORE.finditer(text):
+        if not places:
+            first = len(text[: m.start()].encode())
+        else:
+            first = places[-1][1] + len(text[at : m.start()].encode())
+        places.append((first, first + len(m[0].encode())))
+        words_.append(m[0])
+        at = m.end()
+    out, k = [], 0
+    for a, b in cuts:
+        while k < len(places) and places[k][0] < a:
+            k += 1
+        end = k
+        while end < len(places) and places[end][1] <= b:
+            end += 1
+        for i in range(k, end - n + 1):
+            digest = hashlib.blake2b(" ".join(words_[i : i + n]).encode(), digest_size=16).digest()
+            out.append((places[i][0], places[i + n - 1][1], digest))
+    return out
+
+
+def word_spans(df: DataFrame, n: int) -> DataFrame:
+    """name, spans of the bytes in passages of n words and more that repeat, for df (name, text).
+
+    n words have 2 n - 1 bytes at least, so every such passage lies in spans of that many repeated
+    bytes. These spans may be short passages in a row; so their runs of n words are counted, and only
+    those that occur again are taken.
+    """
+    found = spans(df, 2 * n - 1)
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for name, packed, found_ in zip(pdf.name, pdf.packed, pdf.spans):
+                rows += [(name, digest, a, b) for a, b, digest in word_windows(raw_of(packed), merged(found_), n)]
+            yield pd.DataFrame(rows, columns=["name", "digest", "start", "end"])
+
+    windows = df.select("name", squeezed("text").alias("packed")).join(found, "name").mapInPandas(run, "name binary, digest binary, start int, end int")
+    windows = cut(windows)
+    twice = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    taken = windows.join(twice, "digest", "left_semi")
+    return taken.groupBy("name").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(documents(spark, sf_dir))
 

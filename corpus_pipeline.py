@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from concilia.llm import jaccard, packing, pii, quality, suffixes
 
-#: Bytes of a passage whose repetition counts: a little over fifty short words.
-PASSAGE = 256
+#: Words of a passage whose repetition counts: over fifty, however short they are.
+PASSAGE = 51
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def counted(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return counted(suffixes.cleaned(docs, PASSAGE), docs.columns)
+    return counted(suffixes.cleaned(docs, least_words=PASSAGE), docs.columns)
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

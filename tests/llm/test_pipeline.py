@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 
 
@@ -14,3 +16,17 @@ def test_stages(spark, tmp_path):
             n = docs.count()
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_classifier", "jaccard_join", "suffix_array_dedup", "pii_surrogates", "packing"]
     assert docs.select("doc_id").distinct().count() == n
+
+
+def test_passages_of_short_words_go(spark):
+    rng = random.Random(4)
+    made = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(n))
+    passage, short, other = made(51), made(30), made(30)
+    tiny = " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=51))
+    texts = [f"{made(60)} {passage}. {made(9)}", f"{made(40)} {passage}, {made(70)}", f"{made(20)} {short} {other} {made(20)}", f"{made(20)} {short} {made(20)}", f"{made(20)} {other} {made(20)}", f"{made(9)} {tiny}", f"{tiny} {made(9)}"]
+    df = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r for r in corpus_pipeline.suffix_dedup(spark, df, "").collect()}
+    for k, there in [(0, passage), (1, passage), (5, tiny), (6, tiny)]:
+        assert len(passage) < 256 and got[k].text == texts[k].replace(there, "") and got[k].n_chars == len(got[k].text)
+    # Two short passages in a row, each repeated elsewhere, are not a long one.
+    assert all(got[k].text == texts[k] for k in (2, 3, 4))
