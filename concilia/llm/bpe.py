@@ -5,7 +5,8 @@ position; an entry whose symbols have changed since it was pushed is stale and s
 concatenates vocabulary strings.
 
 Defined cases: a null text counts as empty; an empty text has no ids and decodes to ''. Repeated
-rows are encoded separately. Other columns are ignored, whatever their names.
+rows are encoded separately; null ids stay null, also beside ids of any size; null ids of symbols decode
+to ''. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -13,23 +14,25 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import cached_property
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import documents
+from .common import by_number, carried, documents
 
-#: Entries of a table of words; a worker keeps at most two tables of each kind, which bounds its memory.
-CACHE_WORDS = 300_000
+#: Entries at most of a worker's two tables, of chunks of text and of words within chunks: about 210 bytes each, 60 MB in all.
+CACHE_CHUNKS, CACHE_WORDS = 100_000, 180_000
 #: Slots that note by hash which words have been met once; only words met again enter a table.
 SEEN_SLOTS = 1 << 22
+#: A full table is emptied after so many misses for each entry, so that it follows the text.
+STALE = 40
 #: Places in a word of usual length; a longer word takes its own length.
 WIDE = 1024
 CONTROL = re.compile("[\x1c-\x1f]")
@@ -45,26 +48,34 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class Recent(dict):
-    """word -> make(word), kept from the second time on. Two generations: the older is dropped when the younger is full."""
+    """word -> make(word), kept from the second time on, for ``size`` words at most."""
 
-    def __init__(self, make):
-        self.make, self.older, self.seen = make, {}, bytearray(SEEN_SLOTS)
+    def __init__(self, make, size: int):
+        self.make, self.size, self.seen, self.missed = make, size, bytearray(SEEN_SLOTS), 0
 
     def __missing__(self, word: str):
-        if (value := self.older.get(word)) is None:
-            value = self.make(word)
+        value = self.make(word)
+        if len(self) < self.size:
             slot = hash(word) & (SEEN_SLOTS - 1)
-            if len(word) > 100 or not self.seen[slot]:
-                self.seen[slot] = 1
-                return value
-        if len(self) >= CACHE_WORDS:
-            self.older = dict(self)
-            self.clear()
-            self.seen = bytearray(SEEN_SLOTS)
-        self[word] = value
+            if self.seen[slot] and len(word) <= 100:
+                self[word] = value
+            self.seen[slot] = 1
+        else:
+            self.missed += 1
+            if self.missed > STALE * self.size:
+                self.clear()
+                self.seen, self.missed = bytearray(SEEN_SLOTS), 0
         return value
 
 
+def packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
+def unpacked(data: bytes) -> list[int]:
+    return array("I", data).tolist()
+
+
 class Bpe:
     """The model part of a tokenizer file: vocabulary and merges."""
 
@@ -76,7 +87,6 @@ class Bpe:
         self.vocab: dict[str, int] = dict(model["vocab"])
         self.suffix = model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
-        self.strings = {i: s for s, i in (self.vocab | self.special).items()}
         pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in model["merges"]]
         self.lefts, self.rights = [self.vocab[a] for a, _ in pairs], [self.vocab[b] for _, b in pairs]
         self.becomes = [self.vocab[a + b] for a, b in pairs]
@@ -84,8 +94,8 @@ class Bpe:
         self.merges = {a << 32 | b: rank for rank, (a, b) in enumerate(zip(self.lefts, self.rights))}
         self.joined = "" if data.get("decoder") else " "  # without a decoder the library joins by blanks
         self.specials = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        # Unicode tables (case, letters) are the library's; the merging below is ours.
-        library = Tokenizer.from_str(spec)
+        # Unicode tables (case, letters) are the library's, so its model stays empty; the merging below is ours.
+        library = Tokenizer.from_str(json.dumps(data | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None}))
         self.normalise, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         # Byte-level alphabet: printable bytes stand for themselves, the others for 256 and up, in order.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -95,7 +105,7 @@ class Bpe:
         steps = data["pre_tokenizer"].get("pretokenizers", [])
         known = [x["type"] for x in steps] == ["Split", "ByteLevel"] and [x["type"] for x in data["normalizer"].get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
         self.pattern = regex.compile(steps[0]["pattern"]["Regex"]) if known else None
-        self.words = Recent(self._coded)
+        self.words = Recent(self._coded, CACHE_WORDS)
 
     def word(self, word: str) -> list[int]:
         """Ids of one pre-token. A heap entry is rank * WIDE + place; the rank names the pair and what it becomes."""
@@ -131,18 +141,15 @@ class Bpe:
                 heappush(heap, rank * wide + k)
         return [s for s in symbols if s >= 0]
 
-    def _coded(self, w: str) -> list[int]:
-        return self.word(w if w.isascii() and w.isprintable() else "".join(map(self.letters.__getitem__, w.encode())))
+    def _coded(self, w: str) -> bytes:
+        return packed(self.word(w if w.isascii() and w.isprintable() else "".join(map(self.letters.__getitem__, w.encode()))))
 
-    def chunk(self, text: str) -> list[int]:
-        """Ids of text without white space and special tokens. White space never lies within a pre-token."""
+    def chunk(self, text: str) -> bytes:
+        """Packed ids of text without white space and special tokens. White space never lies within a pre-token."""
         if self.pattern is None or not LATIN.fullmatch(text):
-            return list(chain.from_iterable(self.word(w) for w, _ in self.split(self.normalise(text))))
-        ids: list[int] = []
+            return packed(list(chain.from_iterable(self.word(w) for w, _ in self.split(self.normalise(text)))))
         text = text.lower()
-        for w in (text,) if text.isalpha() else self.pattern.findall(text):
-            ids += self.words[w]
-        return ids
+        return self.words[text] if text.isalpha() else b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
 
     def chunks(self, text: str | None) -> Iterator[tuple[str, bool]]:
         """The white-space-free chunks of a text, and whether each is a special token."""
@@ -157,23 +164,27 @@ class Bpe:
                         yield c, False
 
     def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable([self.special[c]] if special else self.chunk(c) for c, special in self.chunks(text)))
+        return list(chain.from_iterable([self.special[c]] if special else unpacked(self.chunk(c)) for c, special in self.chunks(text)))
+
+    @cached_property
+    def strings(self) -> dict[int, str]:
+        return {i: s for s, i in (self.vocab | self.special).items()}
 
     def decode(self, ids: list[int]) -> str:
         return self.joined.join(map(self.strings.__getitem__, ids))
 
 
 class Cache(Recent):
-    """chunk -> what make(ids of the chunk) gives."""
+    """chunk -> what made(packed ids of the chunk) gives."""
 
-    def __init__(self, bpe: Bpe, make):
-        super().__init__(lambda chunk: make(bpe.chunk(chunk)))
-        self.bpe, self.of_ids = bpe, make
+    def __init__(self, bpe: Bpe, made):
+        super().__init__((lambda chunk: made(bpe.chunk(chunk))) if made else bpe.chunk, CACHE_CHUNKS)
+        self.bpe, self.made = bpe, made or (lambda data: data)
 
     def each(self, text: str | None):
         """Of each chunk of text, in order."""
         if not text or (self.bpe.specials and "<|" in text) or CONTROL.search(text):
-            return [self.of_ids([self.bpe.special[c]]) if special else self[c] for c, special in self.bpe.chunks(text)]
+            return [self.made(packed([self.bpe.special[c]])) if special else self[c] for c, special in self.bpe.chunks(text)]
         return map(self.__getitem__, text.split())
 
 
@@ -182,7 +193,7 @@ _caches: dict[tuple[int, str], Cache] = {}
 
 
 def loaded(spec: str) -> Bpe:
-    """One Bpe per worker and file."""
+    """One Bpe per worker; that of another file goes."""
     key = hash(spec)
     if key not in _loaded:
         _loaded.clear()
@@ -192,16 +203,13 @@ def loaded(spec: str) -> Bpe:
 
 
 def cached(spec: str, kind: str) -> Cache:
-    """One cache per worker, file and kind of value; it outlives the task."""
+    """One table of chunks per worker; it outlives the task, but not the first use for another kind of value."""
     key = hash(spec), kind
     if key not in _caches:
+        _caches.clear()
         bpe = loaded(spec)
-        make = {
-            "ids": list,
-            "strings": lambda ids: (len(ids), " ".join(map(str, ids)), bpe.decode(ids)),
-            "packed": lambda ids: struct.pack(f"<{len(ids)}I", *ids),
-        }[kind]
-        _caches[key] = Cache(bpe, make)
+        made = {"ids": unpacked, "packed": None, "strings": lambda data: (len(ids := unpacked(data)), " ".join(map(str, ids)), bpe.decode(ids))}[kind]
+        _caches[key] = Cache(bpe, made)
     return _caches[key]
 
 
@@ -220,7 +228,7 @@ def encode(df: DataFrame, path: str | None = None) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf.doc_id, "ids": [list(chain.from_iterable(ids.each(t))) for t in pdf.text]})
 
-    return df.select("doc_id", "text").mapInPandas(run, "doc_id long, ids array<int>")
+    return by_number(carried(df, "text").mapInPandas(run, "doc_id string, ids array<int>"))
 
 
 def decode(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -232,7 +240,7 @@ def decode(df: DataFrame, path: str | None = None) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf.doc_id, "text": [bpe.decode([] if i is None else list(i)) for i in pdf.ids]})
 
-    return df.select("doc_id", "ids").mapInPandas(run, "doc_id long, text string")
+    return by_number(carried(df, "ids").mapInPandas(run, "doc_id string, text string"))
 
 
 def round_trip(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -248,29 +256,29 @@ def round_trip(df: DataFrame, path: str | None = None) -> DataFrame:
                 got = [x for x in both.each(text) if x[0]]
                 n, ids, strings = zip(*got) if got else ((), (), ())
                 rows.append((doc_id, sum(n), hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(bpe.joined.join(strings).encode()).hexdigest()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return df.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return by_number(carried(df, "text").mapInPandas(run, "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string"))
 
 
 def windows(df: DataFrame, size: int, end_id: int, path: str | None = None) -> DataFrame:
     """Cut each document's ids, closed by end_id, at every ``size``: doc_id, start, length, ids_crc32, doc_tokens."""
     spec = shared(df.sparkSession, path)
-    end = struct.pack("<I", end_id)
+    end = packed([end_id])
 
     def run(batches):
-        packed = cached(spec.value, "packed")
+        chunks = cached(spec.value, "packed")
         for pdf in batches:
             rows = []
             for doc_id, text in zip(pdf.doc_id, pdf.text):
-                data = b"".join(packed.each(text)) + end
+                data = b"".join(chunks.each(text)) + end
                 n = len(data) // 4
                 for at in range(0, n, size):
                     piece = data[4 * at : 4 * (at + size)]
                     rows.append((doc_id, at, len(piece) // 4, zlib.crc32(piece), n))
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return df.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return by_number(carried(df, "text").mapInPandas(run, "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"))
 
 
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

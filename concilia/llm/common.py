@@ -12,10 +12,23 @@ def cut(df: DataFrame) -> DataFrame:
     """Write df to the checkpoint folder that the cluster names and read it back without lineage."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
 
 
+def carried(df: DataFrame, *columns: str) -> DataFrame:
+    """doc_id as text, and columns: a long beside a null becomes a double in pandas, which loses its low bits."""
+    return df.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), *columns)
+
+
+def by_number(df: DataFrame) -> DataFrame:
+    """The other way: doc_id as a long again."""
+    return df.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", *more)
 
@@ -25,18 +38,31 @@ def text_key(text: Column) -> Column:
     return F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 32)
 
 
-def ranked(df: DataFrame, keys: list[str], order: list[str], out: str, salts: int = 256) -> DataFrame:
+def name_of(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """128 bits for a doc_id (null too) and a text."""
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit("-")), text_key(F.col(text)))))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[str], out: str, rows_each: int = 20_000) -> DataFrame:
     """Number the rows of each key from 0 without gaps.
 
-    The rows of a key are dealt to ``salts`` hash buckets and sorted within each; bucket sizes give
-    the offsets. No task sees all rows of a hot key, and no global window is used. ``order`` should
-    identify rows; ties are numbered in any order, still without gaps.
+    The rows of a key are dealt to hash buckets, about ``rows_each`` of all rows to one, and sorted
+    within each; bucket sizes give the offsets. No task sees all rows of a hot key, and no global
+    window is used. ``order`` should identify rows; ties are numbered in any order, still without gaps.
     """
+    salts = max(4, -(-df.count() // rows_each))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
     by = [*keys, "_salt"]
-    sizes = salted.groupBy(*by).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    sizes = salted.groupBy(*by).agg(F.count("*").alias("_n")).withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     own = salted.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
     return own.join(sizes, by).withColumn(out, F.col("_base") + F.col("_rn")).drop("_salt", "_base", "_rn")
 

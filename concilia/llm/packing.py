@@ -111,7 +111,7 @@ def pack(pieces: DataFrame, size: int = SIZE, id_columns: list[str] | None = Non
     hist = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     # Bounded: every greedy pattern uses up a length, and columns are bounded by the window.
     table = pieces.sparkSession.createDataFrame(slots(plan(hist, size)), SLOTS)
-    items = ranked(pieces, ["length"], ids, "_rank", salts=64)
+    items = ranked(pieces, ["length"], ids, "_rank")
     placed = items.join(F.broadcast(table), (items["length"] == table["length"]) & (items["_rank"] >= table["lo"]) & (items["_rank"] < table["hi"]))
     turn = F.col("_rank") - F.col("lo")
     return placed.select(
