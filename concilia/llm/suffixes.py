@@ -16,8 +16,8 @@ Every byte covered by a string of ``length`` bytes that also starts anywhere els
 
 Defined cases: null and empty texts have no bytes; texts shorter than ``length`` lose none; repeated
 rows are documents of their own, so they are copies of each other; rows with the same id and text
-share their result; an empty table gives no rows; other columns are kept by ``cleaned`` and ignored
-by ``judged``.
+share their result; ids may be null; an empty table gives no rows; other columns are kept by
+``cleaned``, whatever their names, and ignored by ``judged``.
 """
 
 from __future__ import annotations
@@ -29,14 +29,16 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import block_pairs, runs, sharded
-from .common import cut, documents, text_key
+from .common import by_number, cut, documents, name_of, unused
 
 LENGTH, GRAM = 400, 32
+#: About fifty words, for the columns on passages.
+PASSAGE = 256
 BLOCK, ROWS_EACH = 2000, 1200
 STRETCH = 1 << 22  # window starts handled at once in a very long text
 
@@ -223,10 +225,10 @@ PIECE = "anchor long, digest long"
 
 
 @F.pandas_udf(T.BinaryType())
-def squeezed(text: pd.Series) -> pd.Series:
-    """Texts as they are shuffled: UTF-8, compressed; null stays null."""
+def squeezed(data: pd.Series) -> pd.Series:
+    """Bytes as they are shuffled: compressed; null stays null."""
     squeeze = zstandard.ZstdCompressor().compress
-    return pd.Series([None if t is None else squeeze(t.encode()) for t in text], dtype=object)
+    return pd.Series([None if x is None else squeeze(x) for x in data], dtype=object)
 
 
 def raw_of(packed: bytes | None) -> bytes:
@@ -239,14 +241,14 @@ def located(df: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for pdf in batches:
             rows = []
-            for name, text in zip(pdf.name, pdf.text):
-                raw = (text or "").encode()
+            for name, raw in zip(pdf.name, pdf.data):
+                raw = raw or b""
                 for a, b, anchor in pieces_of(np.frombuffer(raw, dtype=np.uint8), length):
                     rows.append((name, anchor, xxhash.xxh3_64_intdigest(raw[a : b + length]), a, b))
             out = pd.DataFrame(rows, columns=["name", "anchor", "digest", "first", "last"])
             yield out.assign(digest=out.digest.to_numpy(dtype=np.uint64).view(np.int64))
 
-    return df.select("name", "text").mapInPandas(run, f"name binary, {PIECE}, first int, last int")
+    return df.select("name", "data").mapInPandas(run, f"name binary, {PIECE}, first int, last int")
 
 
 def fetched(df: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -261,7 +263,7 @@ def fetched(df: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 rows += [(p["anchor"], p["digest"], raw[p["first"] : p["last"] + length]) for p in places_]
             yield pd.DataFrame(rows, columns=["anchor", "digest", "piece"])
 
-    return df.select("name", squeezed("text").alias("packed")).join(places, "name").select("packed", "places").mapInPandas(run, f"{PIECE}, piece binary")
+    return df.select("name", squeezed("data").alias("packed")).join(places, "name").select("packed", "places").mapInPandas(run, f"{PIECE}, piece binary")
 
 
 def sorted_out(units: DataFrame, length: int) -> DataFrame:
@@ -299,7 +301,7 @@ def sorted_out(units: DataFrame, length: int) -> DataFrame:
 
 
 def spans(df: DataFrame, length: int = LENGTH) -> DataFrame:
-    """name, spans: array<struct<start, end>> of repeated bytes, for df (name, text); documents without any are left out."""
+    """name, spans: array<struct<start, end>> of repeated bytes, for df (name, data); documents without any are left out."""
     every = cut(located(df, length))
     twice = cut(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     pieces = cut(every.join(twice, "anchor", "left_semi"))
@@ -335,29 +337,45 @@ def without(raw: bytes, cuts: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, raw[at:]])
 
 
-def name_of() -> Column:
-    """128 bits for a doc_id and text."""
-    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text_key(F.col("text")))))
+def within(df: DataFrame, found: DataFrame, length: int) -> DataFrame:
+    """name, spans like spans(df, length), looked for only in the spans found for a smaller length, in which they all lie."""
 
-
-def named(df: DataFrame) -> DataFrame:
-    return df.withColumn("name", name_of())
-
-
-def judged(df: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of df (doc_id, text)."""
-    rows = named(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for name, packed, found_ in zip(pdf.name, pdf.packed, pdf.spans):
+                long = [(a, b) for a, b in merged(found_) if b - a >= length]
+                raw = raw_of(packed) if long else b""
+                rows += [(name + a.to_bytes(4, "big"), raw[a:b]) for a, b in long]
+            yield pd.DataFrame(rows, columns=["name", "data"])
+
+    parts = df.select("name", squeezed("data").alias("packed")).join(found, "name").mapInPandas(run, "name binary, data binary")
+    found_ = spans(cut(parts), length).withColumn("at", F.conv(F.hex(F.substring("name", 17, 4)), 16, 10).cast("int"))
+    moved = found_.withColumn("moved", F.transform("spans", lambda s: F.struct((s["start"] + F.col("at")).alias("start"), (s["end"] + F.col("at")).alias("end"))))
+    return moved.groupBy(F.substring("name", 1, 16).alias("name")).agg(F.array_sort(F.flatten(F.collect_list("moved"))).alias("spans"))
+
+
+def judged(df: DataFrame, length: int = LENGTH, passage: int = PASSAGE) -> DataFrame:
+    """For every row of df (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256 for strings of ``length`` bytes,
+    and n_passages, n_passage_bytes, how many maximal runs and bytes are covered by repeated strings of ``passage`` (fewer) bytes."""
+    if passage >= length:
+        raise ValueError("passage must be below length")
+    rows = df.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), name_of().alias("name"), F.col("text").cast("binary").alias("data"))
+    low = cut(spans(rows, passage))
+    high = within(rows, low, length)
 
     def run(batches):
         for pdf in batches:
             out = []
-            for doc_id, packed, found in zip(pdf.doc_id, pdf.packed, pdf.spans):
-                raw, cuts = raw_of(packed), merged(found)
-                out.append((doc_id, len(raw), sum(b - a for a, b in cuts), len(cuts), hashlib.sha256(without(raw, cuts)).hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]).astype({"doc_id": "Int64"})
+            for doc_id, packed, found, some in zip(pdf.doc_id, pdf.packed, pdf.spans, pdf.low):
+                raw, cuts, runs_ = raw_of(packed), merged(found), merged(some)
+                out.append((doc_id, len(raw), sum(b - a for a, b in cuts), len(cuts), hashlib.sha256(without(raw, cuts)).hexdigest(), len(runs_), sum(b - a for a, b in runs_)))
+            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "n_passage_bytes"])
 
-    packed = rows.select("doc_id", "name", squeezed("text").alias("packed"))
-    return packed.join(spans(rows, length), "name", "left").select("doc_id", "packed", "spans").mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    both = low.withColumnRenamed("spans", "low").join(high, "name", "left")
+    packed = rows.select("doc_id", "name", squeezed("data").alias("packed"))
+    told = packed.join(both, "name", "left").select("doc_id", "packed", "spans", "low")
+    return by_number(told.mapInPandas(run, "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, n_passage_bytes long"))
 
 
 def whole_characters(raw: bytes, cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -378,20 +396,21 @@ def cleaned(df: DataFrame, length: int = LENGTH, least_words: int | None = None)
 
     Passages have ``length`` bytes and more, or ``least_words`` words and more when that is given.
     """
-    rows = df.withColumn("_name", name_of())
-    texts = rows.select(F.col("_name").alias("name"), "text")
-    found = (spans(texts, length) if least_words is None else word_spans(texts, least_words)).withColumnsRenamed({"name": "_name", "spans": "_spans"})
+    name, cuts, packed = (unused(df, c) for c in ("_name", "_spans", "_packed"))
+    rows = df.withColumn(name, name_of())
+    texts = rows.select(F.col(name).alias("name"), F.col("text").cast("binary").alias("data"))
+    found = (spans(texts, length) if least_words is None else word_spans(texts, least_words)).withColumnsRenamed({"name": name, "spans": cuts})
 
     @F.pandas_udf(T.StringType())
-    def kept(packed: pd.Series, found_: pd.Series) -> pd.Series:
+    def kept(packed_: pd.Series, found_: pd.Series) -> pd.Series:
         out = []
-        for p, s in zip(packed, found_):
+        for p, s in zip(packed_, found_):
             raw = raw_of(p)
             out.append(None if p is None else without(raw, whole_characters(raw, merged(s))).decode())
         return pd.Series(out, dtype=object)
 
-    joined = rows.withColumn("_packed", squeezed("text")).drop("text").join(found, "_name", "left")
-    return joined.withColumn("text", kept("_packed", "_spans")).select(*df.columns)
+    joined = rows.withColumn(packed, squeezed(F.col("text").cast("binary"))).drop("text").join(found, name, "left")
+    return joined.withColumn("text", kept(packed, cuts)).select(*df.columns)
 
 
 # Words are judged without punctuation around them, so a passage is found whatever follows its last word.
@@ -424,7 +443,7 @@ def word_windows(raw: bytes, cuts: list[tuple[int, int]], n: int) -> list[tuple[
 
 
 def word_spans(df: DataFrame, n: int) -> DataFrame:
-    """name, spans of the bytes in passages of n words and more that repeat, for df (name, text).
+    """name, spans of the bytes in passages of n words and more that repeat, for df (name, data).
 
     n words have 2 n - 1 bytes at least, so every such passage lies in spans of that many repeated
     bytes. These spans may be short passages in a row; so their runs of n words are counted, and only
@@ -439,7 +458,7 @@ def word_spans(df: DataFrame, n: int) -> DataFrame:
                 rows += [(name, digest, a, b) for a, b, digest in word_windows(raw_of(packed), merged(found_), n)]
             yield pd.DataFrame(rows, columns=["name", "digest", "start", "end"])
 
-    windows = df.select("name", squeezed("text").alias("packed")).join(found, "name").mapInPandas(run, "name binary, digest binary, start int, end int")
+    windows = df.select("name", squeezed("data").alias("packed")).join(found, "name").mapInPandas(run, "name binary, digest binary, start int, end int")
     windows = cut(windows)
     twice = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
     taken = windows.join(twice, "digest", "left_semi")
