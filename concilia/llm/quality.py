@@ -9,13 +9,14 @@ loss l) minimises the non-negative unbiased risk
 where a negative estimate of the second term reverses the step, as in non-negative PU learning. The
 prior is the share of label 1 among the labelled training rows. Inputs are taken from the text alone.
 
-Positives and unlabelled rows are samples of at most MOST rows each, by hash of doc_id; feature
-means, scores and everything else cover all rows.
+Positives and unlabelled rows are samples of about MOST rows each, by hash of doc_id; scores and
+everything else cover all rows.
 
 Defined cases: null and empty texts have all features 0 and get a score like any other; rows
 without doc_id are held out; labels that are null or repeated count once, by their smallest value;
-without any positive every score is 0.5; repeated rows are scored alike; an empty table gives no
-rows; other columns are ignored by ``scored`` and kept by ``accepted``.
+without any positive every score is 0.5; repeated rows are scored alike, and so are ties of features;
+an empty table gives no rows; other columns are ignored by ``scored`` and kept by ``accepted``,
+whatever their names. ``features`` of a text without words are all 0.
 """
 
 from __future__ import annotations
@@ -27,10 +28,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents
+from .common import by_number, carried, cut, documents, unused
 
 MOST, FOLDS, THRESHOLD = 10_000, 5, 0.3
 BINS, STEPS, RATE, DECAY = 12, 1500, 0.1, 1e-5
+TAILS = (0.0, 0.01, 0.99, 1.0)
 FEATURES = ["length", "upper", "digit", "symbol", "bar", "shout", "distinct", "repeated", "word", "stop", "line", "other"]
 
 
@@ -57,9 +59,9 @@ def featured(df: DataFrame) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf.doc_id.astype("Int64"), "x": [features(t) for t in pdf.text]})
+            yield pd.DataFrame({"doc_id": pdf.doc_id, "x": [features(t) for t in pdf.text]})
 
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, x array<double>")
+    return by_number(carried(df, "text").mapInPandas(run, "doc_id string, x array<double>"))
 
 
 class Additive:
@@ -69,7 +71,7 @@ class Additive:
         self.edges, self.weights, self.bias = edges, weights, bias
 
     def binned(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(e, x[:, k], side="left") + k * (BINS + 1) for k, e in enumerate(self.edges)], axis=1)
+        return np.stack([np.searchsorted(e, x[:, k], side="left") + k * (BINS + len(TAILS) + 1) for k, e in enumerate(self.edges)], axis=1)
 
     def raw(self, b: np.ndarray) -> np.ndarray:
         return self.weights[b].sum(axis=1) + self.bias
@@ -78,14 +80,20 @@ class Additive:
         return 1 / (1 + np.exp(-np.clip(self.raw(self.binned(x)), -30, 30)))
 
 
+def edges_of(positive: np.ndarray, unlabelled: np.ndarray) -> np.ndarray:
+    """Quantiles of the unlabelled sample, and where the positives' tails begin: what lies beyond is told apart from them."""
+    inner = np.quantile(unlabelled, np.linspace(0, 1, BINS + 2)[1:-1])
+    tails = np.quantile(positive, TAILS)
+    tails = np.where(np.array(TAILS) < 0.5, np.nextafter(tails, -np.inf), tails)  # an edge belongs to the bin below it
+    return np.unique(np.concatenate([inner, tails]))
+
+
 def trained(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Additive | None:
     """The model of least non-negative risk, by Adam on whole samples."""
     if not len(positive) or not len(unlabelled):
         return None
-    edges = [np.unique(np.quantile(unlabelled[:, k], np.linspace(0, 1, BINS + 2)[1:-1])) for k in range(unlabelled.shape[1])]
-    # Tails matter most for junk, so the outer bins are cut at extreme quantiles as well.
-    edges = [np.unique(np.concatenate([e, np.quantile(unlabelled[:, k], [0.01, 0.03, 0.97, 0.99])]))[:BINS] if len(e) < BINS - 3 else e for k, e in enumerate(edges)]
-    model = Additive(edges, np.zeros((BINS + 1) * len(edges)), 0.0)
+    edges = [edges_of(positive[:, k], unlabelled[:, k]) for k in range(unlabelled.shape[1])]
+    model = Additive(edges, np.zeros((BINS + len(TAILS) + 1) * len(edges)), 0.0)
     p, u = model.binned(positive), model.binned(unlabelled)
     size = len(model.weights)
     m, v = np.zeros(size + 1), np.zeros(size + 1)
@@ -118,7 +126,9 @@ def scored(df: DataFrame, labels: DataFrame, most: int = MOST, threshold: float
     share = labelled.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
 
     def sample(part: DataFrame) -> np.ndarray:
-        got = part.select("x", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(most).toPandas()
+        """About ``most`` rows at most: those whose hash is below a cut that their number gives."""
+        near = part.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * most / max(1, part.count())))
+        got = near.select("x").limit(2 * most).toPandas()
         return np.stack(got.x) if len(got) else np.empty((0, len(FEATURES)))
 
     model = trained(sample(labelled.where("quality = 1")), sample(train), float(share)) if share else None
@@ -126,15 +136,16 @@ def scored(df: DataFrame, labels: DataFrame, most: int = MOST, threshold: float
     def run(batches):
         for pdf in batches:
             score = model.score(np.stack(pdf.x)) if model is not None and len(pdf) else np.full(len(pdf), 0.5)
-            yield pd.DataFrame({"doc_id": pdf.doc_id.astype("Int64"), "held_out": pdf.held_out, "score": score, "predicted": (score >= threshold).astype("int32")})
+            yield pd.DataFrame({"doc_id": pdf.doc_id, "held_out": pdf.held_out, "score": score, "predicted": (score >= threshold).astype("int32")})
 
-    return rows.mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int")
+    return by_number(carried(rows, "held_out", "x").mapInPandas(run, "doc_id string, held_out boolean, score double, predicted int"))
 
 
 def accepted(df: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of df that the classifier does not reject. Rows of one doc_id are judged by their best score."""
-    good = scored(df, labels, threshold=threshold).where("predicted = 1").select(F.col("doc_id").alias("_id")).distinct()
-    return df.join(good, df["doc_id"].cast("long").eqNullSafe(good["_id"]), "left_semi")
+    id_ = unused(df, "_id")
+    good = scored(df, labels, threshold=threshold).where("predicted = 1").select(F.col("doc_id").alias(id_)).distinct()
+    return df.join(good, df["doc_id"].cast("long").eqNullSafe(good[id_]), "left_semi")
 
 
 def op8_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
