@@ -1,20 +1,28 @@
 """Document fingerprints by invertible Bloom lookup sketches, in DataFrame functions only.
 
-A text is cut into paragraphs: lines, and long lines at every so many characters from their start
-(16 in short texts, up to 1,024 in long ones). The digest of each distinct paragraph goes to three
-cells of a sketch; a cell holds a count, the xor of its digests and the xor of their checksums. Two
-versions' sketches are subtracted cell by cell, equal paragraphs cancel, and peeling recovers the
-digests that differ: a cell with one digest left gives it away, it is taken out of its other cells,
-and so on. A sketch is made of blocks of CELLS cells; pairs with a block that can't be peeled are
-done again with four times as many blocks. After RETRIES (or where digests collide) the sets
-themselves are compared.
+A text is cut into paragraphs by its content alone, by one rule for texts of every length: after line
+ends, after the end of a sentence, and at blanks with certain letters on both sides (about every
+hundred characters). So a change moves no cut but those beside it. Only where no such place is met for
+64 words a paragraph ends after these.
+
+The digest of each distinct paragraph goes to three cells of a block of a sketch; a cell holds a
+count, the xor of its digests and the xor of their checksums. A fingerprint is the sketch of a text,
+with as many blocks as its number of paragraphs needs, a power of two; the block of a digest is the
+low bits of a hash, so a sketch can be folded to fewer blocks by adding up blocks.
+
+Two fingerprints, the larger one folded, are subtracted cell by cell, equal paragraphs cancel, and
+peeling recovers the digests that differ: a cell with one digest left gives it away, it is taken out
+of its other cells, and so on. Pairs with a block that can't be peeled are done again with larger
+sketches, each time with four times as many blocks. After RETRIES (or where digests collide) the sets
+themselves are compared. Likeness is the share of common digests among those of both.
 
 One shuffle puts documents next to their successors, and one deals the digests (no texts) by row;
 all sketches and retries then stay within those partitions.
 
-Defined cases: a null text is empty, has no paragraphs and is wholly like another empty one;
-repeated rows are fingerprinted separately, and rows of the same doc_id are ordered by their text's
-hash; a single document is its own successor; an empty table gives no rows; other columns are ignored.
+Defined cases: a null text is empty, has no paragraphs, an empty fingerprint, and is wholly like
+another empty one; repeated rows are fingerprinted separately, and rows of the same doc_id are
+ordered by their text's hash; rows without doc_id come first; a single document is its own successor;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,24 +33,26 @@ from pyspark.sql import functions as F
 from .common import cut, documents, text_key
 
 SIDE, CELLS = 8, 24  # three parts of SIDE cells
-#: Characters of a paragraph at most, by the text's length (below).
-UNITS = [(512, 16), (2048, 64), (8192, 256), (None, 1024)]
-LOAD, RETRIES, ROUNDS = 10, 5, 16
+LOAD, RETRIES, ROUNDS = 8, 5, 16
+#: Words and the blanks within a paragraph: a blank that no sentence end precedes, and no vowel that one of a few letters follows.
+PARAGRAPH = r"[^ \n]*+(?: (?<![.!?] )(?!(?<=[aeiou] )[bdhlpBDHLP])[^ \n]*+){0,63}+[ \n]*+"
+#: Rows of a range of successors at most, about, and ranges at most.
+RANGE_ROWS, MOST_RANGES = 50_000, 1_000
 
 
-def digests(text: Column, unit: Column) -> Column:
+def digests(text: Column) -> Column:
     """Distinct digests of a text's paragraphs."""
-    parts = F.lit(None)
-    for _, n in UNITS:
-        parts = F.when(unit == n, F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{n}}}\n*|\n+"), F.lit(0))).otherwise(parts)
+    parts = F.filter(F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0)), lambda p: p != "")
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
-def unit_of(n_chars: Column) -> Column:
-    unit = F.lit(UNITS[-1][1])
-    for below, n in reversed(UNITS[:-1]):
-        unit = F.when(n_chars < below, n).otherwise(unit)
-    return unit
+def blocks_for(n: Column) -> Column:
+    """Blocks of the sketch of n digests: a power of two, at most LOAD digests to a block on average."""
+    return F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.lit(1.0), n / F.lit(LOAD))))).cast("int")
+
+
+def block_of(digest: Column, blocks: Column) -> Column:
+    return F.xxhash64(digest, F.lit(3)).bitwiseAND(blocks.cast("long") - 1).cast("int")
 
 
 def let(value: Column, use) -> Column:
@@ -57,7 +67,7 @@ def places(digest: Column) -> Column:
 
 
 def checksum(digest: Column) -> Column:
-    return F.xxhash64(digest, F.lit(11))
+    return F.hash(digest, F.lit(11))
 
 
 def sketched(units: DataFrame, by: list[str]) -> DataFrame:
@@ -94,46 +104,56 @@ def peeled(cells: Column) -> Column:
 
 
 def differing(pairs: DataFrame, retries: int = RETRIES) -> DataFrame:
-    """(rid, pair, n): how many digests are in one of x and y only, for pairs (rid, pair, x, y)."""
+    """(rid, pair, n): how many digests are in one of x and y only, for pairs (rid, pair, x, y).
+
+    The first try subtracts the fingerprints of both, folded to the smaller one's blocks.
+    """
     left, done = pairs, None
     for level in range(retries):
-        blocks = F.greatest(F.lit(1), F.ceil((F.size("x") + F.size("y")) / F.lit(4 * LOAD))) * 4**level
+        blocks = F.least(blocks_for(F.size("x")), blocks_for(F.size("y"))) if level == 0 else blocks_for(F.size("x") + F.size("y")) * 4 ** (level - 1)
         signed = F.concat(F.transform("x", lambda d: F.struct(F.lit(1).alias("c"), d.alias("d"))), F.transform("y", lambda d: F.struct(F.lit(-1).alias("c"), d.alias("d"))))
         dealt = left.repartition("rid")  # all groupings below include rid, so nothing else is shuffled
-        units = dealt.select("rid", "pair", blocks.alias("blocks"), F.explode(signed).alias("u")).select("rid", "pair", "u.c", "u.d", F.pmod(F.xxhash64("u.d", F.lit(3)), F.col("blocks")).alias("block"))
+        units = dealt.select("rid", "pair", blocks.alias("blocks"), F.explode(signed).alias("u")).select("rid", "pair", "u.c", "u.d", block_of(F.col("u.d"), F.col("blocks")).alias("block"))
         cells = sketched(units, ["rid", "pair", "block"]).where("c != 0 or d != 0")
         block = cells.groupBy("rid", "pair", "block").agg(F.collect_list(F.struct("i", "c", "d", "h")).alias("cells")).select("rid", "pair", peeled(F.col("cells")).alias("n"))
-        tried = cut(block.groupBy("rid", "pair").agg(F.sum("n").alias("n"), F.max(F.col("n").isNull()).alias("hidden")))
+        tried = block.groupBy("rid", "pair").agg(F.sum("n").alias("n"), F.max(F.col("n").isNull()).alias("hidden"))
+        # Where nothing is left of the cells, nothing differs.
+        tried = cut(dealt.select("rid", "pair").join(tried, ["rid", "pair"], "left").select("rid", "pair", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("hidden", F.lit(False)).alias("hidden")))
         solved = tried.where("not hidden").select("rid", "pair", "n")
         done = solved if done is None else done.union(solved)
         failed = tried.where("hidden").select("rid", "pair")
         if failed.isEmpty():
             return done
-        left = cut(pairs.join(failed, ["rid", "pair"], "left_semi"))
+        left = cut(left.join(failed, ["rid", "pair"], "left_semi"))
     rest = left.select("rid", "pair", (F.size(F.array_except("x", "y")) + F.size(F.array_except("y", "x"))).cast("long").alias("n"))
     return done.union(rest)
 
 
 def fingerprints(sets: DataFrame) -> DataFrame:
-    """(rid, which, fingerprint) of sets (rid, which, d: array of digests): the cells of one block in hex."""
-    cells = sketched(sets.select("rid", "which", F.lit(1).alias("c"), F.explode("d").alias("d")), ["rid", "which"])
-    text = F.concat_ws(".", "i", F.hex("c"), F.hex("d"), F.hex("h"))
-    return cells.groupBy("rid", "which").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", text.alias("t")))), lambda x: x["t"]), ",").alias("fingerprint"))
+    """(rid, which, fingerprint) of sets (rid, which, d: array of digests): the number of blocks, and the cells in use as
+    place.count.digests.checksums, in hex but for the count."""
+    units = sets.select("rid", "which", F.lit(1).alias("c"), blocks_for(F.size("d")).alias("blocks"), F.explode("d").alias("d"))
+    cells = sketched(units.withColumn("block", block_of(F.col("d"), F.col("blocks"))), ["rid", "which", "blocks", "block"])
+    place = (F.col("block") * CELLS + F.col("i")).alias("i")
+    text = F.concat_ws(".", F.hex(F.col("block") * CELLS + F.col("i")), F.col("c").cast("string"), F.hex("d"), F.lower(F.hex(F.col("h").cast("long").bitwiseAND(0xFFFFFFFF))))
+    listed = cells.groupBy("rid", "which", "blocks").agg(F.array_sort(F.collect_list(F.struct(place, text.alias("t")))).alias("all"))
+    return listed.select("rid", "which", F.concat_ws("|", F.col("blocks").cast("string"), F.array_join(F.transform("all", lambda x: x["t"]), ",")).alias("fingerprint"))
 
 
 def with_next(df: DataFrame) -> DataFrame:
     """Add next_text, the text of the next document in order of (doc_id, text's hash); after the last, the first.
 
-    Documents are dealt to ranges of doc_id by approximate quantiles. The first document of each
-    range (as many rows as there are partitions) also joins the range before, so that each range
+    Documents are dealt to ranges of doc_id by approximate quantiles, those without doc_id to 256
+    ranges of the hash. The first document of each range (at most MOST_RANGES + 256) also joins the range before, so that each range
     can be ordered by itself.
     """
     spark = df.sparkSession
-    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = min(MOST_RANGES, max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), df.count() // RANGE_ROWS))
     keyed_ = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", text_key(F.col("text")))
-    cuts = sorted(set(keyed_.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)))) if n > 1 else []
+    cuts = sorted(set(keyed_.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n))))
     place = F.size(F.filter(F.array(*[F.lit(int(c)) for c in cuts]), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
-    placed = keyed_.withColumn("range", F.coalesce(F.when(F.col("doc_id").isNotNull(), place), F.lit(0)))
+    nameless = F.conv(F.substring("key", 1, 2), 16, 10).cast("int") - 256
+    placed = keyed_.withColumn("range", F.when(F.col("doc_id").isNotNull(), place).otherwise(nameless))
     firsts = sorted((r["range"], r["first"]) for r in placed.groupBy("range").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("d"), "key")).alias("first")).collect())
     if not firsts:
         return df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit("").alias("next_text"))
@@ -150,19 +170,16 @@ def compare(df: DataFrame) -> DataFrame:
     """The contract's columns for rows of (doc_id, text)."""
     rows = with_next(df).withColumn("n_chars", F.length("text"))
     rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - cast(floor(n_chars / 4) as int))"), F.expr("substring(next_text, 1, cast(floor(n_chars / 4) as int))")))
-    own, wide = unit_of(F.col("n_chars")), unit_of(F.greatest("n_chars", F.length("next_text")))
-    text, edited, following = F.col("text"), F.col("edited"), F.col("next_text")
     sets = rows.select(
-        F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"),
-        digests(text, own).alias("a"), digests(edited, own).alias("e"), digests(edited, unit_of(F.length(edited))).alias("ef"),
-        digests(text, wide).alias("w"), digests(following, wide).alias("n"),
+        F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("n"),
     )
     main = cut(sets)  # written once, so rid stays as it is
     dealt = main.repartition("rid")
     pair = lambda k, x, y: F.struct(F.lit(k).alias("pair"), F.col(x).alias("x"), F.col(y).alias("y"))
-    pairs = main.select("rid", F.explode(F.array(pair(0, "a", "e"), pair(1, "w", "n"))).alias("p")).select("rid", "p.*")
+    pairs = main.select("rid", F.explode(F.array(pair(0, "a", "e"), pair(1, "a", "n"))).alias("p")).select("rid", "p.*")
     n = differing(pairs.where(F.size("x") + F.size("y") > 0)).groupBy("rid").agg(F.max(F.when(F.col("pair") == 0, F.col("n"))).alias("n0"), F.max(F.when(F.col("pair") == 1, F.col("n"))).alias("n1"))
-    own_sets = dealt.select("rid", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("a").alias("d")), F.struct(F.lit(1).alias("which"), F.col("ef").alias("d")))).alias("s")).select("rid", "s.*")
+    own_sets = dealt.select("rid", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("a").alias("d")), F.struct(F.lit(1).alias("which"), F.col("e").alias("d")))).alias("s")).select("rid", "s.*")
     prints = fingerprints(own_sets).groupBy("rid").agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("f0"), F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("f1"))
 
     def like(x: str, y: str, n: str) -> Column:
@@ -171,7 +188,7 @@ def compare(df: DataFrame) -> DataFrame:
 
     return dealt.join(n, "rid", "left").join(prints, "rid", "left").select(
         "doc_id", "n_chars", "edited_sha256", F.coalesce("f0", F.lit("")).alias("fingerprint"), F.coalesce("f1", F.lit("")).alias("edited_fingerprint"),
-        like("a", "e", "n0").alias("near_edited"), like("w", "n", "n1").alias("near_next"),
+        like("a", "e", "n0").alias("near_edited"), like("a", "n", "n1").alias("near_next"),
     )
 
 
