@@ -6,8 +6,12 @@ keep every shard's row count as it is: a move from shard i to j is paired with a
 by another document that wants it or by one without links. Only counts per pair of shards (at most
 shards squared) go to the driver.
 
-Groups larger than a quarter of a shard are dealt into several parts first, so that no group can
-overfill a shard and no task sees a whole hot group.
+A shard counts for as much as it could hold of a group: its members there and the rows that it could
+give up. So a group goes where it can be whole. Groups of more than a quarter of a shard (at most four to a
+shard) are housed before all others; only groups larger than a whole shard are dealt into parts. What stays apart is reported for every row: its links, and how many of them are cut.
+
+Groups of more than a ten-thousandth of all rows, of which there are at most ten thousand, are the only ones
+broadcast; the others are small enough for any task.
 
 Defined cases: a null text is empty and has size 8; repeated rows are rows of their own; an empty
 table gives no rows; other columns are ignored.
@@ -15,12 +19,14 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, documents, ranked, text_key
 
-SHARDS, ROUNDS = 24, 6
+SHARDS, ROUNDS = 24, 8
 
 
 def quotas(wanted: dict[tuple[int, int], int], free: dict[int, int]) -> tuple[dict, dict]:
@@ -37,25 +43,57 @@ def quotas(wanted: dict[tuple[int, int], int], free: dict[int, int]) -> tuple[di
     return allowed, fill
 
 
+def homes(large: list[tuple[str, int]], seats: list[int]) -> tuple[dict[str, int], list[int]]:
+    """A shard for each large group that can be whole, the largest first, each where most seats are left; and the seats left."""
+    left, home = list(seats), {}
+    for grp, n in sorted(large, key=lambda g: (-g[1], g[0])):
+        j = max(range(len(left)), key=left.__getitem__)
+        if left[j] >= n:
+            home[grp] = j
+            left[j] -= n
+    return home, left
+
+
+def started(rows: DataFrame, shards: int) -> DataFrame:
+    """rows (rid, grp) with linked, part of the group, and the first shard; shards are even."""
+    total = rows.count()
+    part = max(1, total // shards)
+    sizes = cut(rows.groupBy("grp").agg(F.count("*").alias("members")).where("members > 1"))
+    hot = F.col("members") > max(1_000, total // 10_000)  # at most ten thousand groups
+    often = rows.join(F.broadcast(sizes.where(hot).select("grp", F.col("members").alias("hot"))), "grp", "left")
+    members = cut(often.join(sizes.where(~hot), "grp", "left").select("rid", "grp", F.coalesce("hot", "members", F.lit(1)).alias("members")))
+    # Parts of a group larger than a shard: dealt by hash, about half a shard each, so that none overfills one.
+    split = F.when(F.col("members") > part, F.pmod(F.xxhash64("rid"), F.ceil(F.col("members") / (part / 2)))).otherwise(0)
+    placed = members.select("rid", "grp", split.alias("part"), (F.col("members") > 1).alias("linked"))
+    # Groups of more than a quarter of a shard, at most four to a shard, get a home first.
+    large = [(r["grp"], r["members"]) for r in sizes.where((F.col("members") * 4 > part) & (F.col("members") <= part)).collect()]
+    home, left = homes(large, [total // shards + (j < total % shards) for j in range(shards)])
+    if not home:
+        return cut(placed.withColumn("shard", (F.col("rid") % shards).cast("int")))
+    table = F.broadcast(rows.sparkSession.createDataFrame(list(home.items()), "grp string, home int"))
+    housed = placed.join(table, "grp", "left")
+    ends = list(accumulate(left))
+    seat = F.size(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e <= F.col("seat")))
+    others = ranked(cut(housed.where("home is null").drop("home")), [], ["rid"], "seat").withColumn("shard", seat.cast("int")).drop("seat")
+    return cut(housed.where("home is not null").withColumnRenamed("home", "shard").unionByName(others))
+
+
 def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """rows (rid: unique long, grp) -> rid, grp, shard, with row counts per shard at most one apart."""
+    """rows (rid: unique long, grp) -> rid, grp, linked, shard, with row counts per shard at most one apart."""
     spark = rows.sparkSession
-    sizes = rows.groupBy("grp").agg(F.count("*").alias("members"))
-    total = rows.count()
-    part = max(1, total // (4 * shards))
-    linked = cut(rows.join(sizes, "grp").select("rid", "grp", "members", (F.col("rid") % shards).cast("int").alias("shard")))
-    # Parts of a large group: dealt by hash, about `part` rows each.
-    parts = F.ceil(F.col("members") / part)
-    linked = linked.withColumn("part", F.when(F.col("members") > part, F.pmod(F.xxhash64("rid"), parts)).otherwise(0))
-    placed = cut(linked.select("rid", "grp", "part", (F.col("members") > 1).alias("linked"), "shard"))
-    for _ in range(rounds):
+    placed = started(rows, shards)
+    for step in range(rounds):
+        free = {r[0]: r[1] for r in placed.where("not linked").groupBy("shard").count().collect()}
+        room = F.broadcast(spark.createDataFrame([(j, free.get(j, 0)) for j in range(shards)], "shard int, room long"))
         near = placed.where("linked").groupBy("grp", "part", "shard").agg(F.count("*").alias("n"))
-        target = near.groupBy("grp", "part").agg(F.max_by("shard", F.struct("n", F.xxhash64("grp", "part", "shard"))).alias("target"))
+        whole = cut(near.groupBy("grp", "part").agg(F.sum("n").alias("of"), F.count("*").alias("shards")).where("shards > 1"))
+        # As much of the group as the shard could hold; then most members; then any, another one each round.
+        best = F.struct(F.least("of", F.col("n") + F.col("room")), "n", F.xxhash64("grp", "part", "shard", F.lit(step)))
+        target = cut(near.join(whole, ["grp", "part"]).join(room, "shard").groupBy("grp", "part").agg(F.max_by("shard", best).alias("target")))
         want = cut(placed.where("linked").join(target, ["grp", "part"]).where("shard != target").select("rid", "shard", "target"))
         wanted = {(r[0], r[1]): r[2] for r in want.groupBy("shard", "target").count().collect()}
         if not wanted:
             break
-        free = {r[0]: r[1] for r in placed.where("not linked").groupBy("shard").count().collect()}
         allowed, fill = quotas(wanted, free)
         if not any(allowed.values()):
             break
@@ -70,18 +108,22 @@ def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Da
             singles = ranked(placed.where("not linked").select("rid", "shard"), ["shard"], ["rid"], "turn")
             moves = moves.union(singles.join(ranges, ["shard"]).where("turn >= lo and turn < hi").select("rid", "moved"))
         placed = cut(placed.join(moves, "rid", "left").select("rid", "grp", "part", "linked", F.coalesce("moved", "shard").alias("shard")))
-    return placed.select("rid", "grp", "shard")
+    return placed.select("rid", "grp", "linked", "shard")
 
 
 def shard(df: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard, grp for every row of df (doc_id, text)."""
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard, grp, n_links, n_cut for every row of df (doc_id, text)."""
     text = F.coalesce("text", F.lit(""))
     narrow = df.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), text_key(F.col("text")).alias("grp"))
     narrow = cut(ranked(narrow, [], ["doc_id", "grp"], "rid"))
-    placed = propagate(narrow.select("rid", "grp"), shards, rounds).select("rid", "shard")
-    slotted = ranked(placed, ["shard"], ["rid"], "slot")
+    placed = propagate(narrow.select("rid", "grp"), shards, rounds)
+    # Only groups in several shards have cut links; their rows look their counts up, at most `shards` rows for a group.
+    there = placed.where("linked").groupBy("grp", "shard").agg(F.count("*").alias("n"))
+    group = there.groupBy("grp").agg(F.sum("n").alias("of"))
+    counts = cut(there.join(group, "grp").select("grp", "shard", (F.col("of") - 1).alias("n_links"), (F.col("of") - F.col("n")).alias("n_cut")))
+    slotted = ranked(placed.join(counts, ["grp", "shard"], "left").select("rid", "shard", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_cut", F.lit(0)).alias("n_cut")), ["shard"], ["rid"], "slot")
     return narrow.join(slotted, "rid").select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "grp"
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "grp", "n_links", "n_cut"
     )
 
 
