@@ -100,7 +100,26 @@ def test_sharding(spark, edges):
         for _, part in got.groupby("shard"):
             assert sorted(part.slot) == list(range(len(part)))
     split = got.groupby("grp").shard.nunique()
-    assert (split == 1).all()
+    assert (split == 1).all() and (got.n_cut == 0).all()
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    assert sorted(got.doc_id) == sorted(docs)
+    assert all(r.size == len(docs[r.doc_id]) + 8 and r.text_crc32 == zlib.crc32(docs[r.doc_id]) for r in got[["doc_id", "size", "text_crc32"]].itertuples(index=False))
+
+
+def test_groups_that_fit_a_shard_stay_whole(spark):
+    # Three shards of 20 rows: groups of 19 and 3, and one larger than a shard.
+    for sizes in ([19, 3, 3], [18, 18, 3], [30, 5]):
+        texts = [f"group {g}" for g, n in enumerate(sizes) for _ in range(n)]
+        texts += [f"single {k}" for k in range(60 - len(texts))]
+        got = sharding.shard(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), shards=3).toPandas()
+        assert sorted(got.groupby("shard").size()) == [20, 20, 20]
+        for _, part in got.groupby("grp"):
+            if len(part) <= 20:
+                assert part.shard.nunique() == 1 and (part.n_cut == 0).all(), sizes
+            else:
+                counts = part.groupby("shard").size()
+                assert (part.n_cut == len(part) - part.shard.map(counts)).all()
+            assert (part.n_links == len(part) - 1).all()
 
 
 def test_fingerprints(spark, edges, docs):
@@ -112,17 +131,70 @@ def test_fingerprints(spark, edges, docs):
     ids = sorted(docs)
     got = {r.doc_id: r for r in fingerprints.op5_fingerprint_iblt(spark, SF).collect()}
 
-    def units(text, n):
-        unit = next(u for below, u in fingerprints.UNITS if below is None or n < below)
-        return set(re.findall(r"[^\n]{1,%d}\n*|\n+" % unit, text))
+    def units(text):
+        return {p for p in re.findall(fingerprints.PARAGRAPH, text) if p}
 
     for k, i in enumerate(ids):
         text, following = docs[i], docs[ids[(k + 1) % len(ids)]]
         cut = len(text) // 4
         edited = text[: len(text) - cut] + following[:cut]
         assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        a, e = units(text, len(text)), units(edited, len(text))
+        a, e, n = units(text), units(edited), units(following)
         assert abs(got[i].near_edited - (len(a & e) / len(a | e) if a | e else 1)) < 1e-9
+        assert abs(got[i].near_next - (len(a & n) / len(a | n) if a | n else 1)) < 1e-9
+
+
+def test_one_rule_for_every_length(spark):
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, 9))) for _ in range(300)]
+    text = " ".join(rng.choices(words, k=900))
+    texts = [text[:511], text[:512], "x" + text, text, "", None, "w " * 30_000]
+    got = fingerprints.compare(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert got[0].near_next > 0.5 and got[2].near_next > 0.9 and got[4].near_next == 1 and got[4].fingerprint == ""
+
+
+def test_fingerprints_fold_and_subtract(spark):
+    """The published sketches alone tell what differs: fold the larger one, subtract, peel."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, 9))) for _ in range(300)]
+    text = " ".join(rng.choices(words, k=4000))
+    r = fingerprints.compare(spark.createDataFrame([(0, text), (1, text[:9000])], "doc_id long, text string")).where("doc_id = 0").first()
+
+    def cells(printed, blocks):
+        own, listed = printed.split("|")
+        out = {}
+        for item in listed.split(","):
+            place, count, digest, check = item.split(".")
+            block, i = divmod(int(place, 16), fingerprints.CELLS)
+            c, d, h = out.get((block % blocks, i), (0, 0, 0))
+            out[block % blocks, i] = (c + int(count), d ^ int(digest, 16), h ^ int(check, 16))
+        return out
+
+    d = F.explode(fingerprints.digests(F.col("text")))
+    units = lambda t: {p for p in re.findall(fingerprints.PARAGRAPH, t) if p}
+    cut = len(text) // 4
+    edited = text[: len(text) - cut] + text[:9000][:cut]
+    table = spark.createDataFrame([(text,), (edited,)], "text string").select(d.alias("d")).select("d", fingerprints.checksum(F.col("d")).alias("h"), fingerprints.places(F.col("d")).alias("p"))
+    known = {x.d & (1 << 64) - 1: (x.h & 0xFFFFFFFF, x.p) for x in table.collect()}
+    blocks = min(int(p.split("|")[0]) for p in (r.fingerprint, r.edited_fingerprint))
+    x, y = cells(r.fingerprint, blocks), cells(r.edited_fingerprint, blocks)
+    left = {k: (x.get(k, (0, 0, 0))[0] - y.get(k, (0, 0, 0))[0], *[a ^ b for a, b in zip(x.get(k, (0, 0, 0))[1:], y.get(k, (0, 0, 0))[1:])]) for k in x.keys() | y.keys()}
+    left = {k: v for k, v in left.items() if v != (0, 0, 0)}
+    found = 0
+    while True:  # a cell's digest tells its three cells: those of its block that change together
+        pure = [(k, v) for k, v in left.items() if abs(v[0]) == 1 and known.get(v[1], (None,))[0] == v[2]]
+        if not pure:
+            break
+        (block, _), (c, d, h) = pure[0]
+        for i in known[d][1]:
+            a = left.get((block, i), (0, 0, 0))
+            b = (a[0] - c, a[1] ^ d, a[2] ^ h)
+            left[block, i] = b
+            if b == (0, 0, 0):
+                del left[block, i]
+        found += 1
+    a, e = units(text), units(edited)
+    assert not left and found == len(a ^ e)
 
 
 def test_peeling_retries_and_recovers(spark):
