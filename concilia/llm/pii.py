@@ -1,6 +1,6 @@
 """Surrogates for personal data.
 
-Entities (e-mail, phone, IP address, payment card, social security number, IBAN, access key, person
+Entities (e-mail, phone, IP address of both versions, payment card, social security number, IBAN, access key, person
 name) get replacements that depend on a key, the kind and the entity's normal form only, so every
 mention in every document gets the same one (coreference). Runs of letters, digits or hex digits go
 through a keyed Feistel permutation of strings of their length, which keeps format and length and
@@ -13,15 +13,20 @@ Collisions are looked for over the whole corpus before anything is written: a su
 equal its entity, another entity, or another entity's surrogate. Entities that lose get the next
 attempt, until none is left; such exceptions (rare) are joined to their documents by id.
 
-Defined cases: null stays null, empty stays empty; repeated rows are rewritten alike; an empty
-table gives no rows; ``rewritten`` keeps all other columns as they are.
+The key is a secret of the deployment, an argument or the session's setting KEY; without one a key is made
+up for the run.
+
+Defined cases: null stays null, empty stays empty; repeated rows are rewritten alike; ids may be null; an
+empty table gives no rows; ``rewritten`` keeps all other columns as they are, whatever their names.
 """
 
 from __future__ import annotations
 
 import bisect
 import hashlib
+import ipaddress
 import re
+import secrets
 import unicodedata
 from collections.abc import Callable
 
@@ -29,9 +34,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents, text_key
+from .common import cut, documents, name_of, unused
 
-KEY = b"a key of the deployment"
+#: The key's name in the session's configuration. Whoever has the key can undo surrogates.
+KEY = "spark.concilia.pii.key"
 MOST_ATTEMPTS = 20
 
 # Titles that announce a name, with the gender they tell.
@@ -49,9 +55,10 @@ ENDINGS = {"latin": {"f": "lia", "m": "ric", "": "lin"}, "cyrillic": {"f": "ли
 SURNAMES = {"latin": "ner", "cyrillic": "нер", "greek": "νερ"}
 
 EMAIL = re.compile(r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+IP6 = re.compile(r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![\w:])")
 IP = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)")
 SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
-PHONE = re.compile(r"(?<![\w.+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\w+])\+\d(?:[ .-]?\d){7,14}(?!\d)")
+PHONE = re.compile(r"(?<![\w.+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\w+])\+\d(?:[ .-]?\d){7,14}(?!\d)|(?<![\w.+-])[2-9]\d{2}[2-9]\d{6}(?![\w-]|\.\d)")
 CARD = re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")
 IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
@@ -136,6 +143,15 @@ def names(text: str) -> list[Found]:
     return sorted(out.values())
 
 
+def address(text: str) -> str | None:
+    """The normal form of an IPv6 address of two groups and more with a digit; null if it is none."""
+    try:
+        found = ipaddress.IPv6Address(text).compressed
+    except ValueError:
+        return None
+    return found if DIGIT.search(found) and len(found.strip(":").replace("::", ":").split(":")) > 1 else None
+
+
 def entities(text: str | None) -> list[Found]:
     """Entities of a text in order, none overlapping; earlier kinds win."""
     if not text:
@@ -165,6 +181,8 @@ def entities(text: str | None) -> list[Found]:
         each(IP, "ip", lambda s: s if all(int(p) < 256 for p in s.split(".")) else None)
         each(SSN, "ssn", only)
         each(PHONE, "phone", lambda s: ("+" if s[0] == "+" else "") + only(s))
+    if "::" in text or text.count(":") > 6:
+        each(IP6, "ip6", address)
     for a, b, kind, norm in names(text):
         add(a, b, kind, norm)
     return sorted(out)
@@ -244,6 +262,9 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int = 0) -> str:
     if kind == "ip":
         x = permuted(key, tweak, [d for p in norm.split(".") for d in divmod(int(p), 16)], 16)
         return ".".join(str(16 * x[k] + x[k + 1]) for k in range(0, 8, 2))
+    if kind == "ip6":
+        rest = iter(hexed(key, tweak, norm.replace(":", "")))
+        return "".join(":" if c == ":" else next(rest) for c in norm)
     if kind == "iban":
         body = reshaped(key, tweak, norm[4:])
         return f"{norm[:2]}{98 - mod97(norm[:2] + '00' + body):02d}{body}"
@@ -277,6 +298,7 @@ def dressed(kind: str, old: str, new: str) -> str:
 
 
 ENTITY = "kind string, norm string"
+found_in = entities
 
 
 def found_entities(df: DataFrame) -> DataFrame:
@@ -316,37 +338,49 @@ def assigned(entities_: DataFrame, key: bytes) -> DataFrame:
     raise RuntimeError("surrogates still collide; use another key")
 
 
-def rewritten(df: DataFrame, key: bytes = KEY) -> DataFrame:
-    """df with surrogates in its text and a column entities: array of the kinds replaced, in order."""
+def key_of(spark: SparkSession) -> bytes:
+    """The session's key, or one made up for this run: then nobody can undo the surrogates, and another run gives others."""
+    key = spark.conf.get(KEY, None)
+    return hashlib.blake2b(key.encode(), digest_size=32).digest() if key else secrets.token_bytes(32)
+
+
+def rewritten(df: DataFrame, key: bytes | None = None, entities: str | None = "entities") -> DataFrame:
+    """df with surrogates in its text, and a column with the array of the kinds replaced, in order.
+
+    That column is called ``entities``, with a "_" added if df has one of the name; None leaves it out.
+    """
+    key = key or key_of(df.sparkSession)
     exceptions = cut(assigned(found_entities(df), key))
-    rows = df.withColumn("_name", F.xxhash64(F.col("doc_id").cast("string"), text_key(F.col("text"))))
+    name, tries_, new = (unused(df, c) for c in ("_name", "_except", "_new"))
+    rows = df.withColumn(name, name_of())
     if exceptions.isEmpty():
-        rows = rows.withColumn("_except", F.lit(None).cast("map<string,int>"))
+        rows = rows.withColumn(tries_, F.lit(None).cast("map<string,int>"))
     else:
 
         def mentions(batches):
             for pdf in batches:
-                got = {(name, kind, norm) for name, t in zip(pdf._name, pdf.text) for _, _, kind, norm in entities(t)}
-                yield pd.DataFrame(sorted(got), columns=["_name", "kind", "norm"])
+                got = {(n, kind, norm) for n, t in zip(pdf.name, pdf.text) for _, _, kind, norm in found_in(t)}
+                yield pd.DataFrame(sorted(got), columns=["name", "kind", "norm"])
 
-        where = rows.select("_name", "text").mapInPandas(mentions, f"_name long, {ENTITY}").join(exceptions, ["kind", "norm"])
-        maps = where.groupBy("_name").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws(":", "kind", "norm"), "attempt"))).alias("_except"))
-        rows = rows.join(maps, "_name", "left")
+        where = rows.select(F.col(name).alias("name"), "text").mapInPandas(mentions, f"name binary, {ENTITY}").join(exceptions, ["kind", "norm"])
+        maps = where.groupBy(F.col("name").alias(name)).agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws(":", "kind", "norm"), "attempt"))).alias(tries_))
+        rows = rows.join(maps, name, "left")
 
     @F.pandas_udf("text string, entities array<string>")
     def replaced(text: pd.Series, attempts: pd.Series) -> pd.DataFrame:
         out = []
         for t, tries in zip(text, attempts):
             at, parts, kinds, tries = 0, [], [], dict(tries) if tries is not None else {}
-            for a, b, kind, norm in entities(t):
+            for a, b, kind, norm in found_in(t):
                 parts += [t[at:a], dressed(kind, t[a:b], surrogate(key, kind, norm, tries.get(f"{kind}:{norm}", 0)))]
                 kinds.append(kind)
                 at = b
             out.append((t if not parts else "".join([*parts, t[at:]]), kinds))
         return pd.DataFrame(out, columns=["text", "entities"])
 
-    done = rows.withColumn("_new", replaced("text", "_except"))
-    return done.select(*[F.col("_new.text").alias("text") if c == "text" else F.col(c) for c in df.columns], F.col("_new.entities").alias("entities"))
+    done = rows.withColumn(new, replaced("text", tries_))
+    added = [F.col(f"{new}.entities").alias(unused(df, entities))] if entities else []
+    return done.select(*[F.col(f"{new}.text").alias("text") if c == "text" else F.col(c) for c in df.columns], *added)
 
 
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
