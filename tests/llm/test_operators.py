@@ -412,6 +412,53 @@ def test_secrets_of_every_form(spark):
     assert not any(r.random for r in secrets.scan(dull).collect())
 
 
+def test_ordinary_identifiers_are_no_secrets(spark):
+    rng = random.Random(12)
+    words = "get user account by id name process incoming request handler my long variable with digits https example com path segment load file from disk write buffer size index table column value check parse date time zone default config open close stream reader".split()
+
+    def identifier(least):
+        out, style = "", rng.randrange(4)
+        while len(out) < least:
+            w = rng.choice(words) + (str(rng.randrange(10)) if rng.random() < 0.2 else "")
+            out += [w.capitalize(), w, w + "_", w.upper() + "_"][style]
+        return out.rstrip("_") + str(rng.randrange(10))
+
+    dull = ["getUserAccountById2Name", "processIncomingRequest4Handler", "MyLongVariableNameWithDigits123", "https3ExampleComPathSegment"]
+    dull += [identifier(n) for n in (20, 28, 36, 60, 90) for _ in range(100)]
+    real = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n)) for n in (24, 32, 40, 64) for _ in range(25)]
+    real = [r for r in real if re.search("[0-9]", r)]
+    prose = spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(50).collect()
+    rows = [(k, f"x {t} y") for k, t in enumerate(dull + real)] + [(None, r.text) for r in prose]
+    got = {r.doc_id: r.random for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id is not null").collect()}
+    alarms = [dull[k] for k in range(len(dull)) if got[k]]
+    assert not set(dull[:4]) & set(alarms) and len(alarms) <= 0.01 * len(dull), alarms
+    assert sum(bool(got[len(dull) + k]) for k in range(len(real))) >= 0.9 * len(real)
+
+
+IDS = [2**53 + 1, 2**63 - 1, -(2**63), None]
+
+
+def test_ids_of_any_size_beside_null(spark):
+    df = spark.createDataFrame([(i, f"{BASE} {k}") for k, i in enumerate(IDS)], "doc_id long, text string").coalesce(1)
+    labels = spark.createDataFrame([(IDS[0], 1)], "doc_id long, quality int")
+    for out in (bpe.round_trip(df), bpe.encode(df), bpe.decode(bpe.encode(df)), packing.pack_documents(df), sharding.shard(df, shards=2), fingerprints.compare(df), suffixes.judged(df), suffixes.cleaned(df), jaccard.join(df), quality.scored(df, labels), pii.rewritten(df), secrets.scan(df)):
+        assert Counter(r.doc_id for r in out.collect()) == Counter(IDS)
+    vectors = spark.createDataFrame([(i, [1.0, 2.0, 3.0 + k]) for k, i in enumerate([*IDS, None])], "vec_id long, embedding array<double>").coalesce(1)
+    got = embeddings.near_duplicates(vectors).collect()
+    assert Counter(r.vec_id for r in got) == Counter([*IDS, None]) and {r.component_id for r in got} <= {-(2**63), None}
+
+
+def test_columns_of_any_name(spark):
+    clash = ["entities", "_name", "_new", "_except", "_packed", "_spans", "_id", "size", "length", "key", "name", "data", "range"]
+    df = spark.createDataFrame([(i, t, *["v"] * len(clash)) for i, t in EDGES], ", ".join(["doc_id long", "text string", *[f"{c} string" for c in clash]]))
+    labels = spark.createDataFrame([(4, 1), (5, 1), (2, 0)], "doc_id long, quality int")
+    for out in (suffixes.cleaned(df), suffixes.cleaned(df, least_words=51), jaccard.deduplicated(df), quality.accepted(df, labels), pii.rewritten(df, entities=None)):
+        assert out.columns == df.columns and {tuple(r)[2:] for r in out.collect()} == {("v",) * len(clash)}
+    assert pii.rewritten(df).columns == [*df.columns, "entities_"]
+    for out in (bpe.round_trip(df), sharding.shard(df), fingerprints.compare(df), suffixes.judged(df), jaccard.join(df), quality.scored(df, labels), secrets.scan(df)):
+        assert out.count() == len(EDGES)
+
+
 def test_empty_tables(spark, nothing):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     for out in (bpe.round_trip(nothing), packing.pack_documents(nothing), sharding.shard(nothing), fingerprints.compare(nothing), suffixes.judged(nothing), suffixes.cleaned(nothing), jaccard.join(nothing), jaccard.deduplicated(nothing), quality.scored(nothing, labels), pii.rewritten(nothing), secrets.scan(nothing)):
