@@ -40,6 +40,7 @@ LENGTH, GRAM = 400, 32
 #: About fifty words, for the columns on passages.
 PASSAGE = 256
 BLOCK, ROWS_EACH = 2000, 1200
+MOST_PIECES = 1 << 14
 STRETCH = 1 << 22  # window starts handled at once in a very long text
 
 
@@ -249,19 +250,29 @@ def raw_of(packed: bytes | None) -> bytes:
 
 
 def located(df: DataFrame, length: int) -> DataFrame:
-    """A row for each piece: name (of its document), anchor, digest, first and last window."""
+    """The pieces of each document in arrays, MOST_PIECES to a row: name (of its document), anchor, digest, first and last window.
+
+    Arrays take a third of the room that rows would; pieces() makes rows of them.
+    """
 
     def run(batches):
         for pdf in batches:
             rows = []
             for name, raw in zip(pdf.name, pdf.data):
                 raw = raw or b""
-                for a, b, anchor in pieces_of(np.frombuffer(raw, dtype=np.uint8), length):
-                    rows.append((name, anchor, xxhash.xxh3_64_intdigest(raw[a : b + length]), a, b))
-            out = pd.DataFrame(rows, columns=["name", "anchor", "digest", "first", "last"])
-            yield out.assign(digest=out.digest.to_numpy(dtype=np.uint64).view(np.int64))
+                mine = pieces_of(np.frombuffer(raw, dtype=np.uint8), length)
+                for at in range(0, len(mine), MOST_PIECES):
+                    first, last, anchor = zip(*mine[at : at + MOST_PIECES])
+                    digest = np.array([xxhash.xxh3_64_intdigest(raw[a : b + length]) for a, b in zip(first, last)], dtype=np.uint64).view(np.int64)
+                    rows.append((name, np.array(anchor, dtype=np.int64), digest, np.array(first, dtype=np.int32), np.array(last, dtype=np.int32)))
+            yield pd.DataFrame(rows, columns=["name", "anchor", "digest", "first", "last"])
+
+    return df.select("name", "data").mapInPandas(run, "name binary, anchor array<long>, digest array<long>, first array<int>, last array<int>")
+
 
-    return df.select("name", "data").mapInPandas(run, f"name binary, {PIECE}, first int, last int")
+def pieces(every: DataFrame) -> DataFrame:
+    """A row for each piece of located()."""
+    return every.select("name", F.explode(F.arrays_zip("anchor", "digest", "first", "last")).alias("p")).select("name", "p.*")
 
 
 def fetched(df: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -316,18 +327,18 @@ def sorted_out(units: DataFrame, length: int) -> DataFrame:
 def spans(df: DataFrame, length: int = LENGTH) -> DataFrame:
     """name, spans: array<struct<start, end>> of repeated bytes, for df (name, data); documents without any are left out."""
     every = cut(located(df, length))
-    twice = cut(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
-    pieces = cut(every.join(twice, "anchor", "left_semi"))
-    kinds = cut(pieces.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min(F.struct("name", "first", "last")).alias("at")))
-    shared = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    several = kinds.join(shared, "anchor", "left_semi")
+    twice = cut(every.select(F.explode("anchor").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
+    shared_ = cut(pieces(every).join(twice, "anchor", "left_semi"))
+    kinds = cut(shared_.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min(F.struct("name", "first", "last")).alias("at")))
+    shared = cut(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor"))
+    several = cut(kinds.join(shared, "anchor", "left_semi"))
     units = block_pairs(several.select("anchor", "digest"), ["anchor"], "digest", BLOCK)
     units = sharded(cut(units), ["anchor", "bi", "bj"], ROWS_EACH)
     bytes_ = fetched(df, several.select("anchor", "digest", "at.name", "at.first", "at.last"), length)
     partly = sorted_out(units.join(bytes_, ["anchor", "digest"]), length)
     wholly = kinds.where("n > 1").select("anchor", "digest", F.lit(0).alias("a"), (F.col("at.last") - F.col("at.first") + 1).alias("b"))
     marks = cut(partly.join(wholly, ["anchor", "digest"], "left_anti").union(wholly))
-    found = pieces.join(marks, ["anchor", "digest"]).select("name", F.struct((F.col("first") + F.col("a")).alias("start"), (F.col("first") + F.col("b") - 1 + length).alias("end")).alias("span"))
+    found = shared_.join(marks, ["anchor", "digest"]).select("name", F.struct((F.col("first") + F.col("a")).alias("start"), (F.col("first") + F.col("b") - 1 + length).alias("end")).alias("span"))
     # Two rows with one name have the same spans; a set keeps them once.
     return found.groupBy("name").agg(F.array_sort(F.collect_set("span")).alias("spans"))
 
