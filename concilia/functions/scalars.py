@@ -119,6 +119,12 @@ def num_parse(x: Column) -> Column:
     return F.when(s.rlike(NUMBER), s.try_cast("double")).otherwise(0.0)
 
 
+def num_strict(x: Column) -> Column:
+    """Blank is 0; text that is no number (a decimal comma too) is null, so comparisons with it accept nothing."""
+    s = str_clean(x)
+    return F.when(s == "", 0.0).when(s.rlike(NUMBER), s.try_cast("double"))
+
+
 def num_prefix_parse(x: Column) -> Column:
     s = F.regexp_extract(first_comma(x), r"^\s*([+-]?\d+(?:\.\d+)?)", 1)
     return F.coalesce(s.try_cast("double"), F.lit(0.0))
@@ -167,9 +173,9 @@ def parse_time_ampm(x: Column) -> Column:
 
 
 def format_hora(x: Column, seconds: bool = True) -> Column:
-    """H:mm and H:mm:ss padded; other text as it is."""
+    """Padded: with seconds H:mm and H:mm:ss to HH:mm:ss, without them H:mm only to HH:mm; other text as it is."""
     s = str_clean(x)
-    hms = r"^(\d{1,2}):(\d{2})(?::(\d{2}))?$"
+    hms = r"^(\d{1,2}):(\d{2})(?::(\d{2}))?$" if seconds else r"^(\d{1,2}):(\d{2})$"
     padded = F.concat(F.lpad(F.regexp_extract(s, hms, 1), 2, "0"), F.lit(":"), F.regexp_extract(s, hms, 2))
     if seconds:
         padded = F.concat(padded, F.lit(":"), F.coalesce(F.nullif(F.regexp_extract(s, hms, 3), F.lit("")), F.lit("00")))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from . import flagship as full
 from . import jobs, relations, scalars
 
-MODULES = [scalars, relations, jobs]
+MODULES = [scalars, relations, jobs, full]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
-flagship = jobs.flagship
+flagship = full.full_pipeline

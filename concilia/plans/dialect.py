@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.dictionaries import ALIASES_BLANK, ALIASES_KEEP, ALIASES_TITLE, CANON
+from ..functions.dictionaries import ALIASES_BLANK, ALIASES_KEEP, ALIASES_TITLE, CANON, STATUSES
 from ..sources.sheets import AS_OF
 
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -76,12 +76,20 @@ def time(x: str) -> str:
 
 
 def hora(x: str, seconds: bool = True) -> str:
-    p = r"^(\d{1,2}):(\d{2})(?::(\d{2}))?$"
+    p = r"^(\d{1,2}):(\d{2})(?::(\d{2}))?$" if seconds else r"^(\d{1,2}):(\d{2})$"
     g = lambda k: f"regexp_extract({clean(x)}, '{p}', {k})"
     tail = f" || ':' || CASE WHEN {g(3)} = '' THEN '00' ELSE {g(3)} END" if seconds else ""
     return f"CASE WHEN regexp_matches({clean(x)}, '{p}') THEN lpad({g(1)}, 2, '0') || ':' || {g(2)}{tail} ELSE {clean(x)} END"
 
 
+def strict(x: str) -> str:
+    return f"CASE WHEN {clean(x)} = '' THEN 0.0 WHEN regexp_matches({clean(x)}, '{NUMBER}') THEN CAST({clean(x)} AS DOUBLE) END"
+
+
+def number_text(x: str) -> str:
+    return f"CASE WHEN {x} = floor({x}) THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) ELSE CAST({x} AS VARCHAR) END"
+
+
 def ymd(d: str) -> str:
     return f"strftime({d}, '%Y%m%d')"
 
@@ -93,6 +101,6 @@ def fbf(figura: str = "figura", barrio: str = "barrio", fecha: str = "fecha") ->
 def map_status(x: str) -> str:
     n = status(x)
     return (
-        f"CASE WHEN {clean(x)} IN ('Realizada', 'Suspendida', 'Reprogramada', 'en agenda', 'Se modifico el barrio') THEN {clean(x)} WHEN {n} LIKE 'realizad%' THEN 'Realizada' WHEN {n} LIKE 'programad%' THEN 'en agenda' "
+        f"CASE WHEN {clean(x)} IN ({', '.join(map(quoted, STATUSES))}) THEN {clean(x)} WHEN {n} LIKE 'realizad%' THEN 'Realizada' WHEN {n} LIKE 'programad%' THEN 'en agenda' "
         f"WHEN {n} LIKE 'reprogramad%' THEN 'Reprogramada' WHEN {n} LIKE '%suspendid%' OR {n} LIKE 'cancelad%' THEN 'Suspendida' WHEN {n} LIKE '%se modifico barrio%' OR {n} LIKE '%modifico el barrio%' THEN 'Se modifico el barrio' ELSE 'en agenda' END"
     )

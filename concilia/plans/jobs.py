@@ -9,6 +9,7 @@ from ..functions import scalars as X
 from ..functions.dictionaries import CANON, STATUSES
 from ..operators import parse
 from ..operators import relational as R
+from ..operators import steps as S
 from ..sources.sheets import AS_OF, raw, sheet, sql_with
 from . import dialect as D
 from . import relations as Q
@@ -84,24 +85,28 @@ def fill_if_empty(spark, d):
 _SOURCE = f"CASE WHEN {D.clean('barrio_manual')} <> '' THEN barrio_manual ELSE barrio END"
 
 
-@query("fill_barrion", f"SELECT _row, CASE WHEN {D.clean(_SOURCE)} = '' THEN 'old' ELSE {D.barrio_title(_SOURCE)} END AS barrion FROM b2", "b2")
+@query("fill_barrion", f"SELECT _row, CASE WHEN {D.clean(_SOURCE)} = '' THEN {D.barrio_keep('barrio')} ELSE {D.barrio_title(_SOURCE)} END AS barrion FROM b2", "b2")
 def fill_barrion(spark, d):
     source = F.coalesce(X.blank_null(c("barrio_manual")), X.blank_null(c("barrio")))
-    return sheet(spark, d, "b2").select("_row", F.when(source.isNull(), "old").otherwise(X.barrio_canon_title(source)).alias("barrion"))
+    return sheet(spark, d, "b2").select("_row", F.when(source.isNull(), X.barrio_canon(c("barrio"))).otherwise(X.barrio_canon_title(source)).alias("barrion"))
 
 
-@query("backfill_ages_b2", f", b AS (SELECT nullif({D.norm('name')}, '') || '|' || CAST(inscriptos AS VARCHAR) AS key, _row, e18, e25 FROM raw), l AS (SELECT key, arg_max(e18, _row) AS e18, arg_max(e25, _row) AS e25 FROM b GROUP BY key) SELECT t._row, l.e18, l.e25 FROM (SELECT *, nullif({D.norm('figura')}, '') || '|' || CAST(inscriptos AS VARCHAR) AS key FROM b2) t JOIN l USING (key)", "b2")
+@query("backfill_ages_b2", f", b AS (SELECT nullif({D.norm('name')}, '') || '|' || CAST(inscriptos AS VARCHAR) AS key, _row, e18, e25, e40, e56, e66 FROM raw), l AS (SELECT * FROM b WHERE key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY key ORDER BY _row DESC) = 1) SELECT t._row, l.e18, l.e25, l.e40, l.e56, l.e66 FROM (SELECT *, nullif({D.norm('figura')}, '') || '|' || CAST(inscriptos AS VARCHAR) AS key FROM b2) t JOIN l USING (key)", "b2")
 def backfill_ages_b2(spark, d):
-    source = raw(spark, d).select(X.key_b(c("name"), c("inscriptos")).alias("key"), "_row", "e18", "e25")
-    found = R.keep(source, "key").select("key", "e18", "e25")
-    return sheet(spark, d, "b2").select("_row", X.key_b(c("figura"), c("inscriptos")).alias("key")).join(found, "key").select("_row", "e18", "e25")
+    source = raw(spark, d).select(X.key_b(c("name"), c("inscriptos")).alias("key"), "_row", *S.AGES)
+    found = R.keep(source, "key").select("key", *S.AGES)
+    return sheet(spark, d, "b2").select("_row", X.key_b(c("figura"), c("inscriptos")).alias("key")).join(found, "key").select("_row", *S.AGES)
 
 
-@query("backfill_ages_base", f"{Q.KEYED('b2', 'base')}{LAST('base')}{LAST('b2')} SELECT base_l._row, b2_l.e18, b2_l.e25, CAST(CASE WHEN b2_l.e66 = 0 AND b2_l.inscriptos > 0 AND b2_l.e18 + b2_l.e25 > 0 THEN greatest(0, b2_l.inscriptos - b2_l.e18 - b2_l.e25) ELSE b2_l.e66 END AS BIGINT) AS sin FROM base_l JOIN b2_l USING (key)", "b2", "base")
+_AGES = [f"b2_l.{x}" for x in S.AGES]
+_SUM = "(" + " + ".join(_AGES) + ")"
+
+
+@query("backfill_ages_base", f"{Q.KEYED('b2', 'base')}{LAST('base')}{LAST('b2')} SELECT base_l._row, {', '.join(_AGES)}, CAST(CASE WHEN b2_l.e66 = 0 AND b2_l.inscriptos > 0 AND {_SUM} > 0 THEN greatest(0, b2_l.inscriptos - {_SUM}) ELSE b2_l.e66 END AS BIGINT) AS sin FROM base_l JOIN b2_l USING (key)", "b2", "base")
 def backfill_ages_base(spark, d):
-    b = last(spark, d, "b2")
-    sin = F.when((c("e66") == 0) & (c("inscriptos") > 0) & (c("e18") + c("e25") > 0), F.greatest(F.lit(0), c("inscriptos") - c("e18") - c("e25"))).otherwise(c("e66")).cast("long")
-    return last(spark, d, "base").select("key", "_row").join(b.select("key", "e18", "e25", sin.alias("sin")), "key").select("_row", "e18", "e25", "sin")
+    ages = sum((c(x) for x in S.AGES[1:]), c(S.AGES[0]))
+    sin = F.when((c("e66") == 0) & (c("inscriptos") > 0) & (ages > 0), F.greatest(F.lit(0), c("inscriptos") - ages)).otherwise(c("e66")).cast("long")
+    return last(spark, d, "base").select("key", "_row").join(last(spark, d, "b2").select("key", *S.AGES, sin.alias("sin")), "key").select("_row", *S.AGES, "sin")
 
 
 def _missing(a: str, b: str):
@@ -121,26 +126,68 @@ _CANON_SQL = ", ".join(map(D.quoted, CANON))
 _STATUS_SQL = ", ".join(map(D.quoted, STATUSES))
 
 
-@query("validate_findings", f"{Q.KEYED('a2', 'base', 'b2')}{_FIRST}, j AS (SELECT a2_k.*, base_f.key AS bkey, base_f.hora AS bhora, base_f.status AS bstatus, base_f.asis AS basis FROM a2_k LEFT JOIN base_f USING (key) WHERE a2_k.key IS NOT NULL), s AS (SELECT key FROM a2_k UNION SELECT key FROM b2_k)"
-    f" SELECT 'A2' AS origen, _row, key, 'FALTA EN BASE FINAL' AS tipo, '' AS campo FROM j WHERE bkey IS NULL UNION ALL SELECT 'A2', _row, key, 'BARRIO NO CANÓNICO', 'Barrio' FROM j WHERE bkey IS NOT NULL AND barrio NOT IN ({_CANON_SQL})"
-    f" UNION ALL SELECT 'A2', _row, key, 'DIFERENCIA', 'HORA' FROM j WHERE bkey IS NOT NULL AND {D.hora('hora')} <> {D.hora('bhora')} UNION ALL SELECT 'A2', _row, key, 'DIFERENCIA', 'Asistentes' FROM j WHERE bkey IS NOT NULL AND asis <> basis"
-    f" UNION ALL SELECT 'A2', _row, key, 'DIFERENCIA', 'STATUS' FROM j WHERE bkey IS NOT NULL AND {D.map_status('status')} <> {D.clean('bstatus')} UNION ALL SELECT 'BaseFinal', _row, key, 'STATUS NO PERMITIDO', 'STATUS' FROM j WHERE bkey IS NOT NULL AND {D.clean('bstatus')} <> '' AND {D.clean('bstatus')} NOT IN ({_STATUS_SQL})"
-    f" UNION ALL SELECT 'BaseFinal', min(_row), key, 'DUPLICADO EN BASE FINAL', string_agg(CAST(_row AS VARCHAR), ',' ORDER BY _row) FROM base_k WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1 UNION ALL SELECT 'BaseFinal', _row, key, 'ORPHAN EN BASE FINAL', '' FROM base_f WHERE key NOT IN (SELECT key FROM s WHERE key IS NOT NULL)", "a2", "b2", "base")
+#: Fields that the validator compares: name, column, as numbers.
+_A2_FIELDS = [("Figura", "figura", False), ("Barrio", "barrio", False), ("HORA", "hora", False), ("Dirección", "direccion", False), ("Asistentes", "asistentes", True)]
+_B2_FIELDS = [("Inscriptos", "inscriptos", True), ("Mail", "mail", True), ("Call Center", "callc", True), ("IVR", "ivr", True), ("RRSS", "rrss", True), ("Difusión", "difusion", True), ("Maculinos", "ins_m", True), ("Femeninos", "ins_f", True)]
+_CHECKED = list(dict.fromkeys(x for _, x, _ in _A2_FIELDS + _B2_FIELDS))
+_text = lambda x, numeric: D.number_text(D.num(x)) if numeric else D.clean(x)
+_ROWS = ", ".join(f"{_text(x, n)} AS {x}" for _, x, n in _A2_FIELDS + _B2_FIELDS)
+_MAPPED = f", {D.map_status('status')} AS mapped, {D.clean('status')} AS estado"
+
+
+def _diffs(side: str, fields) -> str:
+    return "".join(f" UNION ALL SELECT '{side}', CAST(_row AS VARCHAR), key, 'DIFERENCIA', '{campo}', {x}, b_{x} FROM j_{side} WHERE bkey IS NOT NULL AND {x} <> b_{x}" for campo, x, _ in fields)
+
+
+_ONE_SIDE = lambda n, side: (
+    f" SELECT '{side}' AS origen, CAST(_row AS VARCHAR) AS fila, key, 'FALTA EN BASE FINAL' AS tipo, '' AS campo, '' AS valor_origen, '' AS valor_base FROM j_{side} WHERE bkey IS NULL"
+    f" UNION ALL SELECT '{side}', CAST(_row AS VARCHAR), key, 'BARRIO NO CANÓNICO', 'Barrio', barrio, '' FROM j_{side} WHERE bkey IS NOT NULL AND barrio NOT IN ({_CANON_SQL})"
+)
+_BASE_SIDE = "".join(f", {x} AS b_{x}" for x in _CHECKED)
+
+
+@query("validate_findings", f"{Q.KEYED('a2', 'base', 'b2')}" + "".join(f", {n}_t AS (SELECT _row, key, {_ROWS}{_MAPPED} FROM {n}_k WHERE key IS NOT NULL)" for n in ("a2", "b2", "base"))
+    + f", hit AS (SELECT key AS bkey, _row AS b_row, estado AS b_estado{_BASE_SIDE} FROM base_t QUALIFY row_number() OVER (PARTITION BY key ORDER BY _row) = 1), j_A2 AS (SELECT * FROM a2_t LEFT JOIN hit ON key = bkey), j_B2 AS (SELECT * FROM b2_t LEFT JOIN hit ON key = bkey)"
+    + f", orphan AS (SELECT * FROM hit WHERE bkey NOT IN (SELECT key FROM a2_t) AND bkey NOT IN (SELECT key FROM b2_t))"
+    + _ONE_SIDE("a2", "A2") + _diffs("A2", _A2_FIELDS) + " UNION ALL SELECT 'A2', CAST(_row AS VARCHAR), key, 'DIFERENCIA', 'STATUS REUNIÓN', mapped, b_estado FROM j_A2 WHERE bkey IS NOT NULL AND mapped <> b_estado"
+    + f" UNION ALL SELECT 'BaseFinal', CAST(b_row AS VARCHAR), key, 'STATUS NO PERMITIDO', 'STATUS REUNIÓN', '', b_estado FROM j_A2 WHERE b_estado <> '' AND b_estado NOT IN ({_STATUS_SQL})"
+    + " UNION ALL" + _ONE_SIDE("b2", "B2") + _diffs("B2", _B2_FIELDS)
+    + " UNION ALL SELECT 'BaseFinal', string_agg(CAST(_row AS VARCHAR), ',' ORDER BY _row), key, 'DUPLICADO EN BASE FINAL', '', '', '' FROM base_t GROUP BY key HAVING count(*) > 1"
+    + " UNION ALL SELECT 'BaseFinal', CAST(b_row AS VARCHAR), bkey, 'ORPHAN EN BASE FINAL', '', '', '' FROM orphan"
+    + f" UNION ALL SELECT 'BaseFinal', CAST(b_row AS VARCHAR), bkey, 'BARRIO NO CANÓNICO', 'Barrio', b_barrio, '' FROM orphan WHERE b_barrio <> '' AND b_barrio NOT IN ({_CANON_SQL})"
+    + f" UNION ALL SELECT 'BaseFinal', CAST(b_row AS VARCHAR), bkey, 'STATUS NO PERMITIDO', 'STATUS REUNIÓN', '', b_estado FROM orphan WHERE b_estado <> '' AND b_estado NOT IN ({_STATUS_SQL})", "a2", "b2", "base")
 def validate_findings(spark, d):
-    base = Q.keyed(spark, d, "base")
-    first = R.keep(base, "key", last=False)
-    names = first.select("key", c("hora").alias("bhora"), c("status").alias("bstatus"), c("asis").alias("basis"), F.lit(True).alias("there"))
-    j = Q.keyed(spark, d, "a2").where("key is not null").join(names, "key", "left")
-    finding = lambda cond, tipo, campo, origen="A2": F.when(cond, F.struct(F.lit(origen).alias("origen"), F.lit(tipo).alias("tipo"), F.lit(campo).alias("campo")))
-    there, text = c("there").isNotNull(), X.str_clean(c("bstatus"))
-    checks = F.array(
-        finding(~there, "FALTA EN BASE FINAL", ""), finding(there & ~c("barrio").isin(CANON), "BARRIO NO CANÓNICO", "Barrio"), finding(there & (X.format_hora(c("hora")) != X.format_hora(c("bhora"))), "DIFERENCIA", "HORA"),
-        finding(there & (c("asis") != c("basis")), "DIFERENCIA", "Asistentes"), finding(there & (X.map_status(c("status")) != text), "DIFERENCIA", "STATUS"), finding(there & (text != "") & ~text.isin(STATUSES), "STATUS NO PERMITIDO", "STATUS", "BaseFinal"),
-    )
-    a = j.select("_row", "key", F.explode(F.filter(checks, lambda x: x.isNotNull())).alias("f")).select("f.origen", "_row", "key", "f.tipo", "f.campo")
-    lists = Q.duplicate_row_lists(spark, d).join(first.select("key", "_row"), "key").select(F.lit("BaseFinal").alias("origen"), "_row", "key", F.lit("DUPLICADO EN BASE FINAL").alias("tipo"), c("filas").alias("campo"))
-    orphans = Q.base_orphans(spark, d).select(F.lit("BaseFinal").alias("origen"), "_row", "key", F.lit("ORPHAN EN BASE FINAL").alias("tipo"), F.lit("").alias("campo"))
-    return a.unionByName(lists).unionByName(orphans)
+    """Each sheet is derived and shuffled once by key; the findings of a row, of a base row and of an orphan are exploded from the joined row."""
+    cell = lambda x, numeric: (S.number_text(X.num_parse(c(x))) if numeric else X.str_clean(c(x))).alias(x)
+
+    def rows(name: str, fields) -> DataFrame:
+        keyed = Q.keyed(spark, d, name).where("key is not null")
+        return keyed.select("key", F.struct(F.lit(name.upper()).alias("side"), "_row", *[cell(x, n) if (x in fields) else F.lit(None).cast("string").alias(x) for _, x, n in _A2_FIELDS + _B2_FIELDS], X.map_status(c("status")).alias("mapped"), X.str_clean(c("status")).alias("estado")).alias("r"))
+
+    sources = rows("a2", [x for _, x, _ in _A2_FIELDS]).unionByName(rows("b2", ["barrio", *[x for _, x, _ in _B2_FIELDS]]))
+    base = rows("base", _CHECKED).groupBy("key").agg(F.min_by("r", "r._row").alias("hit"), F.sort_array(F.collect_list("r._row")).alias("filas"))
+    both = sources.join(base, "key", "full_outer")
+    there, found = c("hit").isNotNull() & c("r").isNotNull(), c("r").isNotNull()
+    a2, orphan = c("r.side") == "A2", c("r").isNull()
+    own, its, text = c("r._row").cast("string"), c("hit._row").cast("string"), lambda v: F.coalesce(v, F.lit(""))
+
+    def finding(cond, tipo, campo="", value=F.lit(""), base_value=F.lit(""), origen=None, fila=None):
+        said = F.struct((F.lit(origen) if origen else c("r.side")).alias("origen"), (own if fila is None else fila).alias("fila"), F.lit(tipo).alias("tipo"), F.lit(campo).alias("campo"), text(value).alias("valor_origen"), text(base_value).alias("valor_base"))
+        return F.when(cond, said)
+
+    differs = [finding(there & (c("r.side") == side) & (c(f"r.{x}") != c(f"hit.{x}")), "DIFERENCIA", campo, c(f"r.{x}"), c(f"hit.{x}")) for side, fields in (("A2", _A2_FIELDS), ("B2", _B2_FIELDS)) for campo, x, _ in fields]
+    estado, barrio = c("hit.estado"), c("hit.barrio")
+    forbidden = (estado != "") & ~estado.isin(STATUSES)
+    checks = [
+        finding(found & c("hit").isNull(), "FALTA EN BASE FINAL"), finding(there & ~c("r.barrio").isin(CANON), "BARRIO NO CANÓNICO", "Barrio", c("r.barrio")), *differs,
+        finding(there & a2 & (c("r.mapped") != estado), "DIFERENCIA", "STATUS REUNIÓN", c("r.mapped"), estado), finding(there & a2 & forbidden, "STATUS NO PERMITIDO", "STATUS REUNIÓN", base_value=estado, origen="BaseFinal", fila=its),
+        finding(orphan, "ORPHAN EN BASE FINAL", origen="BaseFinal", fila=its), finding(orphan & (barrio != "") & ~barrio.isin(CANON), "BARRIO NO CANÓNICO", "Barrio", barrio, origen="BaseFinal", fila=its),
+        finding(orphan & forbidden, "STATUS NO PERMITIDO", "STATUS REUNIÓN", base_value=estado, origen="BaseFinal", fila=its),
+    ]
+    told = both.select("key", F.explode(F.filter(F.array(*checks), lambda x: x.isNotNull())).alias("f")).select("f.origen", "f.fila", "key", "f.tipo", "f.campo", "f.valor_origen", "f.valor_base")
+    filas = F.array_join(F.transform("filas", lambda r: r.cast("string")), ",")
+    again = base.where(F.size("filas") > 1).select(F.lit("BaseFinal").alias("origen"), filas.alias("fila"), "key", F.lit("DUPLICADO EN BASE FINAL").alias("tipo"), *[F.lit("").alias(x) for x in ("campo", "valor_origen", "valor_base")])
+    return told.unionByName(again)
 
 
 @query("findings_union", f"{Q.KEYED('a2', 'b2')} SELECT 'A2' AS origen, _row FROM a2_k WHERE key IS NULL UNION ALL SELECT 'B2', _row FROM b2_k WHERE key IS NULL", "a2", "b2")
@@ -233,11 +280,11 @@ def agenda_sync(spark, d):
     return rows.withColumns({"archived": old, "week": X.week_bucket(c("fecha"), AS_OF)})
 
 
-def flagship(spark, d) -> DataFrame:
-    """The pipeline: attendance and channels go into the base, and each base row tells what has changed."""
+def base_updates(spark, d) -> DataFrame:
+    """What attendance and channels change in each keyed base row."""
     attendance, channels = upsert_base_attendance(spark, d), upsert_base_channels(spark, d)
     return attendance.join(channels, "_row", "left").select("_row", "asistentes", "status", "inscriptos", "rrss", "e18")
 
 
-QUERIES["full_pipeline"] = flagship
-SQL["full_pipeline"] = f"WITH a AS ({SQL['upsert_base_attendance']}), b AS ({SQL['upsert_base_channels']}) SELECT a._row, asistentes, status, inscriptos, rrss, e18 FROM a LEFT JOIN b USING (_row)"
+QUERIES["base_updates"] = base_updates
+SQL["base_updates"] = f"WITH a AS ({SQL['upsert_base_attendance']}), b AS ({SQL['upsert_base_channels']}) SELECT a._row, asistentes, status, inscriptos, rrss, e18 FROM a LEFT JOIN b USING (_row)"

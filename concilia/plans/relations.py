@@ -190,20 +190,32 @@ def lookup_fill(spark, d):
     return target.join(found, "pf", "left").select("_row", F.when(c("barrio") == "", F.coalesce("found", F.lit(""))).otherwise(c("barrio")).alias("barrio"))
 
 
-@query("fallback_chain_match", f"{KEYED('a2', 'base')}, p AS (SELECT key, max(_row) AS r FROM base_k WHERE key IS NOT NULL GROUP BY key), q AS (SELECT {D.norm('figura')} || '|' || {D.ymd('fecha_d')} AS key2, max(_row) AS r FROM base_k WHERE fecha_d IS NOT NULL GROUP BY 1) SELECT a2_k._row, coalesce(p.r, q.r) AS match, CASE WHEN p.r IS NOT NULL THEN 'figura+barrio+fecha' WHEN q.r IS NOT NULL THEN 'figura+fecha' END AS por FROM a2_k LEFT JOIN p USING (key) LEFT JOIN q ON {D.norm('a2_k.figura')} || '|' || {D.ymd('a2_k.fecha_d')} = q.key2", "a2", "base")
-def fallback_chain_match(spark, d):
-    second = F.concat(X.normalize_text(c("figura")), F.lit("|"), X.ymd(c("fecha_d")))
-    base = keyed(spark, d, "base").withColumn("key2", second)
-    p = R.keep(base.select("key", "_row"), "key").select("key", c("_row").alias("r1"))
-    q = R.keep(base.select("key2", "_row"), "key2").select("key2", c("_row").alias("r2"))
-    out = keyed(spark, d, "a2").withColumn("key2", second).join(p, "key", "left").join(q, "key2", "left")
-    return out.select("_row", F.coalesce("r1", "r2").alias("match"), F.when(c("r1").isNotNull(), "figura+barrio+fecha").when(c("r2").isNotNull(), "figura+fecha").alias("por"))
+_EFF, _BA = f"coalesce(nullif({D.barrio_keep(D.clean('barrio_manual'))}, ''), {D.barrio_keep(D.clean('barrio'))})", D.barrio_keep(D.clean("barrio"))
+_FBF = lambda f, b, x: f"nullif({D.norm(f)}, '') || '|' || nullif({D.norm(b)}, '') || '|' || {D.ymd(x)}"
+_CHAIN = ["principal", "barrio automático", "fecha automática", "persona, barrio y fecha automáticos"]
 
 
-@query("row_pair_compare", f"{KEYED('a2', 'base')} SELECT a2_k.key AS clave_test, base_k.key AS clave_base, CASE WHEN a2_k.key = base_k.key THEN 'Sí' ELSE 'No' END AS iguales FROM a2_k, base_k WHERE a2_k._row = 340 AND base_k._row = 142", "a2", "base")
+@query("fallback_chain_match", f"{KEYED('a2', 'base')}, p AS (SELECT key, max(_row) AS r FROM base_k WHERE key IS NOT NULL GROUP BY key), e AS (SELECT _row, name, figura, coalesce(fecha_d, d) AS fe, d AS fa, {_EFF} AS be, {_BA} AS ba FROM a2_k), k AS (SELECT _row, {_FBF('figura', 'be', 'fe')} AS k1, {_FBF('figura', 'ba', 'fe')} AS k2, {_FBF('figura', 'be', 'fa')} AS k3, {_FBF('name', 'ba', 'fa')} AS k4 FROM e) SELECT _row, coalesce(p1.r, p2.r, p3.r, p4.r) AS match, CASE WHEN p1.r IS NOT NULL THEN '{_CHAIN[0]}' WHEN p2.r IS NOT NULL THEN '{_CHAIN[1]}' WHEN p3.r IS NOT NULL THEN '{_CHAIN[2]}' WHEN p4.r IS NOT NULL THEN '{_CHAIN[3]}' END AS por FROM k LEFT JOIN p p1 ON k1 = p1.key LEFT JOIN p p2 ON k2 = p2.key LEFT JOIN p p3 ON k3 = p3.key LEFT JOIN p p4 ON k4 = p4.key", "a2", "base")
+def fallback_chain_match(spark, d):
+    """Four keys in turn: effective person, neighbourhood and date; the automatic neighbourhood; the automatic date; all automatic."""
+    base = R.keep(keyed(spark, d, "base").select("key", "_row"), "key")
+    auto = X.barrio_canon(X.str_clean(c("barrio")))
+    eff = F.coalesce(F.nullif(X.barrio_canon(X.str_clean(c("barrio_manual"))), F.lit("")), auto)
+    date = F.coalesce("fecha_d", "d")
+    keys = [X.key_fbf(c("figura"), eff, date), X.key_fbf(c("figura"), auto, date), X.key_fbf(c("figura"), eff, c("d")), X.key_fbf(c("name"), auto, c("d"))]
+    out = keyed(spark, d, "a2").select("_row", *[k.alias(f"k{n}") for n, k in enumerate(keys)])
+    for n in range(len(keys)):
+        out = out.join(base.select(c("key").alias(f"k{n}"), c("_row").alias(f"r{n}")), f"k{n}", "left")
+    por = F.lit(None).cast("string")
+    for n in reversed(range(len(keys))):
+        por = F.when(c(f"r{n}").isNotNull(), _CHAIN[n]).otherwise(por)
+    return out.select("_row", F.coalesce(*[f"r{n}" for n in range(len(keys))]).alias("match"), por.alias("por"))
+
+
+@query("row_pair_compare", f"{KEYED('a2', 'base')} SELECT a2_k.key AS clave_test, base_k.key AS clave_base, CASE WHEN a2_k.key = base_k.key THEN 'Sí' ELSE 'No' END AS iguales FROM a2_k, base_k WHERE a2_k._row = 340 AND base_k._row = 136", "a2", "base")
 def row_pair_compare(spark, d):
     t = keyed(spark, d, "a2").where("_row = 340").select(c("key").alias("clave_test"), F.lit(1).alias("one"))
-    b = keyed(spark, d, "base").where("_row = 142").select(c("key").alias("clave_base"), F.lit(1).alias("one"))
+    b = keyed(spark, d, "base").where("_row = 136").select(c("key").alias("clave_base"), F.lit(1).alias("one"))
     return t.join(b, "one").select("clave_test", "clave_base", F.when(c("clave_test") == c("clave_base"), "Sí").otherwise("No").alias("iguales"))
 
 
@@ -249,9 +261,9 @@ def sorted_base(spark, d):
     return keyed(spark, d, "base").select("_row", "fecha_d", "hora", "figura").orderBy(c("fecha_d").asc_nulls_last(), c("hora").asc_nulls_last(), "figura", "_row")
 
 
-@query("audit_sorted", None)
+@query("audit_sorted", f"{KEYED('base')} SELECT key, count(*) OVER (PARTITION BY key) AS repeticiones, _row FROM base_k WHERE key IS NOT NULL QUALIFY repeticiones > 1", "base")
 def audit_sorted(spark, d):
-    return R.duplicates(keyed(spark, d, "base").select("key", "_row"), "key").orderBy(F.collate("key", "UNICODE"), "_row")
+    return R.duplicates(keyed(spark, d, "base").select("key", "_row"), "key").select("key", "repeticiones", "_row").orderBy(F.collate("key", "UNICODE"), "_row")
 
 
 CELLS = ["hora", "asistentes", "status"]

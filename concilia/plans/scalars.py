@@ -16,9 +16,13 @@ SQL: dict[str, str] = {}
 c = F.col
 
 
+#: The estimated neighbourhood, last in precedence.
+ESTIMATED = "CASE WHEN k % 2 = 0 THEN 'Flores' ELSE 'nowhere' END"
+
+
 def rule(name: str, value: Callable[[], Column], sql: str) -> None:
-    QUERIES[name] = lambda spark, d: raw(spark, d).select("_row", value().alias("value"))
-    SQL[name] = f"{sql_with()} SELECT _row, {sql} AS value FROM raw"
+    QUERIES[name] = lambda spark, d: raw(spark, d).withColumn("estimado", F.expr(ESTIMATED)).select("_row", value().alias("value"))
+    SQL[name] = f"{sql_with()} SELECT _row, {sql} AS value FROM (SELECT *, {ESTIMATED} AS estimado FROM raw)"
 
 
 AGES = lambda: c("e18") + c("e25") + c("e40") + c("e56") + c("e66")
@@ -60,6 +64,10 @@ rule("build_id_b2", lambda: F.concat_ws(" - ", X.blank_null(c("figura")), X.dmy(
 rule("manual_over_auto", lambda: F.coalesce(X.blank_null(c("barrio_manual")), X.blank_null(c("barrio"))), f"coalesce(nullif({D.clean('barrio_manual')}, ''), nullif({D.clean('barrio')}, ''))")
 known = lambda x: F.nullif(X.barrio_canon(c(x), "blank"), F.lit(""))
 rule("valid_barrio_precedence", lambda: F.coalesce(known("barrio_manual"), known("barrio")), f"coalesce(nullif({D.barrio_blank('barrio_manual')}, ''), nullif({D.barrio_blank('barrio')}, ''))")
+_D, _DS = X.parse_date_lenient, D.date("fecha")
+rule("num_strict", lambda: X.num_strict(c("asistentes")), D.strict("asistentes"))
+rule("year_default", lambda: F.coalesce(F.year(_D(c("fecha"), AS_OF)), F.year(F.lit(AS_OF).cast("date"))), f"coalesce(CAST(year({_DS}) AS INT), {AS_OF[:4]})")
+rule("three_level_precedence", lambda: F.coalesce(known("barrio_manual"), known("barrio"), known("estimado")), f"coalesce(nullif({D.barrio_blank('barrio_manual')}, ''), nullif({D.barrio_blank('barrio')}, ''), nullif({D.barrio_blank('estimado')}, ''))")
 rule("key_fbf", lambda: X.key_fbf(c("figura"), c("barrio"), X.parse_date_lenient(c("fecha"), AS_OF)), D.fbf())
 rule("key_b", lambda: X.key_b(c("figura"), c("inscriptos")), f"nullif({D.norm('figura')}, '') || '|' || CAST(inscriptos AS VARCHAR)")
 rule("compare_cells", lambda: F.when(c("barrio") != c("barrio_manual"), F.concat_ws(" <> ", "barrio", "barrio_manual")), "CASE WHEN barrio <> barrio_manual THEN concat_ws(' <> ', barrio, barrio_manual) END")

@@ -34,17 +34,21 @@ SELECT o_orderkey + 2 AS _row, o_orderkey AS k, c_name AS name,
   CAST(o_orderkey % 9 AS INT) AS ins_m, CAST(o_orderkey % 12 AS INT) AS unicos,
   CASE WHEN o_orderkey % 6 = 0 THEN 'true' WHEN o_orderkey % 6 = 1 THEN ' 1 ' WHEN o_orderkey % 6 = 2 THEN 'TRUE' ELSE '' END AS procesado,
   CASE WHEN o_orderkey % 6 = 3 THEN 'xyz' WHEN o_orderkey % 6 = 4 THEN 'boca' ELSE '' END AS barrio_manual,
-  CAST(o_orderdate AS DATE) AS d
+  CAST(o_orderdate AS DATE) AS d,
+  CAST(o_orderkey % 8 AS INT) AS mail, CAST(o_orderkey % 10 AS INT) AS callc, CAST(o_orderkey % 3 AS INT) AS ivr, CAST(o_orderkey % 14 AS INT) AS difusion, CAST(o_orderkey % 2 AS INT) AS otros, CAST(o_orderkey % 11 AS INT) AS ins_f,
+  'Calle ' || CAST(o_orderkey % 97 AS STRING) AS direccion, 'Comuna ' || CAST(o_orderkey % 15 + 1 AS STRING) AS comuna
 FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey
 """
 
+AGES, CHANNELS = "e18, e25, e40, e56, e66", "facebook, google, programmatic, rrss, ins_m, unicos"
+
 #: Sheets as filters of RAW. Base and the user's table hold some keys twice.
 SHEETS = {
     "raw_all": "SELECT * FROM raw",
     "a2": "SELECT * FROM raw WHERE k % 3 <> 0",
     "b2": "SELECT * FROM raw WHERE k % 4 <> 1",
-    "base": "SELECT * FROM raw WHERE k % 5 <> 0 UNION ALL SELECT _row + 100000000, k, name, name, barrio, fecha, hora, '7', 'en agenda', e18, e25, e40, e56, e66, inscriptos, facebook, google, programmatic, rrss, ins_m, unicos, procesado, barrio_manual, d FROM raw WHERE k % 40 = 1",
-    "rvd": "SELECT _row, k, name, upper(name) AS figura, barrio, fecha, CASE WHEN k % 3 = 0 THEN '' ELSE hora END AS hora, CASE WHEN k % 4 = 0 THEN '' ELSE '12' END AS asistentes, CASE WHEN k % 6 = 0 THEN 'Realizada' ELSE status END AS status, e18, e25, e40, e56, e66, inscriptos, facebook, google, programmatic, rrss, ins_m, unicos, procesado, barrio_manual, d FROM raw WHERE k % 5 <> 1",
+    "base": f"SELECT _row, k, name, figura, barrio, fecha, hora, asistentes, status, {AGES}, CASE WHEN k % 11 = 3 THEN inscriptos + 2 ELSE inscriptos END AS inscriptos, {CHANNELS}, procesado, barrio_manual, d, CASE WHEN k % 7 = 1 THEN mail + 1 ELSE mail END AS mail, callc, ivr, difusion, otros, ins_f, CASE WHEN k % 9 = 1 THEN '' WHEN k % 9 = 2 THEN 'Avenida 1' ELSE direccion END AS direccion, comuna FROM raw WHERE k % 5 <> 0 UNION ALL SELECT _row + 100000000, k, name, name, barrio, fecha, hora, '7', 'en agenda', {AGES}, inscriptos, {CHANNELS}, procesado, barrio_manual, d, mail, callc, ivr, difusion, otros, ins_f, direccion, comuna FROM raw WHERE k % 40 = 1",
+    "rvd": f"SELECT _row, k, name, upper(name) AS figura, barrio, fecha, CASE WHEN k % 3 = 0 THEN '' ELSE hora END AS hora, CASE WHEN k % 4 = 0 THEN '' ELSE '12' END AS asistentes, CASE WHEN k % 6 = 0 THEN 'Realizada' ELSE status END AS status, {AGES}, inscriptos, {CHANNELS}, procesado, barrio_manual, d, mail, callc, ivr, difusion, otros, ins_f, CASE WHEN k % 6 = 5 THEN '' ELSE direccion END AS direccion, CASE WHEN k % 2 = 0 THEN '' ELSE comuna END AS comuna FROM raw WHERE k % 5 <> 1",
 }
 
 
