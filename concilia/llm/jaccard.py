@@ -55,7 +55,8 @@ class Words(dict):
         return value
 
 
-_words = Words()
+#: One bounded table of words a worker; tasks empty it when they end.
+words_seen = _words = Words()
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 
 from .blocks import block_pairs, runs, sharded
 from .common import by_number, cut, documents, name_of, unused
+from .jaccard import words_seen as _words
 
 LENGTH, GRAM = 400, 32
 #: About fifty words, for the columns on passages.
@@ -353,12 +354,12 @@ def merged(spans_) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def without(raw: bytes, cuts: list[tuple[int, int]]) -> bytes:
+def without(raw: bytes | str, cuts: list[tuple[int, int]]) -> bytes | str:
     at, kept = 0, []
     for a, b in cuts:
         kept.append(raw[at:a])
         at = b
-    return b"".join([*kept, raw[at:]])
+    return raw[:0].join([*kept, raw[at:]])
 
 
 def within(df: DataFrame, found: DataFrame, length: int) -> DataFrame:
@@ -418,19 +419,26 @@ def whole_characters(raw: bytes, cuts: list[tuple[int, int]]) -> list[tuple[int,
 def cleaned(df: DataFrame, length: int = LENGTH, least_words: int | None = None) -> DataFrame:
     """df with repeated passages taken out of its text (null stays null); all other columns as they are.
 
-    Passages have ``length`` bytes and more, or ``least_words`` words and more when that is given.
+    Passages have ``length`` bytes and more, or ``least_words`` words and more when that is given: then suffix arrays are
+    made of the texts' words.
     """
     name, cuts, packed = (unused(df, c) for c in ("_name", "_spans", "_packed"))
     rows = df.withColumn(name, name_of())
     texts = rows.select(F.col(name).alias("name"), F.col("text").cast("binary").alias("data"))
-    found = (spans(texts, length) if least_words is None else word_spans(texts, least_words)).withColumnsRenamed({"name": name, "spans": cuts})
+    found = (spans(texts, length) if least_words is None else spans(in_words(texts), WORD * least_words)).withColumnsRenamed({"name": name, "spans": cuts})
 
     @F.pandas_udf(T.StringType())
     def kept(packed_: pd.Series, found_: pd.Series) -> pd.Series:
         out = []
         for p, s in zip(packed_, found_):
             raw = raw_of(p)
-            out.append(None if p is None else without(raw, whole_characters(raw, merged(s))).decode())
+            if p is None or s is None:
+                out.append(None if p is None else raw.decode())
+            elif least_words is None:
+                out.append(without(raw, whole_characters(raw, merged(s))).decode())
+            else:
+                text = raw.decode()
+                out.append(without(text, word_cuts(text, merged(s), least_words)))
         return pd.Series(out, dtype=object)
 
     joined = rows.withColumn(packed, squeezed(F.col("text").cast("binary"))).drop("text").join(found, name, "left")
@@ -439,54 +447,32 @@ def cleaned(df: DataFrame, length: int = LENGTH, least_words: int | None = None)
 
 # Words are judged without punctuation around them, so a passage is found whatever follows its last word.
 CORE = re.compile(r"[^\W_](?:\S*[^\W_])?")
+#: Bytes that stand for a word, a part of its hash.
+WORD = 4
 
 
-def word_windows(raw: bytes, cuts: list[tuple[int, int]], n: int) -> list[tuple[int, int, bytes]]:
-    """start, end (bytes) and digest of each run of n words that lies in one of the spans."""
-    text = raw.decode()
-    words_, at, places = [], 0, []
-    for m in CORE.finditer(text):
-        if not places:
-            first = len(text[: m.start()].encode())
-        else:
-            first = places[-1][1] + len(text[at : m.start()].encode())
-        places.append((first, first + len(m[0].encode())))
-        words_.append(m[0])
-        at = m.end()
-    out, k = [], 0
-    for a, b in cuts:
-        while k < len(places) and places[k][0] < a:
-            k += 1
-        end = k
-        while end < len(places) and places[end][1] <= b:
-            end += 1
-        for i in range(k, end - n + 1):
-            digest = hashlib.blake2b(" ".join(words_[i : i + n]).encode(), digest_size=16).digest()
-            out.append((places[i][0], places[i + n - 1][1], digest))
-    return out
-
-
-def word_spans(df: DataFrame, n: int) -> DataFrame:
-    """name, spans of the bytes in passages of n words and more that repeat, for df (name, data).
-
-    n words have 2 n - 1 bytes at least, so every such passage lies in spans of that many repeated
-    bytes. These spans may be short passages in a row; so their runs of n words are counted, and only
-    those that occur again are taken.
-    """
-    found = spans(df, 2 * n - 1)
+def in_words(df: DataFrame) -> DataFrame:
+    """name, data: the texts of df (name, data) with WORD bytes for each word, so that passages can be counted in words."""
 
     def run(batches):
         for pdf in batches:
-            rows = []
-            for name, packed, found_ in zip(pdf.name, pdf.packed, pdf.spans):
-                rows += [(name, digest, a, b) for a, b, digest in word_windows(raw_of(packed), merged(found_), n)]
-            yield pd.DataFrame(rows, columns=["name", "digest", "start", "end"])
-
-    windows = df.select("name", squeezed("data").alias("packed")).join(found, "name").mapInPandas(run, "name binary, digest binary, start int, end int")
-    windows = cut(windows)
-    twice = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    taken = windows.join(twice, "digest", "left_semi")
-    return taken.groupBy("name").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+            data = []
+            for raw in pdf.data:
+                words_ = CORE.findall(raw.decode()) if raw else []
+                data.append(np.fromiter(map(_words.__getitem__, words_), dtype=np.uint64, count=len(words_)).astype("<u4").tobytes())
+            yield pd.DataFrame({"name": pdf.name, "data": data})
+        _words.clear()
+
+    return df.select("name", "data").mapInPandas(run, "name binary, data binary")
+
+
+def word_cuts(text: str, found: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+    """Places in a text of the passages of n words and more in spans of its words."""
+    whole = [(-(-a // WORD), b // WORD) for a, b in found]
+    if not any(b - a >= n for a, b in whole):
+        return []
+    places = [m.span() for m in CORE.finditer(text)]
+    return [(places[a][0], places[b - 1][1]) for a, b in whole if b - a >= n]
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
