@@ -151,7 +151,7 @@ def with_next(df: DataFrame) -> DataFrame:
     n = min(MOST_RANGES, max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), df.count() // RANGE_ROWS))
     keyed_ = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", text_key(F.col("text")))
     cuts = sorted(set(keyed_.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n))))
-    place = F.size(F.filter(F.array(*[F.lit(int(c)) for c in cuts]), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
+    place = F.size(F.filter(F.array(*[F.lit(min(int(c), 2**63 - 1)).cast("long") for c in cuts]), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
     nameless = F.conv(F.substring("key", 1, 2), 16, 10).cast("int") - 256
     placed = keyed_.withColumn("range", F.when(F.col("doc_id").isNotNull(), place).otherwise(nameless))
     firsts = sorted((r["range"], r["first"]) for r in placed.groupBy("range").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("d"), "key")).alias("first")).collect())

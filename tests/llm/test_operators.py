@@ -14,7 +14,7 @@ from concilia.llm import bpe, embeddings, fingerprints, jaccard, packing, pii, q
 from concilia.llm.blocks import roots
 from concilia.llm.common import components, ranked
 
-from conftest_llm import EDGES
+from conftest_llm import BASE, EDGES
 
 SF = "/root/testdata/sf0.001"
 
