@@ -1,9 +1,8 @@
 """Document fingerprints by invertible Bloom lookup sketches, in DataFrame functions only.
 
 A text is cut into paragraphs by its content alone, by one rule for texts of every length: after line
-ends, after the end of a sentence, and at blanks with certain letters on both sides (about every
-hundred characters). So a change moves no cut but those beside it. Only where no such place is met for
-64 words a paragraph ends after these.
+ends, and at blanks with certain letters on both sides (about every 130 characters). So a change moves
+no cut but those beside it. Only where no such place is met for 256 words a paragraph ends after these.
 
 The digest of each distinct paragraph goes to three cells of a block of a sketch; a cell holds a
 count, the xor of its digests and the xor of their checksums. A fingerprint is the sketch of a text,
@@ -34,8 +33,8 @@ from .common import cut, documents, text_key
 
 SIDE, CELLS = 8, 24  # three parts of SIDE cells
 LOAD, RETRIES, ROUNDS = 8, 5, 16
-#: Words and the blanks within a paragraph: a blank that no sentence end precedes, and no vowel that one of a few letters follows.
-PARAGRAPH = r"[^ \n]*+(?: (?<![.!?] )(?!(?<=[aeiou] )[bdhlpBDHLP])[^ \n]*+){0,63}+[ \n]*+"
+#: Words and the blanks within a paragraph; it ends at a blank between "a" or "e" and one of a few letters.
+PARAGRAPH = r"[^ \n]*+(?: (?!(?<=[ae] )[bhlBHL])[^ \n]*+){0,255}+[ \n]*+"
 #: Rows of a range of successors at most, about, and ranges at most.
 RANGE_ROWS, MOST_RANGES = 50_000, 1_000
 
@@ -110,7 +109,7 @@ def differing(pairs: DataFrame, retries: int = RETRIES) -> DataFrame:
     """
     left, done = pairs, None
     for level in range(retries):
-        blocks = F.least(blocks_for(F.size("x")), blocks_for(F.size("y"))) if level == 0 else blocks_for(F.size("x") + F.size("y")) * 4 ** (level - 1)
+        blocks = F.least(blocks_for(F.size("x")), blocks_for(F.size("y"))) if level == 0 else blocks_for(F.size("x") + F.size("y")) * 2 * 4 ** (level - 1)
         signed = F.concat(F.transform("x", lambda d: F.struct(F.lit(1).alias("c"), d.alias("d"))), F.transform("y", lambda d: F.struct(F.lit(-1).alias("c"), d.alias("d"))))
         dealt = left.repartition("rid")  # all groupings below include rid, so nothing else is shuffled
         units = dealt.select("rid", "pair", blocks.alias("blocks"), F.explode(signed).alias("u")).select("rid", "pair", "u.c", "u.d", block_of(F.col("u.d"), F.col("blocks")).alias("block"))

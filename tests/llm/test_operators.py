@@ -146,7 +146,7 @@ def test_fingerprints(spark, edges, docs):
 
 def test_one_rule_for_every_length(spark):
     rng = random.Random(2)
-    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, 9))) for _ in range(300)]
+    words = ["".join(rng.choices("aebhlrstn", k=rng.randint(1, 9))) for _ in range(300)]
     text = " ".join(rng.choices(words, k=900))
     texts = [text[:511], text[:512], "x" + text, text, "", None, "w " * 30_000]
     got = fingerprints.compare(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).orderBy("doc_id").collect()
@@ -156,7 +156,7 @@ def test_one_rule_for_every_length(spark):
 def test_fingerprints_fold_and_subtract(spark):
     """The published sketches alone tell what differs: fold the larger one, subtract, peel."""
     rng = random.Random(3)
-    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, 9))) for _ in range(300)]
+    words = ["".join(rng.choices("aebhlrstn", k=rng.randint(1, 9))) for _ in range(300)]
     text = " ".join(rng.choices(words, k=4000))
     r = fingerprints.compare(spark.createDataFrame([(0, text), (1, text[:9000])], "doc_id long, text string")).where("doc_id = 0").first()
 
