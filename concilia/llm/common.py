@@ -51,7 +51,7 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def ranked(df: DataFrame, keys: list[str], order: list[str], out: str, rows_each: int = 20_000) -> DataFrame:
+def ranked(df: DataFrame, keys: list[str], order: list[str], out: str, rows_each: int = 4_000) -> DataFrame:
     """Number the rows of each key from 0 without gaps.
 
     The rows of a key are dealt to hash buckets, about ``rows_each`` of all rows to one, and sorted
