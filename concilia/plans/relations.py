@@ -70,7 +70,7 @@ def ensure_columns(spark, d):
 @query("alias_projection", "SELECT _row, figura AS value, CAST(NULL AS VARCHAR) AS missing FROM a2", "a2")
 def alias_projection(spark, d):
     df = sheet(spark, d, "a2").withColumnRenamed("figura", ' "Figurá" ')
-    return df.select("_row", R.resolve(df, ["persona", "figura"]).alias("value"), R.resolve(df, ["comuna"], optional=True).alias("missing"))
+    return df.select("_row", R.resolve(df, ["persona", "figura"]).alias("value"), R.resolve(df, ["provincia"], optional=True).alias("missing"))
 
 
 @query("ready_not_sent", "SELECT _row FROM raw WHERE k % 2 = 0 AND NOT (k % 3 = 0)")
