@@ -82,7 +82,7 @@ def with_barrion(a2: DataFrame, b2: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def into_base(base: DataFrame, a2: DataFrame, b2: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The new base, and b2 with its mark of processed rows. Nothing is inserted.
+    """The new base with its key on the last row of each key (null on others), and b2 with its mark of processed rows. Nothing is inserted.
 
     Attendance that is not below the present one is taken and makes the status Realizada; a present value that is no
     number takes none. Channels and age bands come from the last unprocessed row of a key.
@@ -94,13 +94,13 @@ def into_base(base: DataFrame, a2: DataFrame, b2: DataFrame) -> tuple[DataFrame,
     marked = b2.withColumn("base_key", X.key_fbf(c("persona"), c("barrion"), c("fecha_d")))
     open_ = marked.where("not procesado").select(c("base_key").alias("key"), "_row", *cells)
     fresh = R.keep(open_, "key").select("key", F.struct(*cells).alias("u"))
-    new = rows.join(top, "key", "left").join(fresh, "key", "left").where("top is not null or u is not null").select("_row", "top", "u")
+    new = rows.join(top, "key", "left").join(fresh, "key", "left").select("_row", "key", "top", "u")
     taken = c("top") >= X.num_strict(c("asistentes"))
     cell = {
         "asistentes": F.when(taken, number_text(c("top"))).otherwise(c("asistentes")), "status": F.when(taken, "Realizada").otherwise(c("status")),
         **{x: F.when(c("u").isNotNull(), c(f"u.{x}")).otherwise(c(x)) for x in cells},
     }
-    out = base.join(new, "_row", "left").select(*[cell.get(x, c(x)).alias(x) for x in base.columns])
+    out = base.join(new, "_row", "left").select(*[cell.get(x, c(x)).alias(x) for x in base.columns], "key")
     there = rows.select(c("key").alias("base_key"), F.lit(True).alias("there"))
     done = marked.join(there, "base_key", "left").withColumn("procesado", c("procesado") | F.coalesce("there", F.lit(False)))
     return out, done.select(*b2.columns)
@@ -113,14 +113,17 @@ def common_columns(user: DataFrame, base: DataFrame, but: set[str]) -> list[str]
 
 
 def two_way(user: DataFrame, base: DataFrame, formula_user: dict[str, Callable], formula_base: dict[str, Callable]) -> DataFrame:
-    """One row for each key on any side: key, u, p (structs of the last rows, null if there is none), cells: array<struct<col, u, p, tipo>>.
+    """One row for each row of the base and each key that only the user has: key, u, p (structs of the rows, null if there is none), cells: array<struct<col, u, p, tipo>>.
 
-    user and base have key, _row and their cells as text; formula_user and formula_base tell by column, from a row, which cells hold a formula.
-    One full outer join serves the log and both results.
+    user and base have key, _row and their cells as text; the key of the base stands on the last row of a key only, other rows (key null) meet nothing
+    and are dealt by their row number. formula_user and formula_base tell by column, from a row, which cells hold a formula.
+    One full outer join serves the log and the result.
     """
     names = common_columns(user, base, {"key", "_row"})
     blocked = {R.normalize_header(x) for x in BLOCKED}
-    both = R.keep(user, "key").select("key", F.struct(*user.columns).alias("u")).join(R.keep(base, "key").select("key", F.struct(*base.columns).alias("p")), "key", "full_outer")
+    by_row = F.coalesce("key", F.concat(F.lit("#"), c("_row").cast("string"))).alias("at")  # a key has two bars, so none equals these
+    both = R.keep(user, "key").select(c("key").alias("at"), F.struct(*user.columns).alias("u")).join(base.select(by_row, F.struct(*base.columns).alias("p")), "at", "full_outer")
+    both = both.select(F.coalesce("u.key", "p.key").alias("key"), "u", "p")
     cell = []
     for x in names:
         fu = formula_user[x](c("u")) if x in formula_user else F.lit(False)
@@ -140,10 +143,15 @@ def two_way(user: DataFrame, base: DataFrame, formula_user: dict[str, Callable],
     return both.select("key", "u", "p", cells.alias("cells"))
 
 
-def reviewed(base: DataFrame, both: DataFrame) -> DataFrame:
+def reviewed(both: DataFrame, columns: list[str]) -> DataFrame:
     """The base after the two-way sync: cells filled from the user's table, and the rows that only the user had."""
-    at = lambda x: F.try_element_at(F.filter("cells", lambda y: y["col"] == x), F.lit(1))
-    filled = both.where("u is not null and p is not null").select(c("p._row").alias("_row"), "cells")
-    out = base.join(filled, "_row", "left").select(*[F.when(at(x)["tipo"] == "Relleno Para Revisar desde usuario", at(x)["u"]).otherwise(c(x)).alias(x) for x in base.columns])
-    new = both.where("p is null").select(*[(c("u._row") + 2 * AFTER).alias(x) if x == "_row" else c(f"u.{x}").alias(x) for x in base.columns])
-    return out.unionByName(new)
+    names = common_columns(both.select("u.*"), both.select("p.*"), {"key", "_row"})
+
+    def cell(x: str) -> Column:
+        own = F.when(c("p").isNull(), c(f"u.{x}"))
+        if x in names:
+            filled = F.get("cells", F.lit(names.index(x)))
+            own = own.when(filled["tipo"] == "Relleno Para Revisar desde usuario", filled["u"])
+        return own.otherwise(c(f"p.{x}")).alias(x)
+
+    return both.select(F.coalesce("p._row", c("u._row") + 2 * AFTER).alias("_row"), *[cell(x) for x in columns])

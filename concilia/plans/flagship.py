@@ -48,10 +48,9 @@ def base_sheet(spark, d, name: str = "base") -> DataFrame:
 
 
 def as_text(base: DataFrame) -> DataFrame:
-    """The cells as text, with the key."""
+    """The cells as text, beside the key."""
     cell = {"rrss": S.number_text(c("rrss"))}
-    key = X.key_fbf(c("figura"), c("barrio"), c("fecha_d")).alias("key")
-    return base.select("_row", key, "fecha_d", *[cell.get(x, c(x)).cast("string").alias(x) for x in REVIEWED])
+    return base.select("_row", "key", *[cell.get(x, c(x)).cast("string").alias(x) for x in REVIEWED])
 
 
 def new_a2(spark, d) -> DataFrame:
@@ -72,10 +71,9 @@ USER_FORMULA = {"asistentes": lambda row: row["_row"] % 7 == 0}
 BASE_FORMULA = {"direccion": lambda row: row["_row"] % 4 == 0}
 
 
-def synced(spark, d) -> tuple[DataFrame, DataFrame]:
-    base = as_text(new_base(spark, d)[0])
-    user = as_text(base_sheet(spark, d, "rvd"))
-    return base, S.two_way(user.drop("fecha_d"), base.drop("fecha_d"), USER_FORMULA, BASE_FORMULA)
+def synced(spark, d) -> DataFrame:
+    user = base_sheet(spark, d, "rvd").withColumn("key", X.key_fbf(c("figura"), c("barrio"), c("fecha_d")))
+    return S.two_way(as_text(user), as_text(new_base(spark, d)[0]), USER_FORMULA, BASE_FORMULA)
 
 
 def pipeline_a2(spark, d):
@@ -87,12 +85,12 @@ def pipeline_b2(spark, d):
 
 
 def pipeline_base(spark, d):
-    return new_base(spark, d)[0]
+    return new_base(spark, d)[0].drop("key")
 
 
 def pipeline_log(spark, d):
     """What the two-way sync did or left, by key and column."""
-    both = synced(spark, d)[1]
+    both = synced(spark, d).where("key is not null")
     only = F.when(c("p").isNull(), "Solo en usuario → agregado a Para Revisar").when(c("u").isNull(), "Solo en Para Revisar")
     told = F.coalesce(F.filter(F.transform("cells", lambda x: F.struct(x["col"].alias("col"), x["tipo"].alias("tipo"))), lambda x: x["tipo"].isNotNull()), F.array(F.struct(F.lit("").alias("col"), only.alias("tipo"))))
     return both.select("key", F.explode(told).alias("x")).select("key", "x.col", "x.tipo")
@@ -100,8 +98,7 @@ def pipeline_log(spark, d):
 
 def full_pipeline(spark, d) -> DataFrame:
     """The base after all five steps, every row of it, cells as text."""
-    base, both = synced(spark, d)
-    return S.reviewed(base.drop("key", "fecha_d"), both)
+    return S.reviewed(synced(spark, d), REVIEWED)
 
 
 QUERIES = {"pipeline_a2": pipeline_a2, "pipeline_b2": pipeline_b2, "pipeline_base": pipeline_base, "pipeline_log": pipeline_log, "full_pipeline": full_pipeline}

@@ -202,25 +202,28 @@ _SYNC = f"{Q.KEYED('rvd', 'base')}{LAST('rvd')}{LAST('base')}, cells AS (" + " U
 _ONLY = " UNION ALL SELECT key, '' AS col, 'Solo en usuario → agregado a Para Revisar' FROM rvd_l WHERE key NOT IN (SELECT key FROM base_l) UNION ALL SELECT key, '', 'Solo en Para Revisar' FROM base_l WHERE key NOT IN (SELECT key FROM rvd_l)"
 
 
-def synced(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    u, p = last(spark, d, "rvd").select("key", "_row", *Q.CELLS), last(spark, d, "base").select("key", "_row", *Q.CELLS)
-    cells = R.cell_pairs(u, p, "key", Q.CELLS).withColumnsRenamed({"l": "u", "r": "p"})
-    cells = cells.join(u.select("key", (c("_row") % 7 == 0).alias("f")), "key").withColumn("formula", c("f") & (c("col") == "asistentes"))
-    tipo = F.expr(_RULE.format(num="numeric")).alias("tipo")
-    return u, p, cells.withColumn("numeric", X.numeric_like(c("u"))).select("key", "col", "u", "p", tipo)
+def synced(spark, d) -> DataFrame:
+    """key, col, u, p, tipo of each cell of the keys on both sides, and one row without cell for each other key; from one full outer join."""
+    side = lambda n, x: R.keep(Q.keyed(spark, d, n).select("key", "_row", *Q.CELLS), "key").select("key", F.struct("_row", *Q.CELLS).alias(x))
+    text = lambda x: F.trim(F.coalesce(c(x), F.lit("")))
+    cell = lambda x, u, p, formula: F.struct(F.lit(x).alias("col"), u.alias("u"), p.alias("p"), formula.alias("formula"))
+    cells = F.array(*[cell(x, text(f"u.{x}"), text(f"p.{x}"), c("u._row") % 7 == 0 if x == "asistentes" else F.lit(False)) for x in Q.CELLS])
+    none = F.array(cell("", F.lit(""), F.lit(""), F.lit(False)))
+    both = side("rvd", "u").join(side("base", "p"), "key", "full_outer")
+    rows = both.select("key", c("u").isNull().alias("no_u"), c("p").isNull().alias("no_p"), F.explode(F.when(c("u").isNull() | c("p").isNull(), none).otherwise(cells)).alias("x"))
+    rule = F.expr(_RULE.format(num="numeric"))
+    tipo = F.when(c("no_p"), "Solo en usuario → agregado a Para Revisar").when(c("no_u"), "Solo en Para Revisar").otherwise(rule)
+    return rows.select("key", "x.*", "no_u", "no_p").withColumn("numeric", X.numeric_like(c("u"))).select("key", "col", "u", "p", tipo.alias("tipo"))
 
 
 @query("two_way_sync_log", f"{_SYNC} SELECT key, col, tipo FROM acted WHERE tipo IS NOT NULL{_ONLY}", "rvd", "base")
 def two_way_sync_log(spark, d):
-    u, p, acted = synced(spark, d)
-    only_u = u.join(p, "key", "left_anti").select("key", F.lit("").alias("col"), F.lit("Solo en usuario → agregado a Para Revisar").alias("tipo"))
-    only_p = p.join(u, "key", "left_anti").select("key", F.lit("").alias("col"), F.lit("Solo en Para Revisar").alias("tipo"))
-    return acted.where("tipo is not null").select("key", "col", "tipo").unionByName(only_u).unionByName(only_p)
+    return synced(spark, d).where("tipo is not null").select("key", "col", "tipo")
 
 
 @query("two_way_sync_result", f"{_SYNC} SELECT key, col, CASE WHEN tipo = 'Relleno usuario desde Para Revisar' THEN p ELSE u END AS usuario, CASE WHEN tipo = 'Relleno Para Revisar desde usuario' THEN u ELSE p END AS para_revisar FROM acted", "rvd", "base")
 def two_way_sync_result(spark, d):
-    acted = synced(spark, d)[2]
+    acted = synced(spark, d).where("col != ''")
     return acted.select("key", "col", F.when(c("tipo") == "Relleno usuario desde Para Revisar", c("p")).otherwise(c("u")).alias("usuario"), F.when(c("tipo") == "Relleno Para Revisar desde usuario", c("u")).otherwise(c("p")).alias("para_revisar"))
 
 
