@@ -31,8 +31,11 @@ def str_clean(x: Column) -> Column:
 
 
 def normalize_text(x: Column, dashes: bool = True) -> Column:
-    visible = F.translate(F.coalesce(x, F.lit("")), INVISIBLE, " " * len(INVISIBLE))
-    return collapsed(F.lower(unaccented(F.translate(visible, DASHES, "-" * len(DASHES)) if dashes else visible)))
+    text = F.coalesce(x, F.lit(""))
+    visible = F.translate(text, INVISIBLE, " " * len(INVISIBLE))
+    folded = unaccented(F.translate(visible, DASHES, "-" * len(DASHES)) if dashes else visible)
+    ascii_only = F.char_length(text) == F.octet_length(text)  # nothing to fold there, and translate is costly
+    return collapsed(F.lower(F.when(ascii_only, text).otherwise(folded)))
 
 
 def normalize_status(x: Column) -> Column:

@@ -30,8 +30,8 @@ def query(name: str, sql: str | None, *sheets: str):
 
 def keyed(spark: SparkSession, d: str, name: str) -> DataFrame:
     """A sheet with its key, date and number of attendees."""
-    fecha = X.parse_date_lenient(c("fecha"), AS_OF)
-    return sheet(spark, d, name).withColumns({"fecha_d": fecha, "key": X.key_fbf(c("figura"), c("barrio"), fecha), "asis": X.num_parse(c("asistentes"))})
+    dated = sheet(spark, d, name).withColumn("fecha_d", X.parse_date_lenient(c("fecha"), AS_OF))
+    return dated.withColumns({"key": X.key_fbf(c("figura"), c("barrio"), c("fecha_d")), "asis": X.num_parse(c("asistentes"))})
 
 
 KEYED = lambda *names: "".join(f", {n}_k AS (SELECT *, {D.date('fecha')} AS fecha_d, {D.fbf()} AS key, {D.num('asistentes')} AS asis FROM {n})" for n in names)
