@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -38,14 +38,15 @@ from .elias_fano import Trie, mapped
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
-END = b" "  # no word has a space in it
+END = b""  # no word is empty
 UNIT = 4096
 MASS, GROWTH = 4.0, 0.8
 #: Bytes of text in a batch, tokens in a shard, words in a bucket of the vocabulary.
 BATCH, SHARD, BUCKET = 16 << 20, 1_500_000, 150_000
 PIECE = 4 << 20
 
-BATCHES = pa.schema([("batch", pa.int64()), ("ids", pa.list_(pa.string())), ("lengths", pa.binary()), ("held", pa.binary()), ("tokens", pa.binary()), ("words", pa.list_(pa.binary())), ("train", pa.list_(pa.int32())), ("uses", pa.list_(pa.int32()))])
+BATCHES = {"batch": pa.int64(), "ids": pa.list_(pa.string()), "lengths": pa.binary(), "held": pa.binary(), "tokens": pa.binary(), "words": pa.binary(), "uses": pa.binary(), "n_words": pa.int64(), "n_train": pa.int64(), "n_uses": pa.int64()}
+WORDS = "bucket long, batch long, words binary, uses binary, types long"
 PIECES = "shard long, batch long, kind int, ids array<string>, body binary"
 
 
@@ -88,19 +89,31 @@ class Numbers(dict):
         return n
 
 
+def joined(words: list[bytes]) -> bytes:
+    return zlib.compress(b" ".join(words), 1)
+
+
+def split(body: bytes) -> list[bytes]:
+    return zlib.decompress(body).split(b" ")
+
+
 def batches(rows: DataFrame) -> DataFrame:
-    """rows (doc_id string, text binary, held boolean) in batches: token numbers by a word list of the batch, and how often each word is used, in training rows and in all."""
+    """rows (doc_id string, text binary, held boolean) in batches: token numbers by a word list of the batch, which stands in the order of a hash, and how often each word is used, in training rows and in all."""
+    schema = pa.schema(list(BATCHES.items()))
 
     def run(arriving: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId() << 24, 0
         ids, held, lengths, tokens, size, number = [], [], [], [], 0, Numbers({END: 0})
 
         def flushed() -> pa.RecordBatch:
-            n, flat = np.array(lengths), np.concatenate(tokens)
+            words = sorted(number, key=lambda w: (zlib.crc32(w), w))
+            place = np.empty(len(words), dtype=np.int64)
+            place[np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))] = np.arange(len(words))
+            n, flat = np.array(lengths), place[np.concatenate(tokens)]
             train = np.repeat(~np.array(held, dtype=bool), n)
-            uses, own = np.bincount(flat, minlength=len(number)), np.bincount(flat[train], minlength=len(number))
-            cells = [task + made, ids, packed(n), np.array(held, dtype=np.uint8).tobytes(), packed(flat), list(number), own.astype(np.int32), uses.astype(np.int32)]
-            return pa.RecordBatch.from_arrays([pa.array([x.tolist() if isinstance(x, np.ndarray) else x], type=f.type) for x, f in zip(cells, BATCHES)], schema=BATCHES)
+            uses, own = np.bincount(flat, minlength=len(words)), np.bincount(flat[train], minlength=len(words))
+            cells = [task + made, ids, packed(n), np.array(held, dtype=np.uint8).tobytes(), packed(flat), joined(words), packed(own, uses), len(words), int(own.sum()), int(uses.sum())]
+            return pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in zip(cells, schema.types)], schema=schema)
 
         for part in arriving:
             for i, text, h in zip(part[0].to_pylist(), part[1], part[2].to_pylist()):
@@ -121,18 +134,36 @@ def batches(rows: DataFrame) -> DataFrame:
         if ids:
             yield flushed()
 
-    kinds = "batch long, ids array<string>, lengths binary, held binary, tokens binary, words array<binary>, train array<int>, uses array<int>"
+    kinds = "batch long, ids array<string>, lengths binary, held binary, tokens binary, words binary, uses binary, n_words long, n_train long, n_uses long"
     return cut(rows.select("doc_id", "text", "held").mapInArrow(run, kinds))
 
 
 def numbered(dealt: DataFrame, buckets: int) -> DataFrame:
-    """batch, at (place in the batch's list), id, count, uses of each word of each batch, over all batches. One shuffle, by bucket of words."""
-    cells = F.arrays_zip("words", "train", "uses")
-    rows = dealt.select("batch", F.posexplode(cells).alias("at", "x")).select("batch", "at", F.col("x.words").alias("word"), F.col("x.train").alias("train"), F.col("x.uses").alias("uses"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets))).repartition("bucket")
-    word = Window.partitionBy("bucket", "word")
-    id_ = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word")).cast("long") * buckets + F.col("bucket")
-    return rows.select("batch", "at", id_.alias("id"), F.sum("train").over(word).alias("count"), F.sum("uses").over(word).alias("uses"))
+    """batch, bucket, body (the numbers, training counts and uses over all batches of the batch's words in that bucket), types (training words of the bucket, on one row of it). One shuffle, by bucket of words."""
+
+    def deal(arriving: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in arriving:
+            for batch, words, uses in zip(*(c.to_pylist() for c in part.columns)):
+                words, (own, uses) = split(words), unpacked(uses)
+                bucket = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) * buckets >> 32  # rises along the list
+                rows = [(int(bucket[a]), batch, joined(words[a:b]), packed(own[a:b], uses[a:b])) for a, b in spans(bucket)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)] + [pa.nulls(len(rows), pa.int64())], names=["bucket", "batch", "words", "uses", "types"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        bucket, lists = table["bucket"][0].as_py(), [split(x) for x in table["words"].to_pylist()]
+        order = {w: k for k, w in enumerate(sorted(set().union(*lists), key=lambda w: (zlib.crc32(w), w)))}
+        at = [np.fromiter(map(order.__getitem__, words), dtype=np.int64, count=len(words)) for words in lists]
+        total, used = np.zeros(len(order), dtype=np.int64), np.zeros(len(order), dtype=np.int64)
+        for place, body in zip(at, table["uses"].to_pylist()):
+            own, uses = unpacked(body)
+            total[place] += own
+            used[place] += uses
+        bodies = [packed(steps(place), total[place], used[place]) for place in at]
+        types = [int((total > 0).sum()), *[0] * (len(at) - 1)]
+        return pa.table({"batch": table["batch"], "bucket": pa.array([bucket] * len(at), pa.int64()), "body": pa.array(bodies, pa.binary()), "types": pa.array(types, pa.int64())})
+
+    lists = dealt.select("batch", "words", "uses").mapInArrow(deal, WORDS)
+    return cut(lists.groupBy("bucket").applyInArrow(meet, "batch long, bucket long, body binary, types long"))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -149,21 +180,23 @@ def shard_of(v: np.ndarray, w: np.ndarray, uses: np.ndarray, shards: int) -> np.
     return (mixed(v.astype(np.uint64) + salt * np.uint64(0x632BE59BD9B4E019)) % np.uint64(shards)).astype(np.int64)
 
 
-def dealt_pairs(pieces: DataFrame, total: int, types: int, shards: int) -> DataFrame:
-    """Of each batch with its words (rows of one batch: its record, and its word numbers): the base scores (kind 0), and the pairs for each shard (kind 1)."""
+def dealt_pairs(pieces: DataFrame, total: int, types: int, buckets: int, shards: int) -> DataFrame:
+    """Of each batch (its record at bucket -1, and its words' numbers by bucket): the base scores (kind 0), and the pairs for each shard (kind 1)."""
     z = total + types + 1
 
     def run(table: pa.Table) -> pa.Table:
-        at_record = table["at"].to_numpy().argmin()
-        record = {k: table[k][at_record].as_py() for k in ("batch", "ids", "lengths", "held", "tokens")}
-        at, gid, count, uses = (table[k].to_numpy()[table["at"].to_numpy() >= 0].astype(np.int64) for k in ("at", "id", "count", "uses"))
+        table = table.sort_by("bucket")
+        record = {k: table[k][0].as_py() for k in ("batch", "ids", "lengths", "held", "body")}
+        lists = [(k, *unpacked(body)) for k, body in zip(table["bucket"].to_pylist()[1:], table["body"].to_pylist()[1:])]
+        gid = np.concatenate([np.cumsum(at) * buckets + k for k, at, _, _ in lists])
+        count, uses = np.concatenate([x[2] for x in lists]), np.concatenate([x[3] for x in lists])
         by_gid = np.argsort(gid)
-        rank = np.empty(len(at), dtype=np.int64)
-        rank[at[by_gid]] = np.arange(len(at))  # by place in the list: order of the word's number
+        rank = np.empty(len(gid), dtype=np.int64)
+        rank[by_gid] = np.arange(len(gid))  # by place in the list: order of the word's number
         gid, count, uses = gid[by_gid], count[by_gid], uses[by_gid]
-        (lengths,), (flat,) = unpacked(record["lengths"]), unpacked(record["tokens"])
+        (lengths,), (flat,) = unpacked(record["lengths"]), unpacked(record["body"])
         w = rank[flat]
-        v = np.concatenate([rank[:1], w[:-1]])  # every document ends with the end token, which opens the next
+        v = np.concatenate([w[-1:], w[:-1]])  # every document ends with the end token, which opens the next
         doc = np.repeat(np.arange(len(lengths)), lengths)
         held = np.frombuffer(record["held"], dtype=np.uint8)
         base = np.bincount(doc, np.log10((count[w] + 1) / z), len(lengths))
@@ -299,14 +332,13 @@ def told(parts: DataFrame, total: int) -> DataFrame:
 def pairs_of(df: DataFrame) -> tuple[DataFrame, int, int]:
     """(the pairs of df (doc_id, text, held) by shard, tokens and types of its training rows)."""
     dealt = batches(df)
-    total, uses, lists, n = dealt.agg(F.sum(F.expr("aggregate(train, 0L, (a, x) -> a + x)")), F.sum(F.expr("aggregate(uses, 0L, (a, x) -> a + x)")), F.sum(F.size("words")), F.count("*")).first()
-    total, shards = total or 0, max(1, -(-(uses or 0) // SHARD))
-    words = dealt.select(F.explode(F.arrays_zip("words", "train")).alias("x")).where("x.train > 0").select("x.words")
-    types = words.distinct().count()
-    numbers = numbered(dealt, max(4, -(-(lists or 0) // BUCKET)))
-    record = dealt.select("batch", F.lit(-1).alias("at"), *[F.lit(None).cast("long").alias(x) for x in ("id", "count", "uses")], "ids", "lengths", "held", "tokens")
-    numbers = numbers.select("batch", "at", "id", "count", "uses", F.lit(None).cast("array<string>").alias("ids"), *[F.lit(None).cast("binary").alias(x) for x in ("lengths", "held", "tokens")])
-    return dealt_pairs(record.unionByName(numbers), total, types, shards), total, types
+    words, total, uses = (n or 0 for n in dealt.agg(F.sum("n_words"), F.sum("n_train"), F.sum("n_uses")).first())
+    buckets, shards = max(4, -(-words // BUCKET)), max(1, -(-uses // SHARD))
+    numbers = numbered(dealt, buckets)
+    types = numbers.agg(F.sum("types")).first()[0] or 0
+    record = dealt.select("batch", F.lit(-1).cast("long").alias("bucket"), F.col("tokens").alias("body"), "ids", "lengths", "held")
+    numbers = numbers.select("batch", "bucket", "body", F.lit(None).cast("array<string>").alias("ids"), *[F.lit(None).cast("binary").alias(x) for x in ("lengths", "held")])
+    return dealt_pairs(record.unionByName(numbers), total, types, buckets, shards), total, types
 
 
 def scored(df: DataFrame) -> DataFrame:
