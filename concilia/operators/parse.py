@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 
+# The lines of an agenda mail.
 DAY = r"(?iu)^(lunes|martes|miércoles|miercoles|jueves|viernes|sábado|sabado|domingo)\s+(\d{1,2}/\d{1,2})$"
 EVENT = r"(?iu)^evento:\s*encuentro con vecinos\s+(.+?),\s*(.+)$"
 HOUR = r"(?iu)^hora:\s*(\d{1,2}:\d{2})h"
@@ -14,7 +15,7 @@ PLACE = r"(?iu)^lugar:\s*(.+)$"
 
 
 def agenda(mails: DataFrame, key: str, body: str, as_of: str) -> DataFrame:
-    """key, persona, barrio, fecha, hora, direccion: one row per complete event of each message.
+    """key, pos, persona, barrio, fecha, hora, direccion: one row per complete event of each message, pos its place in it.
 
     A message is the unit of order and is bounded, so its lines are folded within the row: an event
     line opens a block that takes the day above it, and the last hour and place below it.
@@ -37,10 +38,10 @@ def agenda(mails: DataFrame, key: str, body: str, as_of: str) -> DataFrame:
                         F.try_element_at(F.transform(F.filter(inside, lambda y: y["hora"].isNotNull()), lambda y: y["hora"]), F.lit(-1)).alias("hora"),
                         F.try_element_at(F.transform(F.filter(inside, lambda y: y["lugar"].isNotNull()), lambda y: y["lugar"]), F.lit(-1)).alias("lugar"))
 
-    events = lines.select(key, F.explode(F.transform(opened, block)).alias("e")).select(key, "e.*")
+    events = lines.select(key, F.posexplode(F.transform(opened, block)).alias("pos", "e")).select(key, "pos", "e.*")
     who, where = F.trim(F.regexp_extract("event", EVENT, 1)), F.trim(F.regexp_extract("event", EVENT, 2))
     events = events.where(~X.excluded(F.concat_ws(" ", who, where))).select(
-        key, X.persona_from_text(who).alias("persona"), where.alias("barrio"), X.parse_date_lenient(F.concat("day", F.lit(f"/{as_of[:4]}")), as_of).alias("fecha"), "hora",
+        key, "pos", X.persona_from_text(who).alias("persona"), where.alias("barrio"), X.parse_date_lenient(F.concat("day", F.lit(f"/{as_of[:4]}")), as_of).alias("fecha"), "hora",
         F.when(F.col("lugar").rlike("(?i)^a confirmar"), "").otherwise(F.coalesce("lugar", F.lit(""))).alias("direccion"),
     )
     return events.where("persona != '' and fecha is not null and hora is not null")

@@ -19,8 +19,8 @@ c = F.col
 AGES = ["e18", "e25", "e40", "e56", "e66"]
 CHANNELS = ["inscriptos", "mail", "callc", "ivr", "rrss", "difusion", "masculinos", "femeninos"]
 OPERATIVE = ["fecha_d", "hora", "direccion", "asistentes", "status"]
-#: What is added to the row number of an inserted row.
-AFTER = 1_000_000_000
+#: What is added to the row number of an inserted row: beyond the number of any row, and twice it still fits a long.
+AFTER = 1 << 60
 
 
 def number_text(x: Column) -> Column:

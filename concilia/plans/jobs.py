@@ -267,22 +267,6 @@ def parse_agenda(spark, d):
     return events.select("msg", "persona", "barrio", c("fecha").cast("timestamp_ntz").alias("fecha_ts"), "hora", "direccion")
 
 
-@query("agenda_upsert", None)
-def agenda_upsert(spark, d):
-    """Parsed events by agenda key, the later message winning."""
-    events = parse.agenda(mails(spark, d), "msg", "body", AS_OF)
-    key = F.concat_ws("|", X.normalize_text(c("persona")), X.ymd(c("fecha")), "hora")
-    return R.keep(events.withColumn("key", key), "key", order="msg").select("key", "persona", "barrio", "fecha", "hora", "direccion")
-
-
-@query("agenda_sync", None)
-def agenda_sync(spark, d):
-    """Mails to agenda: future events, upserted, split from the archive and labelled by week."""
-    rows = agenda_upsert(spark, d).where(c("fecha") >= F.lit(AS_OF).cast("date"))
-    old = F.coalesce(c("fecha") < F.date_sub(X.monday(AS_OF), 3), F.lit(False))
-    return rows.withColumns({"archived": old, "week": X.week_bucket(c("fecha"), AS_OF)})
-
-
 def base_updates(spark, d) -> DataFrame:
     """What attendance and channels change in each keyed base row."""
     attendance, channels = upsert_base_attendance(spark, d), upsert_base_channels(spark, d)

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.dictionaries import CANON
 
 AS_OF = "1998-06-17"
+#: Added to the row number of a second row; beyond the number of any row.
+FAR = 1 << 50
 BARRIOS = ",".join([*CANON, "Velez", "Pompeya"])
 ACCENTS = ("áéíóúüñÁÉÍÓÚÜÑ", "aeiouunAEIOUUN")
 
@@ -47,7 +49,7 @@ SHEETS = {
     "raw_all": "SELECT * FROM raw",
     "a2": "SELECT * FROM raw WHERE k % 3 <> 0",
     "b2": "SELECT * FROM raw WHERE k % 4 <> 1",
-    "base": f"SELECT _row, k, name, figura, barrio, fecha, hora, asistentes, status, {AGES}, CASE WHEN k % 11 = 3 THEN inscriptos + 2 ELSE inscriptos END AS inscriptos, {CHANNELS}, procesado, barrio_manual, d, CASE WHEN k % 7 = 1 THEN mail + 1 ELSE mail END AS mail, callc, ivr, difusion, otros, ins_f, CASE WHEN k % 9 = 1 THEN '' WHEN k % 9 = 2 THEN 'Avenida 1' ELSE direccion END AS direccion, comuna FROM raw WHERE k % 5 <> 0 UNION ALL SELECT _row + 100000000, k, name, name, barrio, fecha, hora, '7', 'en agenda', {AGES}, inscriptos, {CHANNELS}, procesado, barrio_manual, d, mail, callc, ivr, difusion, otros, ins_f, direccion, comuna FROM raw WHERE k % 40 = 1",
+    "base": f"SELECT _row, k, name, figura, barrio, fecha, hora, asistentes, status, {AGES}, CASE WHEN k % 11 = 3 THEN inscriptos + 2 ELSE inscriptos END AS inscriptos, {CHANNELS}, procesado, barrio_manual, d, CASE WHEN k % 7 = 1 THEN mail + 1 ELSE mail END AS mail, callc, ivr, difusion, otros, ins_f, CASE WHEN k % 9 = 1 THEN '' WHEN k % 9 = 2 THEN 'Avenida 1' ELSE direccion END AS direccion, comuna FROM raw WHERE k % 5 <> 0 UNION ALL SELECT _row + {FAR}, k, name, name, barrio, fecha, hora, '7', 'en agenda', {AGES}, inscriptos, {CHANNELS}, procesado, barrio_manual, d, mail, callc, ivr, difusion, otros, ins_f, direccion, comuna FROM raw WHERE k % 40 = 1",
     "rvd": f"SELECT _row, k, name, upper(name) AS figura, barrio, fecha, CASE WHEN k % 3 = 0 THEN '' ELSE hora END AS hora, CASE WHEN k % 4 = 0 THEN '' ELSE '12' END AS asistentes, CASE WHEN k % 6 = 0 THEN 'Realizada' ELSE status END AS status, {AGES}, inscriptos, {CHANNELS}, procesado, barrio_manual, d, mail, callc, ivr, difusion, otros, ins_f, CASE WHEN k % 6 = 5 THEN '' ELSE direccion END AS direccion, CASE WHEN k % 2 = 0 THEN '' ELSE comuna END AS comuna FROM raw WHERE k % 5 <> 1",
 }
 
