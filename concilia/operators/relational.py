@@ -56,10 +56,18 @@ def two_stage(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.join(exact, "exact", "left").join(pair, "pair", "left").withColumn("match", F.coalesce("by_exact", "by_pair"))
 
 
-def running_max(df: DataFrame, key: str, value: str, start: str, order: str = "_row") -> DataFrame:
-    """Add accepted: value is at least the largest seen so far for the key, or start."""
-    before = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("accepted", F.col(value) >= F.greatest(F.coalesce(F.max(value).over(before), F.col(start)), F.col(start)))
+def running_max(df: DataFrame, key: str, value: str, start: str, order: str = "_row", block: int = 1_000_000) -> DataFrame:
+    """Add accepted: value is at least the largest seen so far for the key, or start.
+
+    Rows of a key are dealt to blocks of ``block`` consecutive row numbers: a block starts from the maxima of those
+    before it, so no task holds more of a key than one block, or one number for each of its blocks.
+    """
+    rows = df.withColumn("_block", F.floor(F.col(order) / block))
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    tops = rows.groupBy(key, "_block").agg(F.max(value).alias("_top")).withColumn("_top", F.max("_top").over(before(key).orderBy("_block")))
+    seen = F.max(value).over(before(key, "_block").orderBy(order))
+    out = rows.withColumn("_seen", seen).join(tops, [key, "_block"], "left")
+    return out.withColumn("accepted", F.col(value) >= F.greatest("_seen", "_top", start)).drop("_block", "_seen", "_top")
 
 
 def full_outer(left: DataFrame, right: DataFrame, key: str, names: tuple[str, str, str]) -> DataFrame:

@@ -6,8 +6,6 @@ rows with one key the last one is the one that is updated. All cells but dates a
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,30 +104,53 @@ def into_base(base: DataFrame, a2: DataFrame, b2: DataFrame) -> tuple[DataFrame,
     return out, done.select(*b2.columns)
 
 
+def marked_a2(a2: DataFrame, base: DataFrame) -> DataFrame:
+    """a2 with procesado: rows whose attendance the base takes, in their order. Each key starts from the attendance of its last base row, and what is
+    taken is what the next row is held against; a present value that is no number takes none. base: _row, figura, barrio, fecha_d, asistentes (text)."""
+    keyed = base.withColumn("key", X.key_fbf(c("figura"), c("barrio"), c("fecha_d"))).select("key", "_row", X.num_strict(c("asistentes")).alias("now"))
+    seeds = keyed.join(last_rows(keyed), ["key", "_row"]).where("now is not null").select("key", "now")
+    rows = a2.where("asistentes > 0").select("_row", "asistentes", X.key_fbf(c("figura"), c("barrion"), c("fecha_d")).alias("key")).join(seeds, "key")
+    taken = R.running_max(rows, "key", "asistentes", "now").where("accepted").select("_row", F.lit(True).alias("taken"))
+    return a2.join(taken, "_row", "left").select(*a2.columns, F.coalesce("taken", F.lit(False)).alias("procesado"))
+
+
 def common_columns(user: DataFrame, base: DataFrame, but: set[str]) -> list[str]:
     """Columns of both by normalised header, those of ``but`` left out."""
     there = {R.normalize_header(x) for x in user.columns}
     return [x for x in base.columns if R.normalize_header(x) in there and x not in but]
 
 
-def two_way(user: DataFrame, base: DataFrame, formula_user: dict[str, Callable], formula_base: dict[str, Callable]) -> DataFrame:
-    """One row for each row of the base and each key that only the user has: key, u, p (structs of the rows, null if there is none), cells: array<struct<col, u, p, tipo>>.
+def on_last(df: DataFrame) -> DataFrame:
+    """df with its key on the last row of each key only, null elsewhere."""
+    last = last_rows(df).withColumn("_last", F.lit(True))
+    return df.join(last, ["key", "_row"], "left").withColumn("key", F.when(c("_last"), c("key"))).select(*df.columns)
+
+
+def with_formulas(df: DataFrame, mask: DataFrame) -> DataFrame:
+    """df with formulas, the set of its row's columns that hold one. mask: a row (_row, col) for each such cell."""
+    return df.join(mask.groupBy("_row").agg(F.collect_set("col").alias("formulas")), "_row", "left")
 
-    user and base have key, _row and their cells as text; the key of the base stands on the last row of a key only, other rows (key null) meet nothing
-    and are dealt by their row number. formula_user and formula_base tell by column, from a row, which cells hold a formula.
-    One full outer join serves the log and the result.
+
+def two_way(user: DataFrame, base: DataFrame, user_mask: DataFrame, base_mask: DataFrame) -> DataFrame:
+    """One row for each row of either table, of both where their keys meet: key, u, p (structs of the rows, null if there is none), cells: array<struct<col, u, p, tipo>>.
+
+    user and base have key, _row and their cells as text; a key stands on the last row of it only, other rows (key null) meet nothing and are dealt
+    by their row number. The masks tell which cells hold a formula and are joined once. One full outer join serves the log and both new tables.
     """
     names = common_columns(user, base, {"key", "_row"})
     blocked = {R.normalize_header(x) for x in BLOCKED}
-    by_row = F.coalesce("key", F.concat(F.lit("#"), c("_row").cast("string"))).alias("at")  # a key has two bars, so none equals these
-    both = R.keep(user, "key").select(c("key").alias("at"), F.struct(*user.columns).alias("u")).join(base.select(by_row, F.struct(*base.columns).alias("p")), "at", "full_outer")
+
+    def side(df: DataFrame, mask: DataFrame, name: str, sign: str) -> DataFrame:
+        at = F.coalesce("key", F.concat(F.lit(sign), c("_row").cast("string")))  # a key has two bars, so none equals these
+        return with_formulas(df, mask).select(at.alias("at"), F.struct(*df.columns, "formulas").alias(name))
+
+    both = side(user, user_mask, "u", "u#").join(side(base, base_mask, "p", "#"), "at", "full_outer")
     both = both.select(F.coalesce("u.key", "p.key").alias("key"), "u", "p")
     cell = []
     for x in names:
-        fu = formula_user[x](c("u")) if x in formula_user else F.lit(False)
-        fp = formula_base[x](c("p")) if x in formula_base else F.lit(False)
         u, p = X.str_clean(c(f"u.{x}")), X.str_clean(c(f"p.{x}"))
-        cell.append(F.struct(F.lit(x).alias("col"), u.alias("u"), p.alias("p"), F.lit(R.normalize_header(x) in blocked).alias("blocked"), fu.alias("fu"), fp.alias("fp")))
+        holds = lambda row: F.coalesce(F.array_contains(c(f"{row}.formulas"), x), F.lit(False))  # noqa: B023, E731
+        cell.append(F.struct(F.lit(x).alias("col"), u.alias("u"), p.alias("p"), F.lit(R.normalize_header(x) in blocked).alias("blocked"), holds("u").alias("fu"), holds("p").alias("fp")))
 
     def ruled(x: Column) -> Column:
         u, p = x["u"], x["p"]
@@ -143,15 +164,33 @@ def two_way(user: DataFrame, base: DataFrame, formula_user: dict[str, Callable],
     return both.select("key", "u", "p", cells.alias("cells"))
 
 
-def reviewed(both: DataFrame, columns: list[str]) -> DataFrame:
-    """The base after the two-way sync: cells filled from the user's table, and the rows that only the user had."""
-    names = common_columns(both.select("u.*"), both.select("p.*"), {"key", "_row"})
+def _new_rows(both: DataFrame, columns: list[str], own: str, other: str, told: str) -> list[Column]:
+    """The cells of side ``own``: filled where the log says so, taken from the other side where own has no row."""
+    names = common_columns(both.select("u.*"), both.select("p.*"), {"key", "_row", "formulas"})
 
     def cell(x: str) -> Column:
-        own = F.when(c("p").isNull(), c(f"u.{x}"))
+        out = F.when(c(own).isNull(), c(f"{other}.{x}"))
         if x in names:
             filled = F.get("cells", F.lit(names.index(x)))
-            own = own.when(filled["tipo"] == "Relleno Para Revisar desde usuario", filled["u"])
-        return own.otherwise(c(f"p.{x}")).alias(x)
+            out = out.when(filled["tipo"] == told, filled[other])
+        return out.otherwise(c(f"{own}.{x}")).alias(x)
+
+    return [cell(x) for x in columns]
+
+
+def reviewed(both: DataFrame, columns: list[str]) -> DataFrame:
+    """The base after the two-way sync: cells filled from the user's table, and the rows of keys that only the user had."""
+    kept = both.where("p is not null or key is not null")
+    return kept.select(F.coalesce("p._row", c("u._row") + 2 * AFTER).alias("_row"), *_new_rows(both, columns, "p", "u", "Relleno Para Revisar desde usuario"))
+
+
+def users(both: DataFrame, columns: list[str]) -> DataFrame:
+    """The user's table after the two-way sync: all its rows, cells filled from the base. No row is added to it."""
+    return both.where("u is not null").select(c("u._row").alias("_row"), *_new_rows(both, columns, "u", "p", "Relleno usuario desde Para Revisar"))
+
 
-    return both.select(F.coalesce("p._row", c("u._row") + 2 * AFTER).alias("_row"), *[cell(x) for x in columns])
+def both_tables(both: DataFrame, columns: list[str]) -> DataFrame:
+    """Both new tables from one pass, told apart by ``tabla``; the form in which they are written (partitioned by it)."""
+    base = F.when(c("p").isNotNull() | c("key").isNotNull(), F.struct(F.lit("para_revisar").alias("tabla"), F.coalesce("p._row", c("u._row") + 2 * AFTER).alias("_row"), *_new_rows(both, columns, "p", "u", "Relleno Para Revisar desde usuario")))
+    user = F.when(c("u").isNotNull(), F.struct(F.lit("usuario").alias("tabla"), c("u._row").alias("_row"), *_new_rows(both, columns, "u", "p", "Relleno usuario desde Para Revisar")))
+    return both.select(F.explode(F.array_compact(F.array(base, user))).alias("x")).select("x.*")

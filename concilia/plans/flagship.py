@@ -5,12 +5,15 @@ Each step works on what the steps before it returned. The SQL below says the sam
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..operators import steps as S
-from ..sources.sheets import AS_OF, raw, sheet, sql_with
+from ..operators.stage import cut
+from ..sources.sheets import AS_OF, raw, sheet, sheet_of, sql_with
 from . import dialect as D
 
 c = F.col
@@ -27,14 +30,12 @@ def dated(df: DataFrame) -> DataFrame:
     return df.withColumn("fecha_d", FECHA(c("fecha"), AS_OF))
 
 
-def a2_sheet(spark, d) -> DataFrame:
-    df = dated(sheet(spark, d, "a2"))
+def a2_cells(df: DataFrame) -> DataFrame:
     id_ = F.concat_ws(" - ", X.sanitize_figura(c("figura")), X.blank_null(c("barrio")), X.dmy(c("fecha_d"))).alias("id")
     return df.select("_row", id_, "figura", "barrio", "fecha_d", "hora", "direccion", X.num_parse(c("asistentes")).alias("asistentes"), X.str_clean(c("status")).alias("status"))
 
 
-def b2_sheet(spark, d) -> DataFrame:
-    df = dated(sheet(spark, d, "b2"))
+def b2_cells(df: DataFrame) -> DataFrame:
     done = (F.lower("procesado") == "true") | (F.trim("procesado") == "1")
     return df.select(
         "_row", X.key_b(c("name"), c("inscriptos")).alias("key"), F.concat_ws(" - ", X.blank_null(c("name")), X.dmy(c("fecha_d"))).alias("id"), c("name").alias("nombre"), c("figura").alias("persona"), "barrio", "barrio_manual", "fecha_d",
@@ -42,55 +43,77 @@ def b2_sheet(spark, d) -> DataFrame:
     )
 
 
-def base_sheet(spark, d, name: str = "base") -> DataFrame:
-    df = dated(sheet(spark, d, name))
+def base_cells(df: DataFrame) -> DataFrame:
     return df.select("_row", "figura", "barrio", "fecha_d", "hora", "direccion", "status", "asistentes", "inscriptos", "mail", "callc", "ivr", rrss(), "difusion", c("ins_m").alias("masculinos"), c("ins_f").alias("femeninos"), *S.AGES, F.lit(0).alias("sin"), "comuna")
 
 
+def base_sheet(spark, d, name: str = "base") -> DataFrame:
+    return base_cells(dated(sheet(spark, d, name)))
+
+
 def as_text(base: DataFrame) -> DataFrame:
     """The cells as text, beside the key."""
     cell = {"rrss": S.number_text(c("rrss"))}
     return base.select("_row", "key", *[cell.get(x, c(x)).cast("string").alias(x) for x in REVIEWED])
 
 
-def new_a2(spark, d) -> DataFrame:
-    return S.attendance_into_a2(dated(raw(spark, d)), a2_sheet(spark, d))
+class Run:
+    """One run of the pipeline: the source with its dates is written once, and so is what each step returns."""
 
+    def __init__(self, spark, d):
+        self.rows = cut(dated(raw(spark, d)))
 
-def new_b2(spark, d) -> DataFrame:
-    return S.registrations_into_b2(dated(raw(spark, d)).withColumn("nombre", c("name")), b2_sheet(spark, d))
+    def sheet(self, name: str) -> DataFrame:
+        return sheet_of(self.rows, name)
 
+    def dated(self, name: str) -> DataFrame:
+        return dated(self.sheet(name))
 
-def new_base(spark, d) -> tuple[DataFrame, DataFrame]:
-    a2, b2 = S.with_barrion(new_a2(spark, d), new_b2(spark, d))
-    return S.into_base(base_sheet(spark, d), a2, b2)
+    @cached_property
+    def a2(self) -> DataFrame:
+        return cut(S.attendance_into_a2(self.rows, a2_cells(self.dated("a2"))))
 
+    @cached_property
+    def b2(self) -> DataFrame:
+        return cut(S.registrations_into_b2(self.rows.withColumn("nombre", c("name")), b2_cells(self.dated("b2"))))
 
-#: Which cells hold a formula: every 7th row of the user's attendance, every 4th row of the base's address.
-USER_FORMULA = {"asistentes": lambda row: row["_row"] % 7 == 0}
-BASE_FORMULA = {"direccion": lambda row: row["_row"] % 4 == 0}
+    @cached_property
+    def named(self) -> tuple[DataFrame, DataFrame]:
+        return S.with_barrion(self.a2, self.b2)
 
+    @cached_property
+    def base(self) -> tuple[DataFrame, DataFrame]:
+        """The new base, and B2 with its marks."""
+        new, done = S.into_base(base_cells(self.dated("base")), *self.named)
+        return cut(new), done
 
-def synced(spark, d) -> DataFrame:
-    user = base_sheet(spark, d, "rvd").withColumn("key", X.key_fbf(c("figura"), c("barrio"), c("fecha_d")))
-    return S.two_way(as_text(user), as_text(new_base(spark, d)[0]), USER_FORMULA, BASE_FORMULA)
+    @cached_property
+    def synced(self) -> DataFrame:
+        user = S.on_last(base_cells(self.dated("rvd")).withColumn("key", X.key_fbf(c("figura"), c("barrio"), c("fecha_d"))))
+        return S.two_way(as_text(user), as_text(self.base[0]), self.sheet("rvd_formulas"), self.sheet("base_formulas"))
 
 
 def pipeline_a2(spark, d):
-    return new_a2(spark, d)
+    return Run(spark, d).a2
+
+
+def pipeline_a2_marked(spark, d):
+    """A2 after the base took its attendance: canonical neighbourhoods and the mark of processed rows, by date and time."""
+    run = Run(spark, d)
+    return S.marked_a2(run.named[0], base_cells(run.dated("base"))).orderBy(c("fecha_d").asc_nulls_last(), "hora", "_row")
 
 
 def pipeline_b2(spark, d):
-    return new_base(spark, d)[1]
+    return Run(spark, d).base[1]
 
 
 def pipeline_base(spark, d):
-    return new_base(spark, d)[0].drop("key")
+    return Run(spark, d).base[0].drop("key")
 
 
 def pipeline_log(spark, d):
     """What the two-way sync did or left, by key and column."""
-    both = synced(spark, d).where("key is not null")
+    both = Run(spark, d).synced.where("key is not null")
     only = F.when(c("p").isNull(), "Solo en usuario → agregado a Para Revisar").when(c("u").isNull(), "Solo en Para Revisar")
     told = F.coalesce(F.filter(F.transform("cells", lambda x: F.struct(x["col"].alias("col"), x["tipo"].alias("tipo"))), lambda x: x["tipo"].isNotNull()), F.array(F.struct(F.lit("").alias("col"), only.alias("tipo"))))
     return both.select("key", F.explode(told).alias("x")).select("key", "x.col", "x.tipo")
@@ -98,10 +121,20 @@ def pipeline_log(spark, d):
 
 def full_pipeline(spark, d) -> DataFrame:
     """The base after all five steps, every row of it, cells as text."""
-    return S.reviewed(synced(spark, d), REVIEWED)
+    return S.reviewed(Run(spark, d).synced, REVIEWED)
+
+
+def pipeline_user(spark, d) -> DataFrame:
+    """The user's table after all five steps, every row of it, cells as text."""
+    return S.users(Run(spark, d).synced, REVIEWED)
 
 
-QUERIES = {"pipeline_a2": pipeline_a2, "pipeline_b2": pipeline_b2, "pipeline_base": pipeline_base, "pipeline_log": pipeline_log, "full_pipeline": full_pipeline}
+def pipeline_tables(spark, d) -> DataFrame:
+    """Both tables that the two-way sync changes, from one pass."""
+    return S.both_tables(Run(spark, d).synced, REVIEWED)
+
+
+QUERIES = {f.__name__: f for f in (pipeline_a2, pipeline_a2_marked, pipeline_b2, pipeline_base, pipeline_log, full_pipeline, pipeline_user, pipeline_tables)}
 
 # The same in SQL.
 _AGES, _IN = ", ".join(S.AGES), ", ".join(S.OPERATIVE)
@@ -146,16 +179,25 @@ base_n AS (SELECT t._row, t.figura, t.barrio, t.fecha_d, t.hora, t.direccion, CA
 _RULE = "CASE WHEN u = p THEN NULL WHEN u = '' AND col = 'comuna' THEN 'NO se rellena usuario (bloqueada)' WHEN u = '' AND fu THEN 'NO se rellena usuario (tiene fórmula)' WHEN u = '' THEN 'Relleno usuario desde Para Revisar' WHEN p = '' AND regexp_matches(" + D.comma("u") + f", '{D.NUMBER}') THEN 'NO se rellena Para Revisar (numérico)' WHEN p = '' AND fp THEN 'NO se rellena Para Revisar (tiene fórmula)' WHEN p = '' THEN 'Relleno Para Revisar desde usuario' ELSE 'Diferencia' END"
 SYNC = f""", user_0 AS ({_BASE('rvd')}), base_t AS ({_TEXT('base_n')}), user_t AS ({_TEXT('user_0')}),
 p_l AS (SELECT * FROM base_t WHERE key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY key ORDER BY _row DESC) = 1), u_l AS (SELECT * FROM user_t WHERE key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY key ORDER BY _row DESC) = 1),
-pairs AS ({' UNION ALL '.join(f"SELECT u_l.key, p_l._row AS p_row, '{x}' AS col, {D.clean(f'u_l.{x}')} AS u, {D.clean(f'p_l.{x}')} AS p, {'u_l._row % 7 = 0' if x == 'asistentes' else 'false'} AS fu, {'p_l._row % 4 = 0' if x == 'direccion' else 'false'} AS fp FROM u_l JOIN p_l USING (key)" for x in REVIEWED)}),
+pairs AS ({' UNION ALL '.join(f"SELECT u_l.key, p_l._row AS p_row, u_l._row AS u_row, '{x}' AS col, {D.clean(f'u_l.{x}')} AS u, {D.clean(f'p_l.{x}')} AS p, (u_l._row, '{x}') IN (SELECT (_row, col) FROM rvd_formulas) AS fu, (p_l._row, '{x}') IN (SELECT (_row, col) FROM base_formulas) AS fp FROM u_l JOIN p_l USING (key)" for x in REVIEWED)}),
 acted AS (SELECT *, {_RULE} AS tipo FROM pairs)"""
 LOG = " SELECT key, col, tipo FROM acted WHERE tipo IS NOT NULL UNION ALL SELECT key, '', 'Solo en usuario → agregado a Para Revisar' FROM u_l WHERE key NOT IN (SELECT key FROM p_l) UNION ALL SELECT key, '', 'Solo en Para Revisar' FROM p_l WHERE key NOT IN (SELECT key FROM u_l)"
-FINAL = f", fills AS (SELECT p_row AS _row, {', '.join(f"max(CASE WHEN col = '{x}' THEN u END) AS {x}" for x in REVIEWED)} FROM acted WHERE tipo = 'Relleno Para Revisar desde usuario' GROUP BY p_row) SELECT _row, {', '.join(f'coalesce(f.{x}, b.{x}) AS {x}' for x in REVIEWED)} FROM base_t b LEFT JOIN fills f USING (_row) UNION ALL SELECT _row + {2 * S.AFTER}, {', '.join(REVIEWED)} FROM u_l WHERE key NOT IN (SELECT key FROM p_l)"
-
-_ALL = sql_with("a2", "b2", "base", "rvd")
+_FILLS = lambda name, row, value, tipo: f", {name} AS (SELECT {row} AS _row, {', '.join(f"max(CASE WHEN col = '{x}' THEN {value} END) AS {x}" for x in REVIEWED)} FROM acted WHERE tipo = '{tipo}' GROUP BY {row})"
+FILLS = _FILLS("fills", "p_row", "u", "Relleno Para Revisar desde usuario") + _FILLS("u_fills", "u_row", "p", "Relleno usuario desde Para Revisar")
+FINAL = f"SELECT _row, {', '.join(f'coalesce(f.{x}, b.{x}) AS {x}' for x in REVIEWED)} FROM base_t b LEFT JOIN fills f USING (_row) UNION ALL SELECT _row + {2 * S.AFTER}, {', '.join(REVIEWED)} FROM u_l WHERE key NOT IN (SELECT key FROM p_l)"
+USER = f"SELECT _row, {', '.join(f'coalesce(f.{x}, b.{x}) AS {x}' for x in REVIEWED)} FROM user_t b LEFT JOIN u_fills f USING (_row)"
+MARKED = f""", a_rows AS (SELECT _row, asistentes, {_FBF('figura', 'barrion')} AS key FROM a2_b WHERE asistentes > 0), seeds AS (SELECT key, {D.strict('asistentes')} AS cur FROM base_k JOIN base_l USING (key, _row)),
+took AS (SELECT a_rows.*, cur, max(asistentes) OVER (PARTITION BY key ORDER BY _row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM a_rows JOIN seeds USING (key))
+SELECT *, _row IN (SELECT _row FROM took WHERE cur IS NOT NULL AND asistentes >= greatest(coalesce(seen, cur), cur)) AS procesado FROM a2_b"""
+
+_ALL = sql_with("a2", "b2", "base", "rvd", "rvd_formulas", "base_formulas")
 SQL = {
     "pipeline_a2": f"{_ALL}{A2} SELECT * FROM a2_n",
     "pipeline_b2": f"{_ALL}{A2}{B2}{BASE} SELECT {', '.join(x for x in _B2_COLUMNS if x != 'procesado')}, barrion, procesado OR coalesce(base_key IN (SELECT key FROM base_l), false) AS procesado FROM b2_k",
     "pipeline_base": f"{_ALL}{A2}{B2}{BASE} SELECT * FROM base_n",
     "pipeline_log": f"{_ALL}{A2}{B2}{BASE}{SYNC}{LOG}",
-    "full_pipeline": f"{_ALL}{A2}{B2}{BASE}{SYNC}{FINAL}",
+    "full_pipeline": f"{_ALL}{A2}{B2}{BASE}{SYNC}{FILLS} {FINAL}",
+    "pipeline_user": f"{_ALL}{A2}{B2}{BASE}{SYNC}{FILLS} {USER}",
+    "pipeline_tables": f"{_ALL}{A2}{B2}{BASE}{SYNC}{FILLS} SELECT 'para_revisar' AS tabla, * FROM ({FINAL}) UNION ALL SELECT 'usuario', * FROM ({USER})",
+    "pipeline_a2_marked": f"{_ALL}{A2}{B2}{BASE}{MARKED}",
 }

@@ -51,6 +51,9 @@ SHEETS = {
     "b2": "SELECT * FROM raw WHERE k % 4 <> 1",
     "base": f"SELECT _row, k, name, figura, barrio, fecha, hora, asistentes, status, {AGES}, CASE WHEN k % 11 = 3 THEN inscriptos + 2 ELSE inscriptos END AS inscriptos, {CHANNELS}, procesado, barrio_manual, d, CASE WHEN k % 7 = 1 THEN mail + 1 ELSE mail END AS mail, callc, ivr, difusion, otros, ins_f, CASE WHEN k % 9 = 1 THEN '' WHEN k % 9 = 2 THEN 'Avenida 1' ELSE direccion END AS direccion, comuna FROM raw WHERE k % 5 <> 0 UNION ALL SELECT _row + {FAR}, k, name, name, barrio, fecha, hora, '7', 'en agenda', {AGES}, inscriptos, {CHANNELS}, procesado, barrio_manual, d, mail, callc, ivr, difusion, otros, ins_f, direccion, comuna FROM raw WHERE k % 40 = 1",
     "rvd": f"SELECT _row, k, name, upper(name) AS figura, barrio, fecha, CASE WHEN k % 3 = 0 THEN '' ELSE hora END AS hora, CASE WHEN k % 4 = 0 THEN '' ELSE '12' END AS asistentes, CASE WHEN k % 6 = 0 THEN 'Realizada' ELSE status END AS status, {AGES}, inscriptos, {CHANNELS}, procesado, barrio_manual, d, mail, callc, ivr, difusion, otros, ins_f, CASE WHEN k % 6 = 5 THEN '' ELSE direccion END AS direccion, CASE WHEN k % 2 = 0 THEN '' ELSE comuna END AS comuna FROM raw WHERE k % 5 <> 1",
+    # Cells that hold a formula: a row for each, of the user's table and of the base.
+    "rvd_formulas": "SELECT _row, 'asistentes' AS col FROM raw WHERE k % 7 = 5 AND k % 5 <> 1 UNION ALL SELECT _row, 'hora' FROM raw WHERE k % 12 = 3 AND k % 5 <> 1",
+    "base_formulas": "SELECT _row, 'direccion' AS col FROM raw WHERE k % 4 = 2 AND k % 5 <> 0 UNION ALL SELECT _row, 'comuna' FROM raw WHERE k % 6 = 5 AND k % 5 <> 0",
 }
 
 
@@ -68,8 +71,13 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(RAW, orders=spread(table(spark, sf_dir, "orders")), customer=table(spark, sf_dir, "customer"))
 
 
+def sheet_of(rows: DataFrame, name: str) -> DataFrame:
+    """The named sheet of rows that raw() gave."""
+    return rows.sparkSession.sql(SHEETS[name].replace("FROM raw", "FROM {raw}"), raw=rows)
+
+
 def sheet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.sql(SHEETS[name].replace("FROM raw", "FROM {raw}"), raw=raw(spark, sf_dir))
+    return sheet_of(raw(spark, sf_dir), name)
 
 
 def sql_with(*names: str) -> str:
