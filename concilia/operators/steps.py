@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as X
 from ..functions.dictionaries import BLOCKED
 from . import relational as R
+from .stage import cut
 
 c = F.col
 AGES = ["e18", "e25", "e40", "e56", "e66"]
@@ -44,10 +45,11 @@ def attendance_into_a2(source: DataFrame, a2: DataFrame) -> DataFrame:
         "_row", X.sanitize_figura(c("figura")).alias("figura"), X.sanitize_barrio(c("barrio")).alias("barrio"), "fecha_d", F.coalesce(X.parse_time_ampm(c("hora")), F.lit("")).alias("hora"),
         X.str_clean(c("direccion")).alias("direccion"), X.num_parse(c("asistentes")).alias("asistentes"), X.str_clean(c("status")).alias("status"),
     )
-    rows = rows.withColumns({"exact": X.key_a(c("figura"), c("fecha_d"), c("hora")), "pair": X.key_a(c("figura"), c("fecha_d"))})
+    # Keys are costly and each is grouped and joined by, so they are computed once.
+    rows = cut(rows.withColumns({"exact": X.key_a(c("figura"), c("fecha_d"), c("hora")), "pair": X.key_a(c("figura"), c("fecha_d"))}))
     figura = X.sanitize_figura(c("figura"))
-    target = a2.select("_row", X.key_a(figura, c("fecha_d"), X.parse_time_ampm(c("hora"))).alias("exact"), X.key_a(figura, c("fecha_d")).alias("pair"))
-    matched = R.two_stage(rows, target)
+    target = cut(a2.select("_row", X.key_a(figura, c("fecha_d"), X.parse_time_ampm(c("hora"))).alias("exact"), X.key_a(figura, c("fecha_d")).alias("pair")))
+    matched = cut(R.two_stage(rows, target))
     new = matched.where("match is not null").groupBy(c("match").alias("_row")).agg(F.max_by(F.struct(*OPERATIVE), "_row").alias("u"))
     kept = a2.join(new, "_row", "left").select("_row", "id", "figura", "barrio", *[F.when(c("u").isNotNull(), c(f"u.{x}")).otherwise(c(x)).alias(x) for x in OPERATIVE])
     id_ = F.concat_ws(" - ", "figura", X.blank_null(c("barrio")), X.dmy(c("fecha_d"))).alias("id")
@@ -60,7 +62,9 @@ def registrations_into_b2(source: DataFrame, b2: DataFrame) -> DataFrame:
     source: _row, nombre, fecha_d, inscriptos, unicos, ins_m, ins_f, mail, callc, ivr, facebook, google, programmatic,
     difusion, otros, AGES; b2: _row, key, id, nombre, persona, barrio, barrio_manual, fecha_d, CHANNELS, AGES, sin, procesado.
     """
-    first = R.keep(source.withColumn("key", X.key_b(c("nombre"), c("inscriptos"))), "key", last=False).withColumn("sin", residual(c("inscriptos")))
+    keyed = cut(source.withColumn("key", X.key_b(c("nombre"), c("inscriptos"))))
+    firsts = keyed.where("key is not null").groupBy("key").agg(F.min("_row").alias("_row"))
+    first = keyed.join(firsts, ["key", "_row"], "left_semi").withColumn("sin", residual(c("inscriptos")))
     known = last_rows(b2)
     fresh = known.join(first.select("key", F.struct(*AGES, "sin").alias("u")), "key").select("_row", "u")
     kept = b2.join(fresh, "_row", "left").select(*[F.when(c("u").isNotNull(), c(f"u.{x}")).otherwise(c(x)).alias(x) if x in (*AGES, "sin") else c(x) for x in b2.columns])
@@ -73,10 +77,15 @@ def registrations_into_b2(source: DataFrame, b2: DataFrame) -> DataFrame:
 
 
 def with_barrion(a2: DataFrame, b2: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """barrion: the canonical neighbourhood; of b2 the title form of the manual one, else of the other, else what it was."""
+    """barrion: the canonical neighbourhood; of b2 the title form of the manual one, else of the other, else what it was. base_key: the base's key with it."""
     source = F.coalesce(X.blank_null(c("barrio_manual")), X.blank_null(c("barrio")))
     canon = X.barrio_canon(c("barrio"))
-    return a2.withColumn("barrion", canon), b2.withColumn("barrion", F.when(source.isNull(), canon).otherwise(X.barrio_canon_title(source)))
+    a2, b2 = a2.withColumn("barrion", canon), b2.withColumn("barrion", F.when(source.isNull(), canon).otherwise(X.barrio_canon_title(source)))
+    return a2.withColumn("base_key", X.key_fbf(c("figura"), c("barrion"), c("fecha_d"))), b2.withColumn("base_key", X.key_fbf(c("persona"), c("barrion"), c("fecha_d")))
+
+
+def with_key(base: DataFrame) -> DataFrame:
+    return base.withColumn("key", X.key_fbf(c("figura"), c("barrio"), c("fecha_d")))
 
 
 def into_base(base: DataFrame, a2: DataFrame, b2: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -84,34 +93,32 @@ def into_base(base: DataFrame, a2: DataFrame, b2: DataFrame) -> tuple[DataFrame,
 
     Attendance that is not below the present one is taken and makes the status Realizada; a present value that is no
     number takes none. Channels and age bands come from the last unprocessed row of a key.
-    base: _row, figura, barrio, fecha_d, hora, direccion, status, asistentes (text), CHANNELS, AGES, sin.
+    base: _row, key, figura, barrio, fecha_d, hora, direccion, status, asistentes (text), CHANNELS, AGES, sin; a2 and b2 have base_key.
     """
     cells = [*CHANNELS, *AGES, "sin"]
-    rows = last_rows(base.withColumn("key", X.key_fbf(c("figura"), c("barrio"), c("fecha_d"))))
-    top = a2.where("asistentes > 0").groupBy(X.key_fbf(c("figura"), c("barrion"), c("fecha_d")).alias("key")).agg(F.max("asistentes").alias("top"))
-    marked = b2.withColumn("base_key", X.key_fbf(c("persona"), c("barrion"), c("fecha_d")))
-    open_ = marked.where("not procesado").select(c("base_key").alias("key"), "_row", *cells)
-    fresh = R.keep(open_, "key").select("key", F.struct(*cells).alias("u"))
-    new = rows.join(top, "key", "left").join(fresh, "key", "left").select("_row", "key", "top", "u")
+    rows = last_rows(base)
+    top = a2.where("asistentes > 0 and base_key is not null").groupBy(c("base_key").alias("key")).agg(F.max("asistentes").alias("top"))
+    open_ = b2.where("not procesado").select(c("base_key").alias("key"), "_row", *cells)
+    fresh = open_.join(last_rows(open_), ["key", "_row"], "left_semi").select("key", F.struct(*cells).alias("u"))
+    new = rows.join(top, "key", "left").join(fresh, "key", "left").select("_row", c("key").alias("_key"), "top", "u")
     taken = c("top") >= X.num_strict(c("asistentes"))
     cell = {
         "asistentes": F.when(taken, number_text(c("top"))).otherwise(c("asistentes")), "status": F.when(taken, "Realizada").otherwise(c("status")),
-        **{x: F.when(c("u").isNotNull(), c(f"u.{x}")).otherwise(c(x)) for x in cells},
+        **{x: F.when(c("u").isNotNull(), c(f"u.{x}")).otherwise(c(x)) for x in cells}, "key": c("_key"),
     }
-    out = base.join(new, "_row", "left").select(*[cell.get(x, c(x)).alias(x) for x in base.columns], "key")
+    out = base.join(new, "_row", "left").select(*[cell.get(x, c(x)).alias(x) for x in base.columns])
     there = rows.select(c("key").alias("base_key"), F.lit(True).alias("there"))
-    done = marked.join(there, "base_key", "left").withColumn("procesado", c("procesado") | F.coalesce("there", F.lit(False)))
-    return out, done.select(*b2.columns)
+    done = b2.join(there, "base_key", "left").withColumn("procesado", c("procesado") | F.coalesce("there", F.lit(False)))
+    return out, done.select(*[x for x in b2.columns if x != "base_key"])
 
 
 def marked_a2(a2: DataFrame, base: DataFrame) -> DataFrame:
     """a2 with procesado: rows whose attendance the base takes, in their order. Each key starts from the attendance of its last base row, and what is
-    taken is what the next row is held against; a present value that is no number takes none. base: _row, figura, barrio, fecha_d, asistentes (text)."""
-    keyed = base.withColumn("key", X.key_fbf(c("figura"), c("barrio"), c("fecha_d"))).select("key", "_row", X.num_strict(c("asistentes")).alias("now"))
-    seeds = keyed.join(last_rows(keyed), ["key", "_row"]).where("now is not null").select("key", "now")
-    rows = a2.where("asistentes > 0").select("_row", "asistentes", X.key_fbf(c("figura"), c("barrion"), c("fecha_d")).alias("key")).join(seeds, "key")
+    taken is what the next row is held against; a present value that is no number takes none. base: _row, key, asistentes (text); a2 has base_key."""
+    seeds = base.join(last_rows(base), ["key", "_row"]).select("key", X.num_strict(c("asistentes")).alias("now")).where("now is not null")
+    rows = a2.where("asistentes > 0").select("_row", "asistentes", c("base_key").alias("key")).join(seeds, "key")
     taken = R.running_max(rows, "key", "asistentes", "now").where("accepted").select("_row", F.lit(True).alias("taken"))
-    return a2.join(taken, "_row", "left").select(*a2.columns, F.coalesce("taken", F.lit(False)).alias("procesado"))
+    return a2.join(taken, "_row", "left").select(*[x for x in a2.columns if x != "base_key"], F.coalesce("taken", F.lit(False)).alias("procesado"))
 
 
 def common_columns(user: DataFrame, base: DataFrame, but: set[str]) -> list[str]:
@@ -142,31 +149,28 @@ def two_way(user: DataFrame, base: DataFrame, user_mask: DataFrame, base_mask: D
 
     def side(df: DataFrame, mask: DataFrame, name: str, sign: str) -> DataFrame:
         at = F.coalesce("key", F.concat(F.lit(sign), c("_row").cast("string")))  # a key has two bars, so none equals these
-        return with_formulas(df, mask).select(at.alias("at"), F.struct(*df.columns, "formulas").alias(name))
+        return with_formulas(df, mask).select(at.alias("at"), F.struct(*df.columns, "formulas", F.array(*[X.str_clean(c(x)) for x in names]).alias("texts")).alias(name))
 
     both = side(user, user_mask, "u", "u#").join(side(base, base_mask, "p", "#"), "at", "full_outer")
     both = both.select(F.coalesce("u.key", "p.key").alias("key"), "u", "p")
-    cell = []
-    for x in names:
-        u, p = X.str_clean(c(f"u.{x}")), X.str_clean(c(f"p.{x}"))
-        holds = lambda row: F.coalesce(F.array_contains(c(f"{row}.formulas"), x), F.lit(False))  # noqa: B023, E731
-        cell.append(F.struct(F.lit(x).alias("col"), u.alias("u"), p.alias("p"), F.lit(R.normalize_header(x) in blocked).alias("blocked"), holds("u").alias("fu"), holds("p").alias("fp")))
-
-    def ruled(x: Column) -> Column:
-        u, p = x["u"], x["p"]
+    header = F.array(*[F.struct(F.lit(x).alias("col"), F.lit(R.normalize_header(x) in blocked).alias("blocked")) for x in names])
+
+    def ruled(x: Column, i: Column) -> Column:
+        u, p = F.get("u.texts", i), F.get("p.texts", i)
+        holds = lambda row: F.coalesce(F.array_contains(c(f"{row}.formulas"), x["col"]), F.lit(False))
         tipo = (
-            F.when(u == p, None).when((u == "") & x["blocked"], "NO se rellena usuario (bloqueada)").when((u == "") & x["fu"], "NO se rellena usuario (tiene fórmula)").when(u == "", "Relleno usuario desde Para Revisar")
-            .when((p == "") & X.numeric_like(u), "NO se rellena Para Revisar (numérico)").when((p == "") & x["fp"], "NO se rellena Para Revisar (tiene fórmula)").when(p == "", "Relleno Para Revisar desde usuario").otherwise("Diferencia")
+            F.when(u == p, None).when((u == "") & x["blocked"], "NO se rellena usuario (bloqueada)").when((u == "") & holds("u"), "NO se rellena usuario (tiene fórmula)").when(u == "", "Relleno usuario desde Para Revisar")
+            .when((p == "") & X.numeric_like(u), "NO se rellena Para Revisar (numérico)").when((p == "") & holds("p"), "NO se rellena Para Revisar (tiene fórmula)").when(p == "", "Relleno Para Revisar desde usuario").otherwise("Diferencia")
         )
         return F.struct(x["col"].alias("col"), u.alias("u"), p.alias("p"), tipo.alias("tipo"))
 
-    cells = F.when(c("u").isNotNull() & c("p").isNotNull(), F.transform(F.array(*cell), ruled))
+    cells = F.when(c("u").isNotNull() & c("p").isNotNull(), F.transform(header, ruled))
     return both.select("key", "u", "p", cells.alias("cells"))
 
 
 def _new_rows(both: DataFrame, columns: list[str], own: str, other: str, told: str) -> list[Column]:
     """The cells of side ``own``: filled where the log says so, taken from the other side where own has no row."""
-    names = common_columns(both.select("u.*"), both.select("p.*"), {"key", "_row", "formulas"})
+    names = common_columns(both.select("u.*"), both.select("p.*"), {"key", "_row", "formulas", "texts"})
 
     def cell(x: str) -> Column:
         out = F.when(c(own).isNull(), c(f"{other}.{x}"))

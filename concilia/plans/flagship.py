@@ -70,37 +70,37 @@ class Run:
         return dated(self.sheet(name))
 
     @cached_property
-    def a2(self) -> DataFrame:
-        return cut(S.attendance_into_a2(self.rows, a2_cells(self.dated("a2"))))
-
-    @cached_property
-    def b2(self) -> DataFrame:
-        return cut(S.registrations_into_b2(self.rows.withColumn("nombre", c("name")), b2_cells(self.dated("b2"))))
+    def named(self) -> tuple[DataFrame, DataFrame]:
+        """A2 and B2 after the first three steps, with the key that they have in the base."""
+        a2 = S.attendance_into_a2(self.rows, a2_cells(self.dated("a2")))
+        b2 = S.registrations_into_b2(self.rows.withColumn("nombre", c("name")), cut(b2_cells(self.dated("b2"))))
+        a2, b2 = S.with_barrion(a2, b2)
+        return cut(a2), cut(b2)
 
     @cached_property
-    def named(self) -> tuple[DataFrame, DataFrame]:
-        return S.with_barrion(self.a2, self.b2)
+    def before(self) -> DataFrame:
+        return cut(S.with_key(base_cells(self.dated("base"))))
 
     @cached_property
     def base(self) -> tuple[DataFrame, DataFrame]:
         """The new base, and B2 with its marks."""
-        new, done = S.into_base(base_cells(self.dated("base")), *self.named)
+        new, done = S.into_base(self.before, *self.named)
         return cut(new), done
 
     @cached_property
     def synced(self) -> DataFrame:
-        user = S.on_last(base_cells(self.dated("rvd")).withColumn("key", X.key_fbf(c("figura"), c("barrio"), c("fecha_d"))))
+        user = S.on_last(cut(S.with_key(base_cells(self.dated("rvd")))))
         return S.two_way(as_text(user), as_text(self.base[0]), self.sheet("rvd_formulas"), self.sheet("base_formulas"))
 
 
 def pipeline_a2(spark, d):
-    return Run(spark, d).a2
+    return Run(spark, d).named[0].drop("barrion", "base_key")
 
 
 def pipeline_a2_marked(spark, d):
     """A2 after the base took its attendance: canonical neighbourhoods and the mark of processed rows, by date and time."""
     run = Run(spark, d)
-    return S.marked_a2(run.named[0], base_cells(run.dated("base"))).orderBy(c("fecha_d").asc_nulls_last(), "hora", "_row")
+    return S.marked_a2(run.named[0], run.before).orderBy(c("fecha_d").asc_nulls_last(), "hora", "_row")
 
 
 def pipeline_b2(spark, d):
