@@ -29,7 +29,7 @@ MAILS = f"""SELECT _row AS msg, CAST(floor(k / 3) AS BIGINT) AS thread, DATE '{A
 _ROW = f"""lower(name) || '|' || {_YMD(_E1)} || '|' || {_HORA} AS id, name AS persona_auto, 'viejo' AS barrio_auto, {_E1} - CAST(k % 40 AS INT) AS fecha_auto, {_HORA} AS hora_auto, 'Calle vieja' AS direccion_auto, 'hoja' AS fuente,
   CASE WHEN k % 4 = 3 THEN figura ELSE '' END AS persona_manual, CASE WHEN k % 4 = 3 THEN barrio WHEN k % 9 = 0 THEN 'boca' WHEN k % 9 = 3 THEN ' ' ELSE '' END AS barrio_manual, CASE WHEN k % 4 = 3 THEN fecha WHEN k % 15 = 0 THEN 'sin fecha' ELSE '' END AS fecha_manual,
   CASE WHEN k % 15 = 0 THEN '9:05' WHEN k % 15 = 3 THEN 'tarde' ELSE '' END AS hora_manual, CASE WHEN k % 6 = 3 THEN 'Sala ' || CAST(k % 5 AS STRING) ELSE '' END AS direccion_manual, k % 2 = 1 AS listo, k % 10 = 3 AS enviado, CASE WHEN k % 10 = 3 THEN '1998-06-01 09:00:00' ELSE '' END AS enviado_ts"""
-AGENDA = f"SELECT _row, {_ROW} FROM {{raw}} WHERE k % 3 = 0 AND k % 33 <> 0 UNION ALL SELECT _row, '' AS id, * EXCEPT (_row, id) FROM (SELECT _row, {_ROW} FROM {{raw}} WHERE k % 33 = 0) UNION ALL SELECT _row + {FAR}, {_ROW} FROM {{raw}} WHERE k % 60 = 3"
+AGENDA = f"SELECT _row, {_ROW} FROM {{raw}} WHERE k % 5 IN (0, 2, 3) AND k % 33 <> 0 UNION ALL SELECT _row, '' AS id, * EXCEPT (_row, id) FROM (SELECT _row, {_ROW} FROM {{raw}} WHERE k % 5 IN (0, 2, 3) AND k % 33 = 0) UNION ALL SELECT _row + {FAR}, {_ROW} FROM {{raw}} WHERE k % 60 = 3"
 
 
 def agenda_before(spark, d) -> DataFrame:
@@ -64,7 +64,7 @@ def agenda_sync_dormant(spark, d):
 
 
 def _base(spark, d) -> DataFrame:
-    cleared = F.when(c("_row") % 8 == 0, "").otherwise(c("status"))
+    cleared = F.when(c("_row") % 7 == 0, "").otherwise(c("status"))
     return base_sheet(spark, d).select("_row", "figura", "barrio", "fecha_d", "hora", "direccion", cleared.alias("status"), F.lit("").alias("id"), "asistentes")
 
 
@@ -113,7 +113,7 @@ _TIME = f"coalesce(nullif({D.hora('hora_manual')}, ''), nullif({D.hora('hora_aut
 _READY = f""", r_0 AS (SELECT origen, _row, _pos, {_EFF('persona')} AS figura, {_EFF('barrio')} AS b, {_DAY} AS fecha_d, {_TIME} AS hora, coalesce({_EFF('direccion')}, '') AS direccion FROM agenda_n WHERE listo AND NOT enviado),
 r_1 AS (SELECT *, {D.barrio_keep('b')} AS barrio FROM r_0), sent AS (SELECT *, nullif({D.norm('figura')}, '') || '|' || nullif({D.norm('barrio')}, '') || '|' || {D.ymd('fecha_d')} AS key, concat_ws(' - ', figura, barrio, strftime(fecha_d, '%d/%m/%Y')) AS id FROM r_1 WHERE key IS NOT NULL)"""
 _ORDER = "ORDER BY origen, _row, _pos"
-_PUSH = f"""{_READY}, b_0 AS (SELECT _row, figura, barrio, {D.date('fecha')} AS fecha_d, hora, direccion, CASE WHEN _row % 8 = 0 THEN '' ELSE status END AS status, '' AS id, asistentes FROM base),
+_PUSH = f"""{_READY}, b_0 AS (SELECT _row, figura, barrio, {D.date('fecha')} AS fecha_d, hora, direccion, CASE WHEN _row % 7 = 0 THEN '' ELSE status END AS status, '' AS id, asistentes FROM base),
 b_k AS (SELECT *, nullif({D.norm('figura')}, '') || '|' || nullif({D.norm('barrio')}, '') || '|' || {D.ymd('fecha_d')} AS key FROM b_0), b_t AS (SELECT key, max(_row) AS _row FROM b_k WHERE key IS NOT NULL GROUP BY key),
 n_l AS (SELECT key, last(figura {_ORDER}) AS figura, last(barrio {_ORDER}) AS barrio, last(fecha_d {_ORDER}) AS fecha_d, last(id {_ORDER}) AS id, last(hora {_ORDER}) FILTER (hora <> '') AS hora, last(direccion {_ORDER}) FILTER (direccion <> '') AS direccion, first(origen {_ORDER}) AS origen, first(_row {_ORDER}) AS _row FROM sent GROUP BY key)
 SELECT 'base' AS origen, b._row, {', '.join(f'CASE WHEN n.key IS NULL THEN b.{x} ELSE n.{x} END AS {x}' for x in ('figura', 'barrio', 'fecha_d', 'id'))}, {', '.join(f"coalesce(n.{x}, b.{x}, '') AS {x}" for x in ('hora', 'direccion'))},
