@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from . import parse
+from .stage import cut
 
 c = F.col
 FIELDS = ["persona", "barrio", "fecha", "hora", "direccion"]
@@ -76,12 +77,13 @@ def filed(agenda: DataFrame, as_of: str, cut_off: Column | None = None) -> DataF
 
 def ready(agenda: DataFrame, as_of: str) -> DataFrame:
     """Rows to be sent: ready, not sent, and with a person, a neighbourhood and a date. PLACE, key, id_final and the base's cells."""
-    barrio = X.barrio_canon(effective("barrio"))
     hora = F.coalesce(F.nullif(X.format_hora(c("hora_manual")), F.lit("")), F.nullif(X.format_hora(c("hora_auto")), F.lit("")), F.lit(""))
-    rows = agenda.where(c("listo") & ~c("enviado")).select(
-        *PLACE, effective("persona").alias("figura"), F.coalesce(F.nullif(barrio, F.lit("")), effective("barrio")).alias("barrio"), effective_date(as_of).alias("fecha_d"), hora.alias("hora"), F.coalesce(effective("direccion"), F.lit("")).alias("direccion"),
+    said = agenda.where(c("listo") & ~c("enviado")).select(
+        *PLACE, effective("persona").alias("figura"), effective("barrio").alias("barrio"), effective_date(as_of).alias("fecha_d"), hora.alias("hora"), F.coalesce(effective("direccion"), F.lit("")).alias("direccion"),
     )
-    rows = rows.withColumn("key", X.key_fbf(c("figura"), c("barrio"), c("fecha_d"))).where("key is not null")
+    # Each rule reads the one before it several times, so they are written one after the other and not nested.
+    named = cut(cut(said).withColumn("barrio", F.coalesce(F.nullif(X.barrio_canon(c("barrio")), F.lit("")), c("barrio"))))
+    rows = cut(named.withColumn("key", X.key_fbf(c("figura"), c("barrio"), c("fecha_d")))).where("key is not null")
     return rows.withColumn("id", F.concat_ws(" - ", "figura", "barrio", X.dmy(c("fecha_d"))))
 
 
@@ -95,7 +97,7 @@ def into_base(base: DataFrame, sent: DataFrame) -> DataFrame:
     said = lambda x: F.max_by(x, F.when(c(x) != "", order)).alias(x)
     news = sent.groupBy("key").agg(F.max_by(F.struct("figura", "barrio", "fecha_d", "id"), order).alias("u"), said("hora"), said("direccion"), F.min(order).alias("first"))
     news = news.select("key", F.struct("u.*", "hora", "direccion", "first").alias("u"))
-    keyed = base.withColumn("key", X.key_fbf(c("figura"), c("barrio"), c("fecha_d")))
+    keyed = cut(base.withColumn("key", X.key_fbf(c("figura"), c("barrio"), c("fecha_d"))))
     last = keyed.where("key is not null").groupBy("key").agg(F.max("_row").alias("_row"), F.lit(True).alias("is_last"))
     at = F.when(c("is_last"), c("key")).otherwise(F.concat(F.lit("#"), c("_row").cast("string")))
     cells = ["figura", "barrio", "fecha_d", "hora", "direccion", "status", "id", "asistentes"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..operators import agenda as G
+from ..operators.stage import cut
 from ..sources.sheets import AS_OF, FAR, raw, sql_with
 from . import dialect as D
 from .flagship import base_sheet
@@ -41,7 +42,7 @@ def messages(spark, d) -> DataFrame:
 
 
 def agenda_now(spark, d) -> DataFrame:
-    return G.upserted(agenda_before(spark, d), G.events(messages(spark, d), AS_OF))
+    return cut(G.upserted(agenda_before(spark, d), cut(G.events(cut(messages(spark, d)), AS_OF))))
 
 
 def agenda_messages(spark, d):
