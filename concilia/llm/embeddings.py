@@ -91,6 +91,8 @@ def buckets(x: np.ndarray, of: int, seed: int = SEED) -> np.ndarray:
 
 def unit(vectors) -> np.ndarray:
     x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    # By a power of two, which is exact: squares of very large or small components would leave the range of a double.
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 

@@ -289,6 +289,25 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(df.where("false")).count() == 0
 
 
+def test_embeddings_of_extreme_size(spark):
+    """Finite vectors of any size, against cosines in extended precision."""
+    rng = np.random.default_rng(8)
+    made = []
+    for _ in range(60):
+        v = rng.normal(size=8)
+        for size in (1e200, 1e-200, 1.0, 1e300, 1e-300):
+            made.append((v + rng.normal(size=8) * rng.choice([0.01, 0.12])) * size)
+    made += [np.array([1e200, *[0.0] * 7]), np.array([2e200, 1e198, *[0.0] * 6]), np.array([1e-200, *[0.0] * 7]), np.array([1e308, 1e-308, *[0.0] * 6])]
+    x = np.stack(made).astype(np.longdouble)
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert np.abs(x @ x.T - 0.95).min() > 1e-9
+    df = spark.createDataFrame([(k, [float(c) for c in v]) for k, v in enumerate(made)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(df).collect()}
+    assert got == {k: int(n) for k, n in enumerate(near.sum(axis=1))}
+
+
 def test_hash_recall():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((3000, 64))
