@@ -198,3 +198,38 @@ def both_tables(both: DataFrame, columns: list[str]) -> DataFrame:
     base = F.when(c("p").isNotNull() | c("key").isNotNull(), F.struct(F.lit("para_revisar").alias("tabla"), F.coalesce("p._row", c("u._row") + 2 * AFTER).alias("_row"), *_new_rows(both, columns, "p", "u", "Relleno Para Revisar desde usuario")))
     user = F.when(c("u").isNotNull(), F.struct(F.lit("usuario").alias("tabla"), c("u._row").alias("_row"), *_new_rows(both, columns, "u", "p", "Relleno usuario desde Para Revisar")))
     return both.select(F.explode(F.array_compact(F.array(base, user))).alias("x")).select("x.*")
+
+
+def last_values(df: DataFrame, cells: list[str]) -> DataFrame:
+    """key, u: the cells of the last row of each key."""
+    return df.join(last_rows(df), ["key", "_row"], "left_semi").select("key", F.struct(*cells).alias("u"))
+
+
+def onto_last(df: DataFrame, news: DataFrame, cells: list[str]) -> DataFrame:
+    """df with the cells of news (key, u) on the last row of each key that news has."""
+    rows = last_rows(df).join(news, "key").select("_row", "u")
+    return df.join(rows, "_row", "left").select(*[F.when(c("u").isNotNull(), c(f"u.{x}")).otherwise(c(x)).alias(x) if x in cells else c(x) for x in df.columns])
+
+
+def ages_into_b2(source: DataFrame, b2: DataFrame) -> DataFrame:
+    """Backfill of B2's age bands by name and number of registrations; sin is what the bands leave of these. The last source row of a key wins.
+
+    source: _row, key, inscriptos, AGES; b2 has _row, key, AGES, sin.
+    """
+    return onto_last(b2, last_values(source.withColumn("sin", residual(c("inscriptos"))), [*AGES, "sin"]), [*AGES, "sin"])
+
+
+def effective_b2(b2: DataFrame, as_of: str) -> DataFrame:
+    """b2 with key: the base's, of the person (manual, else its own), the neighbourhood (manual, else canonical, else its own) and the date (manual if it can be read, else its own)."""
+    first = lambda *xs: F.coalesce(*[X.blank_null(c(x)) for x in xs])
+    day = F.coalesce(X.parse_date_lenient(c("fecha_manual"), as_of), c("fecha_d"))
+    # Written before the key is made of them, which reads each several times.
+    rows = cut(b2.withColumns({"_who": first("persona_manual", "persona"), "_where": first("barrio_manual", "barrion", "barrio"), "_day": day}))
+    return rows.withColumn("key", X.key_fbf(c("_who"), c("_where"), c("_day"))).drop("_who", "_where", "_day")
+
+
+def ages_into_base(base: DataFrame, b2: DataFrame) -> DataFrame:
+    """Backfill of the base's age bands from the last B2 row of a key; where B2 has no unidentified ones, what the bands leave of the registrations counts as such. base: _row, key, AGES, sin; b2: _row, key, inscriptos, AGES, sin."""
+    total = sum((c(a) for a in AGES[1:]), c(AGES[0]))
+    sin = F.when((c("sin") == 0) & (c("inscriptos") > 0) & (total > 0), residual(c("inscriptos"))).otherwise(c("sin")).cast("long")
+    return onto_last(base, last_values(b2.withColumn("sin", sin), [*AGES, "sin"]), [*AGES, "sin"])

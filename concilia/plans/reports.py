@@ -97,6 +97,46 @@ SQL["upsert_counters"] = (
 )
 
 
+# Backfills of the age bands, whole tables. Every eighth person and every tenth date of B2 has a manual value.
+_B2_OUT = [x for x in L._B2_COLUMNS if x != "key"]
+
+
+def _manual(b2):
+    return b2.withColumns({"persona_manual": F.when(c("_row") % 8 == 3, c("nombre")).otherwise(""), "fecha_manual": F.when(c("_row") % 10 == 4, "15/6/1998").when(c("_row") % 10 == 5, "pronto").otherwise("")})
+
+
+def backfill_b2(spark, d):
+    """B2 with the age bands of the source's last row of its name and registrations."""
+    run = L.Run(spark, d)
+    source = cut(run.rows.select("_row", X.key_b(c("name"), c("inscriptos")).alias("key"), "inscriptos", *S.AGES))
+    return S.ages_into_b2(source.where("key is not null and _row % 3 <> 0"), cut(L.b2_cells(run.dated("b2")))).select(*_B2_OUT)
+
+
+def backfill_base(spark, d):
+    """The base with the age bands of B2's last row of a key, by effective person, neighbourhood and date."""
+    run = L.Run(spark, d)
+    b2 = cut(S.effective_b2(_manual(run.named[1]).drop("key"), L.AS_OF))
+    return S.ages_into_base(run.before, b2).drop("key")
+
+
+QUERIES |= {"backfill_b2": backfill_b2, "backfill_base": backfill_base}
+_BANDS = [*S.AGES, "sin"]
+_TAKE = lambda cols, hit: ", ".join(f"CASE WHEN {hit} IS NULL THEN t.{x} ELSE f.{x} END AS {x}" if x in _BANDS else f"t.{x}" for x in cols)
+_TOTAL = "(" + " + ".join(S.AGES) + ")"
+SQL["backfill_b2"] = (
+    f"{L._ALL}{L.A2}{L.B2}, s AS (SELECT _row, {L._KEYB} AS key, {L._AGES}, {L._SIN} AS sin FROM (SELECT *, name AS nombre FROM src) WHERE _row % 3 <> 0), f AS (SELECT * FROM s WHERE key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY key ORDER BY _row DESC) = 1)"
+    f" SELECT {_TAKE(_B2_OUT, 'f.key')} FROM b2_0 t LEFT JOIN b2_l l ON t._row = l._row LEFT JOIN f ON l.key = f.key"
+)
+_BASE_OUT = ["_row", "figura", "barrio", "fecha_d", "hora", "direccion", "status", "asistentes", *L.CELLS, "comuna"]
+_FIRST = lambda *xs: "coalesce(" + ", ".join(f"nullif({D.clean(x)}, '')" for x in xs) + ")"
+SQL["backfill_base"] = (
+    f"{L._ALL}{L.A2}{L.B2}{L.BASE}, man AS (SELECT * EXCLUDE (fecha_d), fecha_d AS fecha_own, CASE WHEN _row % 8 = 3 THEN nombre ELSE '' END AS persona_manual, CASE WHEN _row % 10 = 4 THEN '15/6/1998' WHEN _row % 10 = 5 THEN 'pronto' ELSE '' END AS fecha_manual FROM b2_b),"
+    f" eff AS (SELECT _row, inscriptos, {L._AGES}, sin, {_FIRST('persona_manual', 'persona')} AS who, {_FIRST('barrio_manual', 'barrion', 'barrio')} AS place, coalesce({D.date('fecha_manual')}, fecha_own) AS fecha_d FROM man),"
+    f" ek AS (SELECT _row, {L._AGES}, CAST(CASE WHEN sin = 0 AND inscriptos > 0 AND {_TOTAL} > 0 THEN greatest(0, inscriptos - {_TOTAL}) ELSE sin END AS BIGINT) AS sin, {L._FBF('who', 'place')} AS key FROM eff), f AS (SELECT * FROM ek WHERE key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY key ORDER BY _row DESC) = 1)"
+    f" SELECT {_TAKE(_BASE_OUT, 'f.key')} FROM base_0 t LEFT JOIN base_l l ON t._row = l._row LEFT JOIN f ON l.key = f.key"
+)
+
+
 def first_existing_table(spark, d):
     """Rows by status of the first table that one catalog has among several names, beside the customers of another."""
     found = Catalogs(spark, agenda=d, base=d)
