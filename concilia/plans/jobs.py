@@ -10,7 +10,8 @@ from ..functions.dictionaries import CANON, STATUSES
 from ..operators import parse
 from ..operators import relational as R
 from ..operators import steps as S
-from ..sources.sheets import AS_OF, raw, sheet, sql_with
+from ..operators.stage import cut
+from ..sources.sheets import AS_OF, raw, sheet, sheet_of, sql_with
 from . import dialect as D
 from . import relations as Q
 
@@ -157,37 +158,49 @@ _BASE_SIDE = "".join(f", {x} AS b_{x}" for x in _CHECKED)
     + f" UNION ALL SELECT 'BaseFinal', CAST(b_row AS VARCHAR), bkey, 'BARRIO NO CANÓNICO', 'Barrio', b_barrio, '' FROM orphan WHERE b_barrio <> '' AND b_barrio NOT IN ({_CANON_SQL})"
     + f" UNION ALL SELECT 'BaseFinal', CAST(b_row AS VARCHAR), bkey, 'STATUS NO PERMITIDO', 'STATUS REUNIÓN', '', b_estado FROM orphan WHERE b_estado <> '' AND b_estado NOT IN ({_STATUS_SQL})", "a2", "b2", "base")
 def validate_findings(spark, d):
-    """Each sheet is derived and shuffled once by key; the findings of a row, of a base row and of an orphan are exploded from the joined row."""
-    cell = lambda x, numeric: (S.number_text(X.num_parse(c(x))) if numeric else X.str_clean(c(x))).alias(x)
-
-    def rows(name: str, fields) -> DataFrame:
-        keyed = Q.keyed(spark, d, name).where("key is not null")
-        return keyed.select("key", F.struct(F.lit(name.upper()).alias("side"), "_row", *[cell(x, n) if (x in fields) else F.lit(None).cast("string").alias(x) for _, x, n in _A2_FIELDS + _B2_FIELDS], X.map_status(c("status")).alias("mapped"), X.str_clean(c("status")).alias("estado")).alias("r"))
-
-    sources = rows("a2", [x for _, x, _ in _A2_FIELDS]).unionByName(rows("b2", ["barrio", *[x for _, x, _ in _B2_FIELDS]]))
-    base = rows("base", _CHECKED).groupBy("key").agg(F.min_by("r", "r._row").alias("hit"), F.sort_array(F.collect_list("r._row")).alias("filas"))
-    both = sources.join(base, "key", "full_outer")
-    there, found = c("hit").isNotNull() & c("r").isNotNull(), c("r").isNotNull()
-    a2, orphan = c("r.side") == "A2", c("r").isNull()
-    own, its, text = c("r._row").cast("string"), c("hit._row").cast("string"), lambda v: F.coalesce(v, F.lit(""))
-
-    def finding(cond, tipo, campo="", value=F.lit(""), base_value=F.lit(""), origen=None, fila=None):
-        said = F.struct((F.lit(origen) if origen else c("r.side")).alias("origen"), (own if fila is None else fila).alias("fila"), F.lit(tipo).alias("tipo"), F.lit(campo).alias("campo"), text(value).alias("valor_origen"), text(base_value).alias("valor_base"))
+    """The source is written once, and so is each sheet with its key. Source rows meet the first base row of their key in a left join, whose hot keys Spark
+    can split; base rows of no source are found by an anti join on keys, and rows are listed for keys that repeat only."""
+    fields = _A2_FIELDS + _B2_FIELDS
+    source = cut(raw(spark, d))
+    whole = {f.name for f in source.schema if f.dataType.simpleString() in ("int", "bigint")}  # need no parsing
+    cell = lambda x, numeric: c(x).cast("string") if x in whole else S.number_text(c(f"{x}_n")) if numeric else X.str_clean(c(x))
+
+    def rows(name: str, own) -> DataFrame:
+        dated = sheet_of(source, name).withColumns({"fecha_d": X.parse_date_lenient(c("fecha"), AS_OF), **{f"{x}_n": X.num_parse(c(x)) for f, x, n in own if n and x not in whole}})
+        texts = F.array(*[cell(x, n) if (f, x, n) in own else F.lit(None).cast("string") for f, x, n in fields])
+        keyed = S.with_key(dated).select("key", "_row", X.str_clean(c("barrio")).alias("barrio"), texts.alias("texts"), X.map_status(c("status")).alias("mapped"), X.str_clean(c("status")).alias("estado"))
+        return cut(keyed.where("key is not null"))
+
+    a2, b2, base = rows("a2", _A2_FIELDS), rows("b2", _B2_FIELDS), rows("base", fields)
+    ends = cut(base.groupBy("key").agg(F.min("_row").alias("_row"), F.count("*").alias("veces")))
+    hits = base.join(ends.select("key", "_row"), ["key", "_row"], "left_semi").select("key", F.struct("_row", "barrio", "texts", "estado").alias("hit"))
+    sides = a2.withColumn("side", F.lit("A2")).unionByName(b2.withColumn("side", F.lit("B2")))
+    both = sides.join(hits, "key", "left")
+    there, own, its = c("hit").isNotNull(), c("_row").cast("string"), c("hit._row").cast("string")
+
+    def finding(cond, tipo, campo="", value=F.lit(""), base_value=F.lit(""), origen=None, fila=own):
+        said = F.struct((F.lit(origen) if origen else c("side")).alias("origen"), fila.alias("fila"), F.lit(tipo).alias("tipo"), F.lit(campo).alias("campo"), value.alias("valor_origen"), base_value.alias("valor_base"))
         return F.when(cond, said)
 
-    differs = [finding(there & (c("r.side") == side) & (c(f"r.{x}") != c(f"hit.{x}")), "DIFERENCIA", campo, c(f"r.{x}"), c(f"hit.{x}")) for side, fields in (("A2", _A2_FIELDS), ("B2", _B2_FIELDS)) for campo, x, _ in fields]
+    def differs(campo, i):
+        x, y = F.get("texts", i), F.get("hit.texts", i)  # a field of the other sheet is null, and so differs from nothing
+        return F.when(there & (x != y), F.struct(c("side").alias("origen"), own.alias("fila"), F.lit("DIFERENCIA").alias("tipo"), campo.alias("campo"), x.alias("valor_origen"), y.alias("valor_base")))
+
     estado, barrio = c("hit.estado"), c("hit.barrio")
     forbidden = (estado != "") & ~estado.isin(STATUSES)
-    checks = [
-        finding(found & c("hit").isNull(), "FALTA EN BASE FINAL"), finding(there & ~c("r.barrio").isin(CANON), "BARRIO NO CANÓNICO", "Barrio", c("r.barrio")), *differs,
-        finding(there & a2 & (c("r.mapped") != estado), "DIFERENCIA", "STATUS REUNIÓN", c("r.mapped"), estado), finding(there & a2 & forbidden, "STATUS NO PERMITIDO", "STATUS REUNIÓN", base_value=estado, origen="BaseFinal", fila=its),
-        finding(orphan, "ORPHAN EN BASE FINAL", origen="BaseFinal", fila=its), finding(orphan & (barrio != "") & ~barrio.isin(CANON), "BARRIO NO CANÓNICO", "Barrio", barrio, origen="BaseFinal", fila=its),
-        finding(orphan & forbidden, "STATUS NO PERMITIDO", "STATUS REUNIÓN", base_value=estado, origen="BaseFinal", fila=its),
-    ]
-    told = both.select("key", F.explode(F.filter(F.array(*checks), lambda x: x.isNotNull())).alias("f")).select("f.origen", "f.fila", "key", "f.tipo", "f.campo", "f.valor_origen", "f.valor_base")
-    filas = F.array_join(F.transform("filas", lambda r: r.cast("string")), ",")
-    again = base.where(F.size("filas") > 1).select(F.lit("BaseFinal").alias("origen"), filas.alias("fila"), "key", F.lit("DUPLICADO EN BASE FINAL").alias("tipo"), *[F.lit("").alias(x) for x in ("campo", "valor_origen", "valor_base")])
-    return told.unionByName(again)
+    status = lambda cond: finding(cond & forbidden, "STATUS NO PERMITIDO", "STATUS REUNIÓN", base_value=estado, origen="BaseFinal", fila=its)
+    checks = F.array(
+        finding(~there, "FALTA EN BASE FINAL"), finding(there & ~c("barrio").isin(CANON), "BARRIO NO CANÓNICO", "Barrio", c("barrio")),
+        finding(there & (c("side") == "A2") & (c("mapped") != estado), "DIFERENCIA", "STATUS REUNIÓN", c("mapped"), estado), status(c("side") == "A2"),
+    )
+    compared = F.transform(F.array(*[F.lit(f) for f, _, _ in fields]), differs)
+    told = lambda df, found: df.select("key", F.explode(F.array_compact(found)).alias("f")).select("f.origen", "f.fila", "key", "f.tipo", "f.campo", "f.valor_origen", "f.valor_base")
+    orphans = hits.join(sides.select("key"), "key", "left_anti")
+    alone = F.array(finding(F.lit(True), "ORPHAN EN BASE FINAL", origen="BaseFinal", fila=its), finding((barrio != "") & ~barrio.isin(CANON), "BARRIO NO CANÓNICO", "Barrio", barrio, origen="BaseFinal", fila=its), status(F.lit(True)))
+    filas = F.array_join(F.transform(F.sort_array(F.collect_list("_row")), lambda r: r.cast("string")), ",").alias("fila")
+    again = base.select("key", "_row").join(ends.where("veces > 1").select("key"), "key", "left_semi").groupBy("key").agg(filas)
+    again = again.select(F.lit("BaseFinal").alias("origen"), "fila", "key", F.lit("DUPLICADO EN BASE FINAL").alias("tipo"), *[F.lit("").alias(x) for x in ("campo", "valor_origen", "valor_base")])
+    return told(both, F.concat(checks, compared)).unionByName(told(orphans, alone)).unionByName(again)
 
 
 @query("findings_union", f"{Q.KEYED('a2', 'b2')} SELECT 'A2' AS origen, _row FROM a2_k WHERE key IS NULL UNION ALL SELECT 'B2', _row FROM b2_k WHERE key IS NULL", "a2", "b2")
