@@ -217,4 +217,50 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op11_merkle_manifest": op11_merkle_manifest}
-SQL: dict[str, str] = {}
+
+
+# The same in DuckDB's SQL, level by level over whole tables; a tree of one node passes a level unchanged.
+
+
+def _levels(name: str, depth: int) -> str:
+    """From {name}0 (tree, idx, digest, n): the nodes of each level, and the siblings of each node."""
+    out = ""
+    for k in range(depth):
+        run = f"PARTITION BY tree, idx // {FANOUT} ORDER BY idx ROWS BETWEEN"
+        out += (
+            f", {name}{k + 1} AS MATERIALIZED (SELECT tree, idx // {FANOUT} AS idx, CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY idx)) END AS digest, CASE WHEN any_value(n) = 1 THEN 1 ELSE (any_value(n) + {FANOUT - 1}) // {FANOUT} END AS n FROM {name}{k} GROUP BY tree, idx // {FANOUT})"
+            f", {name}_s{k} AS MATERIALIZED (SELECT tree, idx, n, coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})"
+        )
+    return out
+
+
+def _folds(start: str, name: str, depth: int, tree: str, idx: str) -> tuple[str, str]:
+    """(SQL, last name): h and proof of the rows of ``start`` after each level of {name}."""
+    out, at = "", start
+    for k in range(depth):
+        new = f"{name}_f{k}"
+        out += f", {new} AS (SELECT f.* EXCLUDE (h, proof), CASE WHEN s.n = 1 THEN h ELSE sha256(s.l || h || s.r) END AS h, proof || s.l || s.r AS proof FROM {at} f JOIN {name}_s{k} s ON f.{tree} = s.tree AND f.{idx} // {FANOUT**k} = s.idx)"
+        at = new
+    return out, at
+
+
+def oracle(depth: int = 8, of_sources: int = 6) -> str:
+    """SQL for trees of up to 16^depth documents and 16^of_sources sources."""
+    put = lambda x: f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(CAST({x} AS VARCHAR)) || ':' || {x} END"
+    leaf = lambda text: "sha256(" + " || ".join([*map(put, FIELDS[:-1]), put(text)]) + ")"
+    # CRC-32 bit by bit: a byte is taken in, then eight shifts.
+    bits = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295)"
+    folds, last = _folds("h0", "t", depth, "tree", "idx")
+    more, end = _folds("h1", "r", of_sources, "one", "at")
+    return (
+        f"WITH d AS (SELECT doc_id, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS tree, {leaf('text')} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS tampered FROM documents)"
+        f", h0 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n, coalesce(tampered, leaf) AS h, '' AS proof FROM d)"
+        f", t0 AS MATERIALIZED (SELECT tree, idx, leaf AS digest, n FROM h0){_levels('t', depth)}{folds}"
+        f", r0 AS MATERIALIZED (SELECT '' AS tree, tree AS source, row_number() OVER (ORDER BY tree) - 1 AS idx, digest, count(*) OVER () AS n FROM t{depth}){_levels('r', of_sources)}"
+        f", h1 AS (SELECT f.*, '' AS one, r0.idx AS at, r0.digest AS subroot FROM {last} f JOIN r0 ON f.tree = r0.source){more}"
+        f" SELECT doc_id, leaf, subroot, root.digest AS root, sha256(proof) AS proof_sha256, h AS folded_root, h = root.digest AS verified FROM {end} JOIN r{of_sources} root ON root.tree = one"
+    )
+
+
+SQL = {"op11_merkle_manifest": oracle()}

@@ -7,6 +7,7 @@ from hashlib import sha256
 
 import pytest
 
+from compare import compare
 from concilia.llm import merkle
 
 SCHEMA = "doc_id long, source string, lang string, n_chars long, text string, tree string, idx long"
@@ -97,3 +98,7 @@ def test_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r[x] for x in merkle.FIELDS) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert Counter(map(tuple, merkle.op11_merkle_manifest(spark, sf).collect())) == Counter(brute(rows))
+
+
+def test_equals_sql(spark):
+    compare(spark, merkle.op11_merkle_manifest, merkle.SQL["op11_merkle_manifest"], "/root/testdata/sf0.01")
