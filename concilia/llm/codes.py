@@ -191,4 +191,29 @@ def op13_codes_delta_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op13_codes_delta_lloyd": op13_codes_delta_lloyd}
-SQL: dict[str, str] = {}
+
+
+def oracle(rounds: int = ROUNDS) -> str:
+    """The rounds in DuckDB's SQL, each a full recount, for vectors of one length that is a multiple of four and whose squares are exact in doubles."""
+    d = f"(SELECT max(len(v)) // {PARTS} FROM k)"
+    sql = (
+        "WITH k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings"
+        " WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"
+        f", parts AS MATERIALIZED (SELECT r, p, v[p * {d} + 1 : (p + 1) * {d}] AS v FROM k, range({PARTS}) t(p))"
+        f", book0 AS MATERIALIZED (SELECT p, r - 1 AS e, v AS c FROM parts WHERE r <= {ENTRIES})"
+    )
+    for n in range(rounds + 1):
+        far = "list_dot_product(c::DOUBLE[], c::DOUBLE[]) - 2 * list_dot_product(v::DOUBLE[], c::DOUBLE[]) + list_dot_product(v::DOUBLE[], v::DOUBLE[])"
+        sql += f", near{n} AS MATERIALIZED (SELECT r, p, min({{'s': {far}, 'e': e}}) AS b FROM parts JOIN book{n} USING (p) GROUP BY r, p)"
+        if n < rounds:
+            cells = "SELECT p, b.e AS e, unnest(v) AS x, unnest(range(len(v))) AS i"
+            total = f"SELECT p, e, i, sum(x)::BIGINT AS s, count(*) AS n FROM ({cells} FROM near{n} JOIN parts USING (r, p)) GROUP BY p, e, i"
+            sql += f", book{n + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.c, o.c) AS c FROM book{n} o LEFT JOIN (SELECT p, e, list((s - ((s % n + n) % n)) // n ORDER BY i) AS c FROM ({total}) GROUP BY p, e) m USING (p, e))"
+    return (
+        f"{sql}, coded AS (SELECT r, string_agg(format('{{:02x}}', b.e), '' ORDER BY p) AS code, CAST(sum(b.s) AS BIGINT) AS error FROM near{rounds} GROUP BY r)"
+        " SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,"
+        f" (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) FROM (SELECT p, e, unnest(c) AS x, unnest(range(len(c))) AS i FROM book{rounds})) AS codebooks_sha256 FROM k JOIN coded USING (r)"
+    )
+
+
+SQL = {"op13_codes_delta_lloyd": oracle()}

@@ -9,6 +9,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
+from compare import compare
 from concilia.llm import codes
 
 SCHEMA = "vec_id long, embedding array<double>, label int, v int, code string, old string"
@@ -96,3 +97,7 @@ def test_whole_table(spark):
     rows = [(r.vec_id, list(r.embedding), r.label) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     got = Counter((r.vec_id, r.code, r.error, r.label_error, r.codebooks_sha256) for r in codes.op13_codes_delta_lloyd(spark, sf).collect())
     assert got == Counter(brute(rows))
+
+
+def test_equals_sql(spark):
+    compare(spark, codes.op13_codes_delta_lloyd, codes.SQL["op13_codes_delta_lloyd"], "/root/testdata/sf0.01")
