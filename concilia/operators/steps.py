@@ -233,3 +233,16 @@ def ages_into_base(base: DataFrame, b2: DataFrame) -> DataFrame:
     total = sum((c(a) for a in AGES[1:]), c(AGES[0]))
     sin = F.when((c("sin") == 0) & (c("inscriptos") > 0) & (total > 0), residual(c("inscriptos"))).otherwise(c("sin")).cast("long")
     return onto_last(base, last_values(b2.withColumn("sin", sin), [*AGES, "sin"]), [*AGES, "sin"])
+
+
+def filled_base(base: DataFrame, a2: DataFrame, b2: DataFrame) -> DataFrame:
+    """The base with blank or zero cells filled, and nothing else changed: attendance from A2, CHANNELS from B2, each from the first row of the key that has a useful value.
+
+    Filled cells are those of the last base row of a key. base: _row, key, asistentes (text), CHANNELS; a2 and b2 have base_key.
+    """
+    useful = lambda x: F.min_by(x, F.when(c(x) > 0, c("_row"))).alias(f"_{x}")
+    by_key = lambda df, *names: df.where("base_key is not null").groupBy(c("base_key").alias("key")).agg(*map(useful, names))
+    found = last_rows(base).join(by_key(a2, "asistentes"), "key", "left").join(by_key(b2, *CHANNELS), "key", "left").drop("key")
+    fill = {"asistentes": F.when(c("_asistentes").isNotNull() & X.empty_or_zero(c("asistentes")), number_text(c("_asistentes"))).otherwise(c("asistentes"))}
+    fill |= {x: F.when(c(f"_{x}").isNotNull() & (F.coalesce(x, F.lit(0)) == 0), c(f"_{x}")).otherwise(c(x)) for x in CHANNELS}
+    return base.join(found, "_row", "left").select(*[fill.get(x, c(x)).alias(x) for x in base.columns])

@@ -137,6 +137,28 @@ SQL["backfill_base"] = (
 )
 
 
+# The variant of the upsert that only fills. Some of the base's channels are cleared first, so that there is something to fill.
+_CLEARED = {"inscriptos": 9, "mail": 4, "callc": 6, "rrss": 7, "masculinos": 8}
+
+
+def fill_only_base(spark, d):
+    """The base after the fill-only upsert: blank or zero cells take the first useful value of A2 and B2."""
+    run = L.Run(spark, d)
+    base = run.before.withColumns({x: F.when(c("_row") % n == 0, F.lit(0).cast(run.before.schema[x].dataType)).otherwise(c(x)) for x, n in _CLEARED.items()})
+    return S.filled_base(base, *run.named).drop("key")
+
+
+QUERIES["fill_only_base"] = fill_only_base
+_USEFUL = lambda *names: ", ".join(f"arg_min({x}, _row) FILTER ({x} > 0) AS f_{x}" for x in names)
+_CLEAR = ", ".join(f"CASE WHEN _row % {n} = 0 THEN 0 ELSE {x} END AS {x}" for x, n in _CLEARED.items())
+_EMPTY = f"({D.clean('asistentes')} = '' OR (regexp_matches({D.comma('asistentes')}, '{D.NUMBER}') AND {D.num('asistentes')} = 0))"
+SQL["fill_only_base"] = (
+    f"{L._ALL}{L.A2}{L.B2}{L.BASE}, fa AS (SELECT {L._FBF('figura', 'barrion')} AS key, {_USEFUL('asistentes')} FROM a2_b GROUP BY 1), fb AS (SELECT base_key AS key, {_USEFUL(*S.CHANNELS)} FROM b2_k GROUP BY 1), bc AS (SELECT * REPLACE ({_CLEAR}) FROM base_0)"
+    f" SELECT {', '.join(f't.{x}' for x in _BASE_OUT if x not in ('asistentes', *S.CHANNELS))}, CASE WHEN f_asistentes IS NOT NULL AND {_EMPTY} THEN {D.number_text('f_asistentes')} ELSE asistentes END AS asistentes,"
+    f" {', '.join(f'CASE WHEN f_{x} IS NOT NULL AND coalesce({x}, 0) = 0 THEN f_{x} ELSE {x} END AS {x}' for x in S.CHANNELS)} FROM bc t LEFT JOIN base_l l ON t._row = l._row LEFT JOIN fa ON l.key = fa.key LEFT JOIN fb ON l.key = fb.key"
+)
+
+
 def first_existing_table(spark, d):
     """Rows by status of the first table that one catalog has among several names, beside the customers of another."""
     found = Catalogs(spark, agenda=d, base=d)
