@@ -209,38 +209,40 @@ def findings_union(spark, d):
     return part("a2").unionByName(part("b2"))
 
 
-# Two-way sync: which cell is filled from which side. A formula in a cell protects it; here every 7th row of the user's table has one in asistentes.
+# Two-way sync: which cell is filled from which side. A formula in a cell of the user's table protects it.
 _RULE = "CASE WHEN u = p THEN NULL WHEN u = '' AND col = 'status' THEN 'NO se rellena usuario (bloqueada)' WHEN u = '' AND formula THEN 'NO se rellena usuario (tiene fórmula)' WHEN u = '' THEN 'Relleno usuario desde Para Revisar' WHEN p = '' AND {num} THEN 'NO se rellena Para Revisar (numérico)' WHEN p = '' THEN 'Relleno Para Revisar desde usuario' ELSE 'Diferencia' END"
-_SYNC = f"{Q.KEYED('rvd', 'base')}{LAST('rvd')}{LAST('base')}, cells AS (" + " UNION ALL ".join(f"SELECT u.key, '{x}' AS col, trim(u.{x}) AS u, trim(p.{x}) AS p, u._row % 7 = 0 AND '{x}' = 'asistentes' AS formula FROM rvd_l u JOIN base_l p USING (key)" for x in Q.CELLS) + "), acted AS (SELECT *, " + _RULE.format(num=f"regexp_matches({D.comma('u')}, '{D.NUMBER}')") + " AS tipo FROM cells)"
+_SYNC = f"{Q.KEYED('rvd', 'base')}{LAST('rvd')}{LAST('base')}, cells AS (" + " UNION ALL ".join(f"SELECT u.key, '{x}' AS col, trim(u.{x}) AS u, trim(p.{x}) AS p, (u._row, '{x}') IN (SELECT (_row, col) FROM rvd_formulas) AS formula FROM rvd_l u JOIN base_l p USING (key)" for x in Q.CELLS) + "), acted AS (SELECT *, " + _RULE.format(num=f"regexp_matches({D.comma('u')}, '{D.NUMBER}')") + " AS tipo FROM cells)"
 _ONLY = " UNION ALL SELECT key, '' AS col, 'Solo en usuario → agregado a Para Revisar' FROM rvd_l WHERE key NOT IN (SELECT key FROM base_l) UNION ALL SELECT key, '', 'Solo en Para Revisar' FROM base_l WHERE key NOT IN (SELECT key FROM rvd_l)"
 
 
 def synced(spark, d) -> DataFrame:
     """key, col, u, p, tipo of each cell of the keys on both sides, and one row without cell for each other key; from one full outer join."""
-    side = lambda n, x: R.keep(Q.keyed(spark, d, n).select("key", "_row", *Q.CELLS), "key").select("key", F.struct("_row", *Q.CELLS).alias(x))
+    last_of = lambda n: R.keep(Q.keyed(spark, d, n).select("key", "_row", *Q.CELLS), "key")
+    user = S.with_formulas(last_of("rvd"), sheet(spark, d, "rvd_formulas")).select("key", F.struct(*Q.CELLS, "formulas").alias("u"))
+    base = last_of("base").select("key", F.struct(*Q.CELLS).alias("p"))
     text = lambda x: F.trim(F.coalesce(c(x), F.lit("")))
     cell = lambda x, u, p, formula: F.struct(F.lit(x).alias("col"), u.alias("u"), p.alias("p"), formula.alias("formula"))
-    cells = F.array(*[cell(x, text(f"u.{x}"), text(f"p.{x}"), c("u._row") % 7 == 0 if x == "asistentes" else F.lit(False)) for x in Q.CELLS])
+    cells = F.array(*[cell(x, text(f"u.{x}"), text(f"p.{x}"), F.coalesce(F.array_contains("u.formulas", x), F.lit(False))) for x in Q.CELLS])
     none = F.array(cell("", F.lit(""), F.lit(""), F.lit(False)))
-    both = side("rvd", "u").join(side("base", "p"), "key", "full_outer")
+    both = user.join(base, "key", "full_outer")
     rows = both.select("key", c("u").isNull().alias("no_u"), c("p").isNull().alias("no_p"), F.explode(F.when(c("u").isNull() | c("p").isNull(), none).otherwise(cells)).alias("x"))
     rule = F.expr(_RULE.format(num="numeric"))
     tipo = F.when(c("no_p"), "Solo en usuario → agregado a Para Revisar").when(c("no_u"), "Solo en Para Revisar").otherwise(rule)
     return rows.select("key", "x.*", "no_u", "no_p").withColumn("numeric", X.numeric_like(c("u"))).select("key", "col", "u", "p", tipo.alias("tipo"))
 
 
-@query("two_way_sync_log", f"{_SYNC} SELECT key, col, tipo FROM acted WHERE tipo IS NOT NULL{_ONLY}", "rvd", "base")
+@query("two_way_sync_log", f"{_SYNC} SELECT key, col, tipo FROM acted WHERE tipo IS NOT NULL{_ONLY}", "rvd", "base", "rvd_formulas")
 def two_way_sync_log(spark, d):
     return synced(spark, d).where("tipo is not null").select("key", "col", "tipo")
 
 
-@query("two_way_sync_result", f"{_SYNC} SELECT key, col, CASE WHEN tipo = 'Relleno usuario desde Para Revisar' THEN p ELSE u END AS usuario, CASE WHEN tipo = 'Relleno Para Revisar desde usuario' THEN u ELSE p END AS para_revisar FROM acted", "rvd", "base")
+@query("two_way_sync_result", f"{_SYNC} SELECT key, col, CASE WHEN tipo = 'Relleno usuario desde Para Revisar' THEN p ELSE u END AS usuario, CASE WHEN tipo = 'Relleno Para Revisar desde usuario' THEN u ELSE p END AS para_revisar FROM acted", "rvd", "base", "rvd_formulas")
 def two_way_sync_result(spark, d):
     acted = synced(spark, d).where("col != ''")
     return acted.select("key", "col", F.when(c("tipo") == "Relleno usuario desde Para Revisar", c("p")).otherwise(c("u")).alias("usuario"), F.when(c("tipo") == "Relleno Para Revisar desde usuario", c("u")).otherwise(c("p")).alias("para_revisar"))
 
 
-@query("sync_counters", f"{_SYNC}, l AS (SELECT key, col, tipo FROM acted WHERE tipo IS NOT NULL{_ONLY}) SELECT tipo, count(*) AS n FROM l GROUP BY tipo", "rvd", "base")
+@query("sync_counters", f"{_SYNC}, l AS (SELECT key, col, tipo FROM acted WHERE tipo IS NOT NULL{_ONLY}) SELECT tipo, count(*) AS n FROM l GROUP BY tipo", "rvd", "base", "rvd_formulas")
 def sync_counters(spark, d):
     return two_way_sync_log(spark, d).groupBy("tipo").agg(F.count("*").alias("n"))
 
