@@ -1,8 +1,10 @@
 """Document fingerprints by invertible Bloom lookup sketches, in DataFrame functions only.
 
-A text is cut into paragraphs by its content alone, by one rule for texts of every length: after line
-ends, and at blanks with certain letters on both sides (about every 130 characters). So a change moves
-no cut but those beside it. Only where no such place is met for 256 words a paragraph ends after these.
+A text is cut into paragraphs by its content alone, by one rule for all scripts and lengths: after line
+ends, and after two odd and five even UTF-8 bytes (about every 128 bytes). So a change moves no cut but
+those beside it. Where no such place is met for LONGEST bytes, as in periodic text or in a script of one
+lead byte without blanks, a paragraph ends after these, and the next place found brings the cuts
+together again.
 
 The digest of each distinct paragraph goes to three cells of a block of a sketch; a cell holds a
 count, the xor of its digests and the xor of their checksums. A fingerprint is the sketch of a text,
@@ -15,11 +17,13 @@ of its other cells, and so on. Pairs with a block that can't be peeled are done
 sketches, each time with four times as many blocks. After RETRIES (or where digests collide) the sets
 themselves are compared. Likeness is the share of common digests among those of both.
 
-One shuffle puts documents next to their successors, and one deals the digests (no texts) by row;
-all sketches and retries then stay within those partitions.
+Documents meet their successors by name: ids and hashes alone are sorted in ranges, which gives each
+name the one before it, and a text is sent there. Digests (no texts) are then dealt by row; all sketches
+and retries stay within those partitions.
 
-Defined cases: a null text is empty, has no paragraphs, an empty fingerprint, and is wholly like
-another empty one; repeated rows are fingerprinted separately, and rows of the same doc_id are
+Defined cases: a paragraph that comes again in a text counts once; a null text is empty, has no paragraphs, an empty fingerprint, and is wholly like
+another empty one; repeated rows stay separate rows, with the same
+results (rows equal in doc_id and text are one document in the order); rows of the same doc_id are
 ordered by their text's hash; rows without doc_id come first; a single document is its own successor;
 an empty table gives no rows; other columns are ignored.
 """
@@ -29,19 +33,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, documents, text_key
+from .common import cut, documents, name_of, text_key
 
 SIDE, CELLS = 8, 24  # three parts of SIDE cells
 LOAD, RETRIES, ROUNDS = 8, 5, 16
-#: Words and the blanks within a paragraph; it ends at a blank between "a" or "e" and one of a few letters.
-PARAGRAPH = r"[^ \n]*+(?: (?!(?<=[ae] )[bhlBHL])[^ \n]*+){0,255}+[ \n]*+"
-#: Rows of a range of successors at most, about, and ranges at most.
-RANGE_ROWS, MOST_RANGES = 50_000, 1_000
+#: Bytes of a paragraph at most; a prime, so that the paragraphs of a periodic text differ.
+LONGEST = 251
+EVEN, ODD = (f"[{''.join(rf'\x{b:02x}' for b in range(bit, 256, 2))}]" for bit in (0, 1))
+#: A paragraph of a text whose UTF-8 bytes are written as characters 0 to 255.
+PARAGRAPH = rf"[\s\S]{{1,{LONGEST}}}?(?:(?<=\n)|(?<={ODD}{{2}}{EVEN}{{5}})|(?![\s\S]))|[\s\S]{{{LONGEST}}}"
+#: Names of documents in a range, about; a range holds no texts.
+RANGE_NAMES = 1_000_000
 
 
 def digests(text: Column) -> Column:
     """Distinct digests of a text's paragraphs."""
-    parts = F.filter(F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0)), lambda p: p != "")
+    parts = F.regexp_extract_all(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), F.lit(PARAGRAPH), F.lit(0))
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
@@ -139,40 +146,33 @@ def fingerprints(sets: DataFrame) -> DataFrame:
     return listed.select("rid", "which", F.concat_ws("|", F.col("blocks").cast("string"), F.array_join(F.transform("all", lambda x: x["t"]), ",")).alias("fingerprint"))
 
 
-def with_next(df: DataFrame) -> DataFrame:
-    """Add next_text, the text of the next document in order of (doc_id, text's hash); after the last, the first.
+def before(names: DataFrame) -> DataFrame:
+    """name, prev: the name before it in order of (doc_id, key), nulls first; before the first, the last. names: distinct (doc_id, key, name)."""
+    spark = names.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), names.count() // RANGE_NAMES)
+    placed = cut(names.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "key").withColumn("range", F.spark_partition_id()))
+    # One name per range goes to the driver: the last of each is before the first of the next range.
+    order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "key")
+    lasts = sorted((r["range"], r["last"]) for r in placed.groupBy("range").agg(F.max_by("name", order).alias("last")).collect())
+    table = spark.createDataFrame([(k, lasts[i - 1][1]) for i, (k, _) in enumerate(lasts)], "range int, last binary")
+    within = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "key")
+    return placed.withColumn("prev", F.lag("name").over(within)).join(F.broadcast(table), "range").select("name", F.coalesce("prev", "last").alias("prev"))
 
-    Documents are dealt to ranges of doc_id by approximate quantiles, those without doc_id to 256
-    ranges of the hash. The first document of each range (at most MOST_RANGES + 256) also joins the range before, so that each range
-    can be ordered by itself.
-    """
-    spark = df.sparkSession
-    n = min(MOST_RANGES, max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), df.count() // RANGE_ROWS))
-    keyed_ = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", text_key(F.col("text")))
-    cuts = sorted(set(keyed_.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n))))
-    place = F.size(F.filter(F.array(*[F.lit(min(int(c), 2**63 - 1)).cast("long") for c in cuts]), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
-    nameless = F.conv(F.substring("key", 1, 2), 16, 10).cast("int") - 256
-    placed = keyed_.withColumn("range", F.when(F.col("doc_id").isNotNull(), place).otherwise(nameless))
-    firsts = sorted((r["range"], r["first"]) for r in placed.groupBy("range").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("d"), "key")).alias("first")).collect())
-    if not firsts:
-        return df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit("").alias("next_text"))
-    before = [(d, key, firsts[k - 1][0]) for k, (_, (d, key)) in enumerate(firsts)]
-    table = spark.createDataFrame(before, "_d long, _key string, _before int")
-    extra = placed.join(F.broadcast(table), (F.coalesce("doc_id", F.lit(-(2**63))) == F.col("_d")) & (F.col("key") == F.col("_key"))).dropDuplicates(["_d", "_key"])
-    # 1 keeps an added row behind its range; its own copy in its range is 0.
-    rows = placed.select("doc_id", "text", "key", "range", F.lit(0).alias("added")).unionByName(extra.select("doc_id", "text", "key", F.col("_before").alias("range"), F.lit(1).alias("added")))
-    order = Window.partitionBy("range").orderBy("added", F.col("doc_id").asc_nulls_first(), "key")
-    return rows.withColumn("next_text", F.lead("text").over(order)).where("added = 0").select("doc_id", "text", "next_text")
+
+def with_next(df: DataFrame) -> DataFrame:
+    """doc_id, text, a (digests), next_text and n (its digests): the next document in order of (doc_id, text's hash); after the last, the first."""
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("key", text_key(F.col("text"))).withColumn("name", name_of())
+    links = cut(before(rows.select("doc_id", "key", "name").distinct()))
+    known = rows.withColumn("a", digests(F.col("text"))).select("doc_id", "text", "a", "name").join(links, "name")
+    sent = known.dropDuplicates(["name"]).select(F.col("prev").alias("name"), F.col("text").alias("next_text"), F.col("a").alias("n"))
+    return known.join(sent, "name").select("doc_id", "text", "a", "next_text", "n")
 
 
 def compare(df: DataFrame) -> DataFrame:
     """The contract's columns for rows of (doc_id, text)."""
     rows = with_next(df).withColumn("n_chars", F.length("text"))
     rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - cast(floor(n_chars / 4) as int))"), F.expr("substring(next_text, 1, cast(floor(n_chars / 4) as int))")))
-    sets = rows.select(
-        F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("n"),
-    )
+    sets = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "a", digests(F.col("edited")).alias("e"), "n")
     main = cut(sets)  # written once, so rid stays as it is
     dealt = main.repartition("rid")
     pair = lambda k, x, y: F.struct(F.lit(k).alias("pair"), F.col(x).alias("x"), F.col(y).alias("y"))

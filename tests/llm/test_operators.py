@@ -132,7 +132,7 @@ def test_fingerprints(spark, edges, docs):
     got = {r.doc_id: r for r in fingerprints.op5_fingerprint_iblt(spark, SF).collect()}
 
     def units(text):
-        return {p for p in re.findall(fingerprints.PARAGRAPH, text) if p}
+        return set(re.findall(fingerprints.PARAGRAPH, text.encode().decode("latin-1")))
 
     for k, i in enumerate(ids):
         text, following = docs[i], docs[ids[(k + 1) % len(ids)]]
@@ -153,6 +153,27 @@ def test_one_rule_for_every_length(spark):
     assert got[0].near_next > 0.5 and got[2].near_next > 0.9 and got[4].near_next == 1 and got[4].fingerprint == ""
 
 
+def test_fingerprints_in_any_script(spark):
+    rng = random.Random(8)
+    signs = ["".join(map(chr, range(*span))) for span in ((0x430, 0x450), (0x4E00, 0x5200), (0x5D0, 0x5EB), (0x3041, 0x3097), (0x41, 0x5B), (0x1F300, 0x1F500))]
+    texts = ["".join(rng.choices(s, k=3000)) for s in signs]  # no blanks at all
+    texts += [" ".join("".join(rng.choices(s, k=rng.randint(2, 8))) for _ in range(170))[:1000] for s in signs]
+    texts += ["the same line of words. " * 45, "line\n" * 200, "ABAB CDCD " * 150]
+    got = fingerprints.compare(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.near_edited > 0.3 for r in got] == [True] * len(texts), [r.near_edited for r in got]
+    assert max(r.near_next for r in got) < 0.2
+
+
+def test_next_document_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_NAMES", 10)
+    rows = [(i * 7 % 301, f"text {i}") for i in range(301)] + [(None, "a"), (None, "a"), (None, "b"), (5, "another")]
+    names = fingerprints.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    key = lambda d, t: (d is not None, d or 0, hashlib.sha256(t.encode()).hexdigest())
+    order = sorted(set(rows), key=lambda r: key(*r))
+    following = {r: order[(k + 1) % len(order)][1] for k, r in enumerate(order)}
+    assert sorted((r.doc_id or -1, r.text, r.next_text) for r in names) == sorted((d or -1, t, following[d, t]) for d, t in rows)
+
+
 def test_fingerprints_fold_and_subtract(spark):
     """The published sketches alone tell what differs: fold the larger one, subtract, peel."""
     rng = random.Random(3)
@@ -171,7 +192,7 @@ def test_fingerprints_fold_and_subtract(spark):
         return out
 
     d = F.explode(fingerprints.digests(F.col("text")))
-    units = lambda t: {p for p in re.findall(fingerprints.PARAGRAPH, t) if p}
+    units = lambda t: set(re.findall(fingerprints.PARAGRAPH, t.encode().decode("latin-1")))
     cut = len(text) // 4
     edited = text[: len(text) - cut] + text[:9000][:cut]
     table = spark.createDataFrame([(text,), (edited,)], "text string").select(d.alias("d")).select("d", fingerprints.checksum(F.col("d")).alias("h"), fingerprints.places(F.col("d")).alias("p"))
