@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -61,13 +62,17 @@ def ranked(df: DataFrame, keys: list[str], order: list[str], out: str, rows_each
     salts = max(4, -(-df.count() // rows_each))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
     by = [*keys, "_salt"]
-    before = Window.partitionBy(*keys).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = salted.groupBy(*by).agg(F.count("*").alias("_n")).withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    # Offsets in two steps, of about the square root of the number of buckets, so that no window sees all buckets.
+    sizes = salted.groupBy(*by).agg(F.count("*").alias("_n")).withColumn("_block", (F.col("_salt") / math.isqrt(salts)).cast("int"))
+    before = lambda key, order: Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inner = sizes.withColumn("_in", F.coalesce(F.sum("_n").over(before([*keys, "_block"], "_salt")), F.lit(0))).drop("_n")
+    outer = sizes.groupBy(*keys, "_block").agg(F.sum("_n").alias("_n")).withColumn("_out", F.coalesce(F.sum("_n").over(before(keys, "_block")), F.lit(0))).drop("_n")
+    base = inner.join(outer, [*keys, "_block"]).select(*by, (F.col("_in") + F.col("_out")).alias("_base"))
     own = salted.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
-    return own.join(sizes, by).withColumn(out, F.col("_base") + F.col("_rn")).drop("_salt", "_base", "_rn")
+    return own.join(base, by).withColumn(out, F.col("_base") + F.col("_rn")).drop("_salt", "_base", "_rn")
 
 
-def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): returns (node, component), component the smallest id.
 
     Each round a node takes the smallest label among itself and its neighbours, and then the label
@@ -77,7 +82,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     both = edges.where("a is not null and b is not null and a != b").select("a", "b")
     both = cut(both.union(both.select("b", "a")).distinct())
     labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("component")))
-    for _ in range(max_rounds):
+    while True:  # labels only fall, so this ends
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("_near"))
         step = labels.join(near, labels["node"] == near["a"]).select("node", F.col("component").alias("_old"), F.least("component", "_near").alias("_mid"))
         jump = labels.select(F.col("node").alias("_mid"), F.col("component").alias("_far"))
@@ -85,4 +90,3 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         labels = new.select("node", "component")
         if new.where("_old != component").isEmpty():
             return labels
-    raise RuntimeError("components did not settle; raise max_rounds")

@@ -1,17 +1,20 @@
 """Sharding by balanced label propagation, in DataFrame operations only.
 
 Documents of a group (equal texts, or any group column) are linked. They start in even shards; in
-each round the members of a group move to the shard that most of their neighbours are in. Quotas
-keep every shard's row count as it is: a move from shard i to j is paired with a move from j to i,
-by another document that wants it or by one without links. Only counts per pair of shards (at most
-shards squared) go to the driver.
+each round the members of a group that isn't settled vote for the shard that most of their neighbours
+are in, among those with room for the group, and move there together if its quota allows. Quotas are
+the rows that a shard may hold and doesn't hold yet for settled groups, so row counts stay at most one apart.
 
-A shard counts for as much as it could hold of a group: its members there and the rows that it could
-give up. So a group goes where it can be whole. Groups of more than a quarter of a shard (at most four to a
-shard) are housed before all others; only groups larger than a whole shard are dealt into parts. What stays apart is reported for every row: its links, and how many of them are cut.
+The largest groups go first: where a group of one size class (half an octave) is refused, smaller ones
+wait for the next round. Rounds go on until no shard has room for any group left; each settles a group
+at least. At that end every group left is larger than the room of every shard, so there are fewer such
+groups than shards. They and the rows without links fill the seats that are left, in one sequence
+in which a group's rows are together, so fewer groups than shards are cut. A group larger than a shard is
+first dealt into parts of a whole shard and a rest. One rule holds for groups of every size; every row
+reports its links and how many of them are cut.
 
-Groups of more than a ten-thousandth of all rows, of which there are at most ten thousand, are the only ones
-broadcast; the others are small enough for any task.
+The driver gets counts per shard and size class, and the groups left. Groups of more than a ten-thousandth
+of all rows, of which there are at most ten thousand, are the only ones broadcast besides.
 
 Defined cases: a null text is empty and has size 8; repeated rows are rows of their own; an empty
 table gives no rows; other columns are ignored.
@@ -19,104 +22,104 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from itertools import accumulate
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, documents, ranked, text_key
 
-SHARDS, ROUNDS = 24, 8
-
-
-def quotas(wanted: dict[tuple[int, int], int], free: dict[int, int]) -> tuple[dict, dict]:
-    """How many movers (i, j) may go, and how many unlinked rows go (j, i) in return, all counts staying even."""
-    allowed, fill = {}, {}
-    left = dict(free)
-    for (i, j), n in sorted(wanted.items()):
-        swap = min(n, wanted.get((j, i), 0))
-        back = min(n - swap, left.get(j, 0))
-        left[j] = left.get(j, 0) - back
-        allowed[i, j] = swap + back
-        if back:
-            fill[j, i] = back
-    return allowed, fill
-
-
-def homes(large: list[tuple[str, int]], seats: list[int]) -> tuple[dict[str, int], list[int]]:
-    """A shard for each large group that can be whole, the largest first, each where most seats are left; and the seats left."""
-    left, home = list(seats), {}
-    for grp, n in sorted(large, key=lambda g: (-g[1], g[0])):
-        j = max(range(len(left)), key=left.__getitem__)
-        if left[j] >= n:
-            home[grp] = j
-            left[j] -= n
-    return home, left
-
-
-def started(rows: DataFrame, shards: int) -> DataFrame:
-    """rows (rid, grp) with linked, part of the group, and the first shard; shards are even."""
-    total = rows.count()
-    part = max(1, total // shards)
-    sizes = cut(rows.groupBy("grp").agg(F.count("*").alias("members")).where("members > 1"))
-    hot = F.col("members") > max(1_000, total // 10_000)  # at most ten thousand groups
-    often = rows.join(F.broadcast(sizes.where(hot).select("grp", F.col("members").alias("hot"))), "grp", "left")
-    members = cut(often.join(sizes.where(~hot), "grp", "left").select("rid", "grp", F.coalesce("hot", "members", F.lit(1)).alias("members")))
-    # Parts of a group larger than a shard: dealt by hash, about half a shard each, so that none overfills one.
-    split = F.when(F.col("members") > part, F.pmod(F.xxhash64("rid"), F.ceil(F.col("members") / (part / 2)))).otherwise(0)
-    placed = members.select("rid", "grp", split.alias("part"), (F.col("members") > 1).alias("linked"))
-    # Groups of more than a quarter of a shard, at most four to a shard, get a home first.
-    large = [(r["grp"], r["members"]) for r in sizes.where((F.col("members") * 4 > part) & (F.col("members") <= part)).collect()]
-    home, left = homes(large, [total // shards + (j < total % shards) for j in range(shards)])
-    if not home:
-        return cut(placed.withColumn("shard", (F.col("rid") % shards).cast("int")))
-    table = F.broadcast(rows.sparkSession.createDataFrame(list(home.items()), "grp string, home int"))
-    housed = placed.join(table, "grp", "left")
-    ends = list(accumulate(left))
-    seat = F.size(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e <= F.col("seat")))
-    others = ranked(cut(housed.where("home is null").drop("home")), [], ["rid"], "seat").withColumn("shard", seat.cast("int")).drop("seat")
-    return cut(housed.where("home is not null").withColumnRenamed("home", "shard").unionByName(others))
-
-
-def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """rows (rid: unique long, grp) -> rid, grp, linked, shard, with row counts per shard at most one apart."""
-    spark = rows.sparkSession
-    placed = started(rows, shards)
-    for step in range(rounds):
-        free = {r[0]: r[1] for r in placed.where("not linked").groupBy("shard").count().collect()}
-        room = F.broadcast(spark.createDataFrame([(j, free.get(j, 0)) for j in range(shards)], "shard int, room long"))
-        near = placed.where("linked").groupBy("grp", "part", "shard").agg(F.count("*").alias("n"))
-        whole = cut(near.groupBy("grp", "part").agg(F.sum("n").alias("of"), F.count("*").alias("shards")).where("shards > 1"))
-        # As much of the group as the shard could hold; then most members; then any, another one each round.
-        best = F.struct(F.least("of", F.col("n") + F.col("room")), "n", F.xxhash64("grp", "part", "shard", F.lit(step)))
-        target = cut(near.join(whole, ["grp", "part"]).join(room, "shard").groupBy("grp", "part").agg(F.max_by("shard", best).alias("target")))
-        want = cut(placed.where("linked").join(target, ["grp", "part"]).where("shard != target").select("rid", "shard", "target"))
-        wanted = {(r[0], r[1]): r[2] for r in want.groupBy("shard", "target").count().collect()}
-        if not wanted:
-            break
-        allowed, fill = quotas(wanted, free)
-        if not any(allowed.values()):
+SHARDS = 24
+
+
+def quotas(wishes: list[tuple[int, int, int, int, int]], room: list[int]) -> list[tuple[int, int, int]]:
+    """(shard, size class, how many groups may come) of wishes (shard, size class, groups, rows, largest group).
+
+    The largest classes come first; classes below the first one with a refusal wait.
+    """
+    left, allowed, least = list(room), [], None
+    for shard, size, n, rows, largest in sorted(wishes, key=lambda w: (-w[1], w[0])):
+        if least is not None and size < least:
             break
-        table = spark.createDataFrame([(i, j, n) for (i, j), n in allowed.items()], "shard int, target int, quota long")
-        moves = ranked(want, ["shard", "target"], ["rid"], "turn").join(F.broadcast(table), ["shard", "target"]).where("turn < quota").select("rid", F.col("target").alias("moved"))
-        if fill:
-            spans, used = [], {}
-            for (j, i), n in sorted(fill.items()):
-                spans.append((j, i, used.get(j, 0), used.get(j, 0) + n))
-                used[j] = used.get(j, 0) + n
-            ranges = F.broadcast(spark.createDataFrame(spans, "shard int, moved int, lo long, hi long"))
-            singles = ranked(placed.where("not linked").select("rid", "shard"), ["shard"], ["rid"], "turn")
-            moves = moves.union(singles.join(ranges, ["shard"]).where("turn >= lo and turn < hi").select("rid", "moved"))
-        placed = cut(placed.join(moves, "rid", "left").select("rid", "grp", "part", "linked", F.coalesce("moved", "shard").alias("shard")))
-    return placed.select("rid", "grp", "linked", "shard")
-
-
-def shard(df: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+        k = n if rows <= left[shard] else left[shard] // largest
+        left[shard] -= rows if k == n else k * largest
+        least = least if k == n else size
+        if k:
+            allowed.append((shard, size, k))
+    return allowed
+
+
+def dealt(rows: DataFrame, seats: int) -> DataFrame:
+    """rows (rid, grp) with part: groups larger than ``seats`` are cut into parts of that many rows and a rest; big tells them."""
+    large = F.broadcast(cut(rows.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") > seats).select("grp")))  # at most two for each shard
+    parts = ranked(rows.join(large, "grp", "left_semi"), ["grp"], ["rid"], "turn").select("rid", "grp", F.floor(F.col("turn") / seats).alias("part"), F.lit(True).alias("big"))
+    return cut(parts.unionByName(rows.join(large, "grp", "left_anti").select("rid", "grp", F.lit(0).cast("long").alias("part"), F.lit(False).alias("big"))))
+
+
+def settled(groups: DataFrame, room: list[int]) -> tuple[list[DataFrame], DataFrame, list[int]]:
+    """Groups (grp, part, size, votes: shard -> members) with their shard, the groups that no shard has room for, and the room left."""
+    spark, shards = groups.sparkSession, len(room)
+    room, done, open_ = list(room), [], groups
+    while True:
+        space = F.array(*[F.lit(r).cast("long") for r in room])
+        fits = F.filter(F.array(*[F.lit(j) for j in range(shards)]), lambda j: F.get(space, j) >= F.col("size"))
+        # Most neighbours; then any shard, another one for each group.
+        vote = lambda j: F.struct(F.coalesce(F.try_element_at("votes", j), F.lit(0).cast("long")).alias("n"), F.xxhash64("grp", "part", j).alias("h"), j.alias("j"))
+        asked = cut(open_.select("grp", "part", "size", "votes", F.array_max(F.transform(fits, vote))["j"].alias("target"), F.floor(F.log2("size") * 2).cast("int").alias("class")))
+        wishes = asked.where("target is not null").groupBy("target", "class").agg(F.count("*"), F.sum("size"), F.max("size")).collect()
+        if not wishes:
+            return done, asked.select("grp", "part", "size"), room
+        table = F.broadcast(spark.createDataFrame(quotas([tuple(w) for w in wishes], room), "target int, class int, quota long"))
+        turns = ranked(asked, ["target", "class"], ["grp", "part"], "turn").join(table, ["target", "class"], "left")
+        judged = cut(turns.select("grp", "part", "size", "votes", F.when(F.col("turn") < F.col("quota"), F.col("target")).alias("shard")))
+        for r in judged.where("shard is not null").groupBy("shard").agg(F.sum("size").alias("n")).collect():
+            room[r["shard"]] -= r["n"]
+        done.append(judged.where("shard is not null").select("grp", "part", "size", "shard"))
+        open_ = judged.where("shard is null").select("grp", "part", "size", "votes")
+
+
+def propagate(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """rows (rid: unique long from 0, grp) -> rid, grp, linked, shard, with row counts per shard at most one apart."""
+    spark, total = rows.sparkSession, rows.count()
+    placed = dealt(rows, max(1, total // shards)).withColumn("start", (F.col("rid") % shards).cast("int"))
+    near = placed.groupBy("grp", "part", "big", "start").agg(F.count("*").alias("n"))
+    groups = near.groupBy("grp", "part").agg(F.sum("n").alias("size"), F.map_from_entries(F.collect_list(F.struct("start", "n"))).alias("votes"), F.max("big").alias("big"))
+    done, rest, room = settled(cut(groups.where("big or size > 1")), [total // shards + (j < total % shards) for j in range(shards)])
+    rest = sorted(((r["size"], r["grp"], r["part"]) for r in rest.collect()), reverse=True)  # fewer than shards
+
+    # Groups with a shard: the hot ones by broadcast, the others by a join; what is left over has neither.
+    empty = spark.createDataFrame([], "grp string, part long, size long, shard int")
+    homes = cut(reduce(DataFrame.unionByName, done, empty))
+    hot = F.col("size") > max(1_000, total // 10_000)
+    often = F.broadcast(homes.where(hot).select("grp", "part", F.col("shard").alias("hot")))
+    first = placed.select("rid", "grp", "part", "big").join(often, ["grp", "part"], "left")
+    housed = first.where("hot is not null").select("rid", "grp", F.lit(True).alias("linked"), F.col("hot").alias("shard"))
+    others = cut(first.where("hot is null").drop("hot").join(homes.where(~hot).select("grp", "part", "shard"), ["grp", "part"], "left"))
+    housed = housed.unionByName(others.where("shard is not null").select("rid", "grp", F.lit(True).alias("linked"), "shard"))
+
+    # Seats that are left, the largest rooms first, are filled by the rest groups, one after the other, and then by rows without links.
+    starts, at = [], 0
+    for size, grp, part in rest:
+        starts.append((grp, part, at))
+        at += size
+    table = F.broadcast(spark.createDataFrame(starts, "grp string, part long, from long"))
+    over = others.where("shard is null").drop("shard").join(table, ["grp", "part"], "left")
+    seated = ranked(over.withColumn("run", F.coalesce("from", F.lit(at))), ["run"], ["rid"], "turn")
+    spans, end = [], 0
+    for r, j in sorted(((r, j) for j, r in enumerate(room) if r), reverse=True):
+        end += r
+        spans.append((j, end))
+    ends = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(e).cast("long").alias("e")) for j, e in spans] or [F.struct(F.lit(0).alias("j"), F.lit(0).cast("long").alias("e"))])
+    seat = F.get(F.filter(ends, lambda s: s["e"] > F.col("run") + F.col("turn")), 0)["j"]
+    return housed.unionByName(seated.select("rid", "grp", (F.col("big") | F.col("from").isNotNull()).alias("linked"), seat.alias("shard")))
+
+
+def shard(df: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, grp, n_links, n_cut for every row of df (doc_id, text)."""
     text = F.coalesce("text", F.lit(""))
     narrow = df.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), text_key(F.col("text")).alias("grp"))
     narrow = cut(ranked(narrow, [], ["doc_id", "grp"], "rid"))
-    placed = propagate(narrow.select("rid", "grp"), shards, rounds)
+    placed = cut(propagate(narrow.select("rid", "grp"), shards))
     # Only groups in several shards have cut links; their rows look their counts up, at most `shards` rows for a group.
     there = placed.where("linked").groupBy("grp", "shard").agg(F.count("*").alias("n"))
     group = there.groupBy("grp").agg(F.sum("n").alias("of"))

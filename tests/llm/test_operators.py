@@ -122,6 +122,18 @@ def test_groups_that_fit_a_shard_stay_whole(spark):
             assert (part.n_links == len(part) - 1).all()
 
 
+def test_few_links_are_cut_where_all_rows_are_linked(spark):
+    for single, seed in ((0, 1), (0.1, 2)):
+        rng, texts = random.Random(seed), []
+        while len(texts) < 2400 * (1 - single):
+            texts += [f"group {len(texts)}"] * min(rng.randint(2, 20), 2400 - len(texts))
+        texts += [f"single {k}" for k in range(2400 - len(texts))]
+        got = sharding.shard(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).toPandas()
+        assert set(got.groupby("shard").size()) == {100}
+        assert got.n_cut.sum() < 0.01 * got.n_links.sum()
+        assert (got.groupby("grp").shard.nunique() > 1).sum() < 24
+
+
 def test_fingerprints(spark, edges, docs):
     got = fingerprints.compare(edges).collect()
     assert len(got) == len(EDGES)
