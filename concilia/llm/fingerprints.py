@@ -147,7 +147,7 @@ def fingerprints(sets: DataFrame) -> DataFrame:
 
 
 def before(names: DataFrame) -> DataFrame:
-    """name, prev: the name before it in order of (doc_id, key), nulls first; before the first, the last. names: distinct (doc_id, key, name)."""
+    """name, doc_id, prev: the name before it in order of (doc_id, key), nulls first; before the first, the last. names: distinct (doc_id, key, name)."""
     spark = names.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), names.count() // RANGE_NAMES)
     placed = cut(names.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "key").withColumn("range", F.spark_partition_id()))
@@ -156,14 +156,14 @@ def before(names: DataFrame) -> DataFrame:
     lasts = sorted((r["range"], r["last"]) for r in placed.groupBy("range").agg(F.max_by("name", order).alias("last")).collect())
     table = spark.createDataFrame([(k, lasts[i - 1][1]) for i, (k, _) in enumerate(lasts)], "range int, last binary")
     within = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "key")
-    return placed.withColumn("prev", F.lag("name").over(within)).join(F.broadcast(table), "range").select("name", F.coalesce("prev", "last").alias("prev"))
+    return placed.withColumn("prev", F.lag("name").over(within)).join(F.broadcast(table), "range").select("name", "doc_id", F.coalesce("prev", "last").alias("prev"))
 
 
 def with_next(df: DataFrame) -> DataFrame:
     """doc_id, text, a (digests), next_text and n (its digests): the next document in order of (doc_id, text's hash); after the last, the first."""
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("key", text_key(F.col("text"))).withColumn("name", name_of())
     links = cut(before(rows.select("doc_id", "key", "name").distinct()))
-    known = rows.withColumn("a", digests(F.col("text"))).select("doc_id", "text", "a", "name").join(links, "name")
+    known = rows.select("text", digests(F.col("text")).alias("a"), "name").join(links, "name")  # the same columns on both sides below: one exchange, read twice
     sent = known.dropDuplicates(["name"]).select(F.col("prev").alias("name"), F.col("text").alias("next_text"), F.col("a").alias("n"))
     return known.join(sent, "name").select("doc_id", "text", "a", "next_text", "n")
 
