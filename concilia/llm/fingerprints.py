@@ -1,7 +1,7 @@
 """Document fingerprints by invertible Bloom lookup sketches, in DataFrame functions only.
 
 A text is cut into paragraphs by its content alone, by one rule for all scripts and lengths: after line
-ends, and after two odd and five even UTF-8 bytes (about every 128 bytes). So a change moves no cut but
+ends, and after two odd and six even UTF-8 bytes (about every 150 bytes of these tables). So a change moves no cut but
 those beside it. Where no such place is met for LONGEST bytes, as in periodic text or in a script of one
 lead byte without blanks, a paragraph ends after these, and the next place found brings the cuts
 together again.
@@ -41,7 +41,7 @@ LOAD, RETRIES, ROUNDS = 8, 5, 16
 LONGEST = 251
 EVEN, ODD = (f"[{''.join(rf'\x{b:02x}' for b in range(bit, 256, 2))}]" for bit in (0, 1))
 #: A paragraph of a text whose UTF-8 bytes are written as characters 0 to 255.
-PARAGRAPH = rf"[\s\S]{{1,{LONGEST}}}?(?:(?<=\n)|(?<={ODD}{{2}}{EVEN}{{5}})|(?![\s\S]))|[\s\S]{{{LONGEST}}}"
+PARAGRAPH = rf"[\s\S]{{1,{LONGEST}}}?(?:(?<=\n)|(?<={ODD}{{2}}{EVEN}{{6}})|(?![\s\S]))|[\s\S]{{{LONGEST}}}"
 #: Names of documents in a range, about; a range holds no texts.
 RANGE_NAMES = 1_000_000
 
