@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import by_number, carried, documents
 
-#: Entries at most of a worker's two tables, of chunks of text and of words within chunks: about 210 bytes each, 60 MB in all.
-CACHE_CHUNKS, CACHE_WORDS = 100_000, 180_000
+#: Entries at most of a worker's two tables, of chunks of text and of words within chunks: about 210 bytes each, or twice that
+#: for chunks whose strings are kept too, so 120 MB at most in all.
+CACHE_CHUNKS, CACHE_PACKED, CACHE_WORDS = 100_000, 250_000, 300_000
 #: Slots that note by hash which words have been met once; only words met again enter a table.
 SEEN_SLOTS = 1 << 22
 #: A full table is emptied after so many misses for each entry, so that it follows the text.
@@ -39,6 +40,8 @@ CONTROL = re.compile("[\x1c-\x1f]")
 BLANKS = re.compile("[^\\S\x1c-\x1f]+")
 #: Text of these alone has one normal form and one-to-one lower case in every Unicode version.
 LATIN = re.compile("[\x00-\xff]+")
+#: Signs that are a word of their own after letters at the end of a chunk.
+STOPS = frozenset(".,;:!?)")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -90,8 +93,13 @@ class Bpe:
         pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in model["merges"]]
         self.lefts, self.rights = [self.vocab[a] for a, _ in pairs], [self.vocab[b] for _, b in pairs]
         self.becomes = [self.vocab[a + b] for a, b in pairs]
-        #: (left id, right id) as one number -> rank
-        self.merges = {a << 32 | b: rank for rank, (a, b) in enumerate(zip(self.lefts, self.rights))}
+        #: left id -> right id -> rank; ids that are never on the left share one empty table
+        none: dict[int, int] = {}
+        self.merges = [none] * (max(self.vocab.values()) + 1)
+        for rank, (a, b) in enumerate(zip(self.lefts, self.rights)):
+            if self.merges[a] is none:
+                self.merges[a] = {}
+            self.merges[a][b] = rank
         self.joined = "" if data.get("decoder") else " "  # without a decoder the library joins by blanks
         self.specials = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         # Unicode tables (case, letters) are the library's, so its model stays empty; the merging below is ours.
@@ -117,8 +125,8 @@ class Bpe:
         left = symbols[0]
         for i in range(1, n):
             right = symbols[i]
-            if (rank := merges.get(left << 32 | right, -1)) >= 0:
-                heap.append(rank * wide + i - 1)
+            if right in (ranks := merges[left]):
+                heap.append(ranks[right] * wide + i - 1)
             left = right
         if not heap:
             return symbols
@@ -130,14 +138,17 @@ class Bpe:
             if symbols[i] != lefts[rank] or j < 0 or symbols[j] != rights[rank]:
                 continue  # stale: one of both has been merged meanwhile
             symbols[i] = merged = becomes[rank]
+            n -= 1
+            if n == 1:
+                return [merged]  # whatever else is in the heap is stale
             symbols[j] = -1
             k = after[i] = after[j]
             after[j] = -1
             if k >= 0:
                 before[k] = i
-                if (rank := merges.get(merged << 32 | symbols[k], -1)) >= 0:
+                if (rank := merges[merged].get(symbols[k], -1)) >= 0:
                     heappush(heap, rank * wide + i)
-            if (k := before[i]) >= 0 and (rank := merges.get(symbols[k] << 32 | merged, -1)) >= 0:
+            if (k := before[i]) >= 0 and (rank := merges[symbols[k]].get(merged, -1)) >= 0:
                 heappush(heap, rank * wide + k)
         return [s for s in symbols if s >= 0]
 
@@ -146,10 +157,14 @@ class Bpe:
 
     def chunk(self, text: str) -> bytes:
         """Packed ids of text without white space and special tokens. White space never lies within a pre-token."""
-        if self.pattern is None or not LATIN.fullmatch(text):
+        if self.pattern is None or not (text.isascii() or LATIN.fullmatch(text)):
             return packed(list(chain.from_iterable(self.word(w) for w, _ in self.split(self.normalise(text)))))
         text = text.lower()
-        return self.words[text] if text.isalpha() else b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
+        if text.isalpha():
+            return self.words[text]
+        if (word := text[:-1]).isalpha() and text[-1] in STOPS:  # the usual form of a chunk with two words
+            return self.words[word] + self.words[text[-1]]
+        return b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
 
     def chunks(self, text: str | None) -> Iterator[tuple[str, bool]]:
         """The white-space-free chunks of a text, and whether each is a special token."""
@@ -178,7 +193,7 @@ class Cache(Recent):
     """chunk -> what made(packed ids of the chunk) gives."""
 
     def __init__(self, bpe: Bpe, made):
-        super().__init__((lambda chunk: made(bpe.chunk(chunk))) if made else bpe.chunk, CACHE_CHUNKS)
+        super().__init__((lambda chunk: made(bpe.chunk(chunk))) if made else bpe.chunk, CACHE_CHUNKS if made else CACHE_PACKED)
         self.bpe, self.made = bpe, made or (lambda data: data)
 
     def each(self, text: str | None):
