@@ -61,6 +61,21 @@ def test_bpe_equals_library(spark, edges, docs):
         assert tuple(r)[1:] == want(docs[r.doc_id])
 
 
+def test_bpe_words_before_a_stop():
+    """Chunks of letters and a stop, with and without tables that are full, and others that only look like them."""
+    with open(bpe.tokenizer_path(), encoding="utf-8") as f:
+        model = bpe.Bpe(f.read())
+    cache = bpe.Cache(model, None)
+    cache.size = model.words.size = 3
+    library = tokenizer()
+    library.no_truncation()
+    library.no_padding()
+    chunks = [a + b for a in ("word", "Él", "ß", "µª", "it's", "İx", "a1", "", "qzxjkv" * 300) for b in (*sorted(bpe.STOPS), "'", "..", "%", "'s")]
+    for text in chunks * 2 + [" ".join(chunks)]:
+        want = library.encode(text, add_special_tokens=False).ids
+        assert bpe.unpacked(b"".join(cache.each(text))) == want == model.encode(text)
+
+
 def test_bpe_decode(spark, edges):
     t = tokenizer()
     back = bpe.decode(bpe.encode(edges.where("doc_id in (3, 4)"))).collect()
