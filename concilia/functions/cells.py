@@ -37,9 +37,7 @@ def instant(x: Column) -> Column:
 
 def shown(x: Column) -> Column:
     """A cell's text: whole numbers without a point, blanks around text gone, an instant by day and time."""
-    n = number(x)
-    told = F.when(n == F.floor(n), n.cast("long").cast("string")).otherwise(n.cast("string"))
-    return F.coalesce(told, F.date_format(instant(x), "yyyy-MM-dd HH:mm:ss"), X.str_clean(as_text(x)))
+    return F.coalesce(X.number_text(number(x)), F.date_format(instant(x), "yyyy-MM-dd HH:mm:ss"), X.str_clean(as_text(x)))
 
 
 def hora(x: Column, seconds: bool = True) -> Column:

@@ -218,7 +218,16 @@ def key_a(figura: Column, d: Column, hora: Column | None = None) -> Column:
     return F.concat_ws("|", *parts)
 
 
+def number_text(x: Column) -> Column:
+    """A number as a cell shows it: whole numbers without a point, others in plain digits; only below 1e-4 with an exponent, of two digits."""
+    told = x.cast("double").cast("string")  # may be 9.5E-4 or 1.25E7
+    # A fraction of 1e-4 and more has at most 16 digits before its point and 21 after it.
+    plain = F.coalesce(F.regexp_replace(told.try_cast("decimal(38,21)").cast("string"), "0+$", ""), told)
+    tiny = F.regexp_replace(F.regexp_replace(told, r"(?:\.0)?E-", "e-"), r"e-(\d)$", "e-0$1")
+    return F.when(x == F.floor(x), x.cast("long").cast("string")).otherwise(F.when(F.abs(x) < 1e-4, tiny).otherwise(plain))
+
+
 def key_b(nombre: Column, inscriptos: Column) -> Column:
     """nombre|inscriptos, null without a name; whole numbers are written without a point."""
-    n = F.when(inscriptos == F.floor(inscriptos), F.floor(inscriptos).cast("string")).otherwise(inscriptos.cast("string"))
+    n = number_text(inscriptos)
     return F.concat(F.nullif(normalize_text(nombre), F.lit("")), F.lit("|"), n)

@@ -163,7 +163,7 @@ def validate_findings(spark, d):
     fields = _A2_FIELDS + _B2_FIELDS
     source = cut(raw(spark, d))
     whole = {f.name for f in source.schema if f.dataType.simpleString() in ("int", "bigint")}  # need no parsing
-    cell = lambda x, numeric: c(x).cast("string") if x in whole else S.number_text(c(f"{x}_n")) if numeric else X.str_clean(c(x))
+    cell = lambda x, numeric: c(x).cast("string") if x in whole else X.number_text(c(f"{x}_n")) if numeric else X.str_clean(c(x))
 
     def rows(name: str, own) -> DataFrame:
         dated = sheet_of(source, name).withColumns({"fecha_d": X.parse_date_lenient(c("fecha"), AS_OF), **{f"{x}_n": X.num_parse(c(x)) for f, x, n in own if n and x not in whole}})

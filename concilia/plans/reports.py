@@ -26,7 +26,7 @@ def comparison_report(spark, d):
     """A2 against B2 after the first three steps: a summary and the rows that either lacks, where their key first stands, with the values of its last row."""
     sides = []
     for df, headers in zip(L.Run(spark, d).named, (_A, _B)):
-        shown = {"fecha": X.dmy(c("fecha_d")), "asistentes": S.number_text(c("asistentes")) if headers is _A else None, "rrss": S.number_text(c("rrss")) if headers is _B else None, "key": c("base_key")}
+        shown = {"fecha": X.dmy(c("fecha_d")), "asistentes": X.number_text(c("asistentes")) if headers is _A else None, "rrss": X.number_text(c("rrss")) if headers is _B else None, "key": c("base_key")}
         rows = df.select("_row", *[(c(x) if shown.get(x) is None else shown[x]).alias(x) for x in headers.values() if x != "_row"])
         ends = cut(B.first_place_last_value(rows, "key"))
         # How often a key occurs is told by its ends: a second row lies after the first.

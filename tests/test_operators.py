@@ -140,3 +140,17 @@ def test_cells_of_mixed_types(spark):
     assert (x.t, x.n, x.i, x.h) == ("", "24:00:00", "09:05:07", "09:05:00")
     e = df.select(V.equal(F.col("t"), F.col("z")), V.equal(F.col("whole"), F.col("five")), V.equal(F.col("i"), F.col("h")), V.equal(F.col("d"), F.col("d")), V.same_day(F.col("d"), F.col("dt"), "1998-01-01"), V.same_day(F.col("n"), F.col("z"), "1998-01-01"), V.same_day(F.col("d"), F.col("z"), "1998-01-01")).first()
     assert list(e) == [True, True, False, True, True, True, False]
+
+
+def test_numbers_in_plain_digits(spark):
+    import duckdb
+
+    from concilia.functions import scalars as X
+    from concilia.plans import dialect as D
+
+    rows = [(k, x) for k, x in enumerate([1 / 1013, -1 / 1013, 12345678.5, -98765432.125, 4503599627370495.5, 0.1, 1e-4, 1.25e-5, 5e-7, 1.5e-12, 2.5e-123, 3.0, -0.0, 20_000_000.0, 0.30000000000000004, None])]
+    df = spark.createDataFrame(rows, "k int, x double")
+    got = {r.k: r.t for r in df.select("k", X.number_text(F.col("x")).alias("t")).collect()}
+    told = {k: duckdb.execute(f"SELECT {D.number_text('x')} FROM (SELECT CAST(? AS DOUBLE) AS x)", [x]).fetchone()[0] for k, x in rows}
+    assert got == told
+    assert [r.t for r in df.where("x = 1e0 / 1013").select(V.shown(F.col("x").cast("variant")).alias("t")).collect()] == ["0.0009871668311944718"]
