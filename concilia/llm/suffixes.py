@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -239,19 +240,28 @@ class Shard:
 PIECE = "anchor long, digest long"
 
 
-@F.pandas_udf(T.BinaryType())
-def squeezed(data: pd.Series) -> pd.Series:
-    """Bytes as they are shuffled: compressed; null stays null."""
-    squeeze = zstandard.ZstdCompressor().compress
-    return pd.Series([None if x is None else squeeze(x) for x in data], dtype=object)
+def squeezer(form):
+    """A function of a column of bytes, which are shuffled compressed, in their form; null stays null."""
+
+    @F.pandas_udf(T.BinaryType())
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        squeeze = zstandard.ZstdCompressor().compress
+        for data in batches:
+            yield pd.Series([None if x is None else squeeze(form(x)) for x in data], dtype=object)
+        _words.clear()
+
+    return run
+
+
+squeezed = squeezer(bytes)
 
 
 def raw_of(packed: bytes | None) -> bytes:
     return b"" if packed is None else zstandard.decompress(packed)
 
 
-def located(df: DataFrame, length: int) -> DataFrame:
-    """The pieces of each document in arrays, MOST_PIECES to a row: name (of its document), anchor, digest, first and last window.
+def located(df: DataFrame, length: int, form=bytes) -> DataFrame:
+    """The pieces of each document, in its form, in arrays, MOST_PIECES to a row: name (of its document), anchor, digest, first and last window.
 
     Arrays take a third of the room that rows would; pieces() makes rows of them.
     """
@@ -260,13 +270,14 @@ def located(df: DataFrame, length: int) -> DataFrame:
         for pdf in batches:
             rows = []
             for name, raw in zip(pdf.name, pdf.data):
-                raw = raw or b""
+                raw = form(raw or b"")
                 mine = pieces_of(np.frombuffer(raw, dtype=np.uint8), length)
                 for at in range(0, len(mine), MOST_PIECES):
                     first, last, anchor = zip(*mine[at : at + MOST_PIECES])
                     digest = np.array([xxhash.xxh3_64_intdigest(raw[a : b + length]) for a, b in zip(first, last)], dtype=np.uint64).view(np.int64)
                     rows.append((name, np.array(anchor, dtype=np.int64), digest, np.array(first, dtype=np.int32), np.array(last, dtype=np.int32)))
             yield pd.DataFrame(rows, columns=["name", "anchor", "digest", "first", "last"])
+        _words.clear()
 
     return df.select("name", "data").mapInPandas(run, "name binary, anchor array<long>, digest array<long>, first array<int>, last array<int>")
 
@@ -276,7 +287,7 @@ def pieces(every: DataFrame) -> DataFrame:
     return every.select("name", F.explode(F.arrays_zip("anchor", "digest", "first", "last")).alias("p")).select("name", "p.*")
 
 
-def fetched(df: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+def fetched(df: DataFrame, wanted: DataFrame, length: int, form=bytes) -> DataFrame:
     """anchor, digest, piece (bytes) for places wanted (name, anchor, digest, first, last)."""
     places = wanted.groupBy("name").agg(F.collect_list(F.struct("anchor", "digest", "first", "last")).alias("places"))
 
@@ -288,7 +299,7 @@ def fetched(df: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 rows += [(p["anchor"], p["digest"], raw[p["first"] : p["last"] + length]) for p in places_]
             yield pd.DataFrame(rows, columns=["anchor", "digest", "piece"])
 
-    return df.select("name", squeezed("data").alias("packed")).join(places, "name").select("packed", "places").mapInPandas(run, f"{PIECE}, piece binary")
+    return df.select("name", squeezer(form)("data").alias("packed")).join(places, "name").select("packed", "places").mapInPandas(run, f"{PIECE}, piece binary")
 
 
 def sorted_out(units: DataFrame, length: int) -> DataFrame:
@@ -325,9 +336,12 @@ def sorted_out(units: DataFrame, length: int) -> DataFrame:
     return units.groupBy("_shard").applyInPandas(run, f"{PIECE}, a int, b int")
 
 
-def spans(df: DataFrame, length: int = LENGTH) -> DataFrame:
-    """name, spans: array<struct<start, end>> of repeated bytes, for df (name, data); documents without any are left out."""
-    every = cut(located(df, length))
+def spans(df: DataFrame, length: int = LENGTH, form=bytes) -> DataFrame:
+    """name, spans: array<struct<start, end>> of repeated bytes, for df (name, data); documents without any are left out.
+
+    form gives the bytes to compare from the data, in the worker that reads them: a stage with two Python steps has twice the workers.
+    """
+    every = cut(located(df, length, form))
     twice = cut(every.select(F.explode("anchor").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     shared_ = cut(pieces(every).join(twice, "anchor", "left_semi"))
     kinds = cut(shared_.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min(F.struct("name", "first", "last")).alias("at")))
@@ -335,7 +349,7 @@ def spans(df: DataFrame, length: int = LENGTH) -> DataFrame:
     several = cut(kinds.join(shared, "anchor", "left_semi"))
     units = block_pairs(several.select("anchor", "digest"), ["anchor"], "digest", BLOCK)
     units = sharded(cut(units), ["anchor", "bi", "bj"], ROWS_EACH)
-    bytes_ = fetched(df, several.select("anchor", "digest", "at.name", "at.first", "at.last"), length)
+    bytes_ = fetched(df, several.select("anchor", "digest", "at.name", "at.first", "at.last"), length, form)
     partly = sorted_out(units.join(bytes_, ["anchor", "digest"]), length)
     wholly = kinds.where("n > 1").select("anchor", "digest", F.lit(0).alias("a"), (F.col("at.last") - F.col("at.first") + 1).alias("b"))
     marks = cut(partly.join(wholly, ["anchor", "digest"], "left_anti").union(wholly))
@@ -425,7 +439,7 @@ def cleaned(df: DataFrame, length: int = LENGTH, least_words: int | None = None)
     name, cuts, packed = (unused(df, c) for c in ("_name", "_spans", "_packed"))
     rows = df.withColumn(name, name_of())
     texts = rows.select(F.col(name).alias("name"), F.col("text").cast("binary").alias("data"))
-    found = (spans(texts, length) if least_words is None else spans(in_words(texts), WORD * least_words)).withColumnsRenamed({"name": name, "spans": cuts})
+    found = (spans(texts, length) if least_words is None else spans(texts, WORD * least_words, in_words)).withColumnsRenamed({"name": name, "spans": cuts})
 
     @F.pandas_udf(T.StringType())
     def kept(packed_: pd.Series, found_: pd.Series) -> pd.Series:
@@ -451,19 +465,10 @@ CORE = re.compile(r"[^\W_](?:\S*[^\W_])?")
 WORD = 4
 
 
-def in_words(df: DataFrame) -> DataFrame:
-    """name, data: the texts of df (name, data) with WORD bytes for each word, so that passages can be counted in words."""
-
-    def run(batches):
-        for pdf in batches:
-            data = []
-            for raw in pdf.data:
-                words_ = CORE.findall(raw.decode()) if raw else []
-                data.append(np.fromiter(map(_words.__getitem__, words_), dtype=np.uint64, count=len(words_)).astype("<u4").tobytes())
-            yield pd.DataFrame({"name": pdf.name, "data": data})
-        _words.clear()
-
-    return df.select("name", "data").mapInPandas(run, "name binary, data binary")
+def in_words(raw: bytes) -> bytes:
+    """WORD bytes for each word of a text, so that passages can be counted in words."""
+    words_ = CORE.findall(raw.decode())
+    return np.fromiter(map(_words.__getitem__, words_), dtype=np.uint64, count=len(words_)).astype("<u4").tobytes()
 
 
 def word_cuts(text: str, found: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:

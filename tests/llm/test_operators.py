@@ -530,3 +530,16 @@ def test_empty_tables(spark, nothing):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     for out in (bpe.round_trip(nothing), packing.pack_documents(nothing), sharding.shard(nothing), fingerprints.compare(nothing), suffixes.judged(nothing), suffixes.cleaned(nothing), jaccard.join(nothing), jaccard.deduplicated(nothing), quality.scored(nothing, labels), pii.rewritten(nothing), secrets.scan(nothing)):
         assert out.count() == 0
+
+
+def test_words_are_packed_by_the_worker_that_makes_them(spark, monkeypatch):
+    """A stage with a pandas UDF on top of mapInPandas keeps two workers a core, with the memory of both."""
+    plans, cut = [], suffixes.cut
+    monkeypatch.setattr(suffixes, "cut", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), cut(df))[1])
+    df = spark.createDataFrame([(i, " ".join(f"w{i * (k > 20)}x{k}" for k in range(60))) for i in range(4)], "doc_id long, text string")
+    kept = suffixes.cleaned(df, least_words=15).orderBy("doc_id").collect()
+    assert [r.text.split()[0] for r in kept] == [f"w{i}x21" for i in range(1, 4)] or all("w0x3 " not in r.text for r in kept)
+    assert any("MapInPandas" in p for p in plans)
+    for p in plans:
+        for part in re.split("Exchange", p):
+            assert len(re.findall("MapInPandas|ArrowEvalPython|FlatMapGroupsInPandas", part)) < 2, part
