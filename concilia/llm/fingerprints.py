@@ -18,8 +18,8 @@ sketches, each time with four times as many blocks. After RETRIES (or where dige
 themselves are compared. Likeness is the share of common digests among those of both.
 
 Documents meet their successors by name: ids and hashes alone are sorted in ranges, which gives each
-name the one before it, and a text is sent there. Digests (no texts) are then dealt by row; all sketches
-and retries stay within those partitions.
+name the one before it, and as much of a text as its edit takes is sent there, a quarter of the other's length at
+most. Digests (no texts) are then dealt by row; all sketches and retries stay within those partitions.
 
 Defined cases: a paragraph that comes again in a text counts once; a null text is empty, has no paragraphs, an empty fingerprint, and is wholly like
 another empty one; repeated rows stay separate rows, with the same
@@ -110,7 +110,7 @@ def peeled(cells: Column) -> Column:
 
 
 def differing(pairs: DataFrame, retries: int = RETRIES) -> DataFrame:
-    """(rid, pair, n): how many digests are in one of x and y only, for pairs (rid, pair, x, y).
+    """(rid, pair, n): how many digests are in one of x and y only, for pairs (rid, pair, x, y), best dealt by rid.
 
     The first try subtracts the fingerprints of both, folded to the smaller one's blocks.
     """
@@ -118,19 +118,19 @@ def differing(pairs: DataFrame, retries: int = RETRIES) -> DataFrame:
     for level in range(retries):
         blocks = F.least(blocks_for(F.size("x")), blocks_for(F.size("y"))) if level == 0 else blocks_for(F.size("x") + F.size("y")) * 2 * 4 ** (level - 1)
         signed = F.concat(F.transform("x", lambda d: F.struct(F.lit(1).alias("c"), d.alias("d"))), F.transform("y", lambda d: F.struct(F.lit(-1).alias("c"), d.alias("d"))))
-        dealt = left.repartition("rid")  # all groupings below include rid, so nothing else is shuffled
+        dealt = left if level == 0 else left.repartition("rid")  # all groupings below include rid, so nothing else is shuffled
         units = dealt.select("rid", "pair", blocks.alias("blocks"), F.explode(signed).alias("u")).select("rid", "pair", "u.c", "u.d", block_of(F.col("u.d"), F.col("blocks")).alias("block"))
         cells = sketched(units, ["rid", "pair", "block"]).where("c != 0 or d != 0")
         block = cells.groupBy("rid", "pair", "block").agg(F.collect_list(F.struct("i", "c", "d", "h")).alias("cells")).select("rid", "pair", peeled(F.col("cells")).alias("n"))
         tried = block.groupBy("rid", "pair").agg(F.sum("n").alias("n"), F.max(F.col("n").isNull()).alias("hidden"))
         # Where nothing is left of the cells, nothing differs.
-        tried = cut(dealt.select("rid", "pair").join(tried, ["rid", "pair"], "left").select("rid", "pair", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("hidden", F.lit(False)).alias("hidden")))
+        tried = cut(left.select("rid", "pair").join(tried, ["rid", "pair"], "left").select("rid", "pair", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("hidden", F.lit(False)).alias("hidden")))
         solved = tried.where("not hidden").select("rid", "pair", "n")
         done = solved if done is None else done.union(solved)
-        failed = tried.where("hidden").select("rid", "pair")
+        failed = tried.where("hidden").groupBy("rid").agg(F.collect_set("pair").alias("again"))
         if failed.isEmpty():
             return done
-        left = cut(left.join(failed, ["rid", "pair"], "left_semi"))
+        left = cut(left.join(failed, "rid").where(F.array_contains("again", F.col("pair"))).drop("again"))  # by rid, as left is dealt
     rest = left.select("rid", "pair", (F.size(F.array_except("x", "y")) + F.size(F.array_except("y", "x"))).cast("long").alias("n"))
     return done.union(rest)
 
@@ -147,45 +147,54 @@ def fingerprints(sets: DataFrame) -> DataFrame:
 
 
 def before(names: DataFrame) -> DataFrame:
-    """name, doc_id, prev: the name before it in order of (doc_id, key), nulls first; before the first, the last. names: distinct (doc_id, key, name)."""
+    """name, doc_id, prev, prev_chars: name and n_chars of the name before it in order of (doc_id, key), nulls first; before the first, the last.
+
+    names: distinct (doc_id, key, name, n_chars).
+    """
     spark = names.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), names.count() // RANGE_NAMES)
-    placed = cut(names.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "key").withColumn("range", F.spark_partition_id()))
+    placed = names.select("doc_id", "key", F.struct("name", "n_chars").alias("own"))
+    placed = cut(placed.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "key").withColumn("range", F.spark_partition_id()))
     # One name per range goes to the driver: the last of each is before the first of the next range.
     order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "key")
-    lasts = sorted((r["range"], r["last"]) for r in placed.groupBy("range").agg(F.max_by("name", order).alias("last")).collect())
-    table = spark.createDataFrame([(k, lasts[i - 1][1]) for i, (k, _) in enumerate(lasts)], "range int, last binary")
+    lasts = sorted((r["range"], r["last"]) for r in placed.groupBy("range").agg(F.max_by("own", order).alias("last")).collect())
+    table = spark.createDataFrame([(k, lasts[i - 1][1]) for i, (k, _) in enumerate(lasts)], "range int, last struct<name: binary, n_chars: int>")
     within = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "key")
-    return placed.withColumn("prev", F.lag("name").over(within)).join(F.broadcast(table), "range").select("name", "doc_id", F.coalesce("prev", "last").alias("prev"))
+    return placed.withColumn("prev", F.lag("own").over(within)).join(F.broadcast(table), "range").select("own.name", "doc_id", F.coalesce("prev", "last").alias("prev")).select("name", "doc_id", "prev.name", "prev.n_chars").toDF("name", "doc_id", "prev", "prev_chars")
 
 
-def with_next(df: DataFrame) -> DataFrame:
-    """doc_id, text, a (digests), next_text and n (its digests): the next document in order of (doc_id, text's hash); after the last, the first."""
+def with_next(df: DataFrame, part: int | None = None) -> DataFrame:
+    """doc_id, text, a (digests), next_text and n (its digests): the next document in order of (doc_id, text's hash); after the last, the first.
+
+    With part, next_text ends after a ``part``-th of text's length, so that no more of it is sent; n is of the whole.
+    """
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("key", text_key(F.col("text"))).withColumn("name", name_of())
-    links = cut(before(rows.select("doc_id", "key", "name").distinct()))
+    links = cut(before(rows.select("doc_id", "key", "name", F.length("text").alias("n_chars")).distinct()))
     known = rows.select("text", digests(F.col("text")).alias("a"), "name").join(links, "name")  # the same columns on both sides below: one exchange, read twice
-    sent = known.dropDuplicates(["name"]).select(F.col("prev").alias("name"), F.col("text").alias("next_text"), F.col("a").alias("n"))
+    head = F.col("text") if part is None else F.substring("text", F.lit(1), F.floor(F.col("prev_chars") / part).cast("int"))
+    sent = known.dropDuplicates(["name"]).select(F.col("prev").alias("name"), head.alias("next_text"), F.col("a").alias("n"))
     return known.join(sent, "name").select("doc_id", "text", "a", "next_text", "n")
 
 
 def compare(df: DataFrame) -> DataFrame:
     """The contract's columns for rows of (doc_id, text)."""
-    rows = with_next(df).withColumn("n_chars", F.length("text"))
+    rows = with_next(df, 4).withColumn("n_chars", F.length("text"))
     rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - cast(floor(n_chars / 4) as int))"), F.expr("substring(next_text, 1, cast(floor(n_chars / 4) as int))")))
     sets = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "a", digests(F.col("edited")).alias("e"), "n")
     main = cut(sets)  # written once, so rid stays as it is
-    dealt = main.repartition("rid")
     pair = lambda k, x, y: F.struct(F.lit(k).alias("pair"), F.col(x).alias("x"), F.col(y).alias("y"))
-    pairs = main.select("rid", F.explode(F.array(pair(0, "a", "e"), pair(1, "a", "n"))).alias("p")).select("rid", "p.*")
+    dealt = main.select("rid", "a", "e", "n").repartition("rid")
+    pairs = dealt.select("rid", F.explode(F.array(pair(0, "a", "e"), pair(1, "a", "n"))).alias("p")).select("rid", "p.*")
     n = differing(pairs.where(F.size("x") + F.size("y") > 0)).groupBy("rid").agg(F.max(F.when(F.col("pair") == 0, F.col("n"))).alias("n0"), F.max(F.when(F.col("pair") == 1, F.col("n"))).alias("n1"))
-    own_sets = dealt.select("rid", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("a").alias("d")), F.struct(F.lit(1).alias("which"), F.col("e").alias("d")))).alias("s")).select("rid", "s.*")
+    own_sets = main.select("rid", "a", "e").repartition("rid").select("rid", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("a").alias("d")), F.struct(F.lit(1).alias("which"), F.col("e").alias("d")))).alias("s")).select("rid", "s.*")
     prints = fingerprints(own_sets).groupBy("rid").agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("f0"), F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("f1"))
 
     def like(x: str, y: str, n: str) -> Column:
-        both, d = F.size(x) + F.size(y), F.coalesce(n, F.lit(0))
+        both, d = F.col(x) + F.col(y), F.coalesce(n, F.lit(0))
         return F.when(both == 0, 1.0).otherwise((both - d) / (both + d))
 
-    return dealt.join(n, "rid", "left").join(prints, "rid", "left").select(
+    told = main.select("rid", "doc_id", "n_chars", "edited_sha256", *[F.size(x).alias(x) for x in "aen"])  # no sets beyond here
+    return told.join(n, "rid", "left").join(prints, "rid", "left").select(
         "doc_id", "n_chars", "edited_sha256", F.coalesce("f0", F.lit("")).alias("fingerprint"), F.coalesce("f1", F.lit("")).alias("edited_fingerprint"),
         like("a", "e", "n0").alias("near_edited"), like("a", "n", "n1").alias("near_next"),
     )

@@ -543,3 +543,22 @@ def test_words_are_packed_by_the_worker_that_makes_them(spark, monkeypatch):
     for p in plans:
         for part in re.split("Exchange", p):
             assert len(re.findall("MapInPandas|ArrowEvalPython|FlatMapGroupsInPandas", part)) < 2, part
+
+
+def test_only_the_edit_of_the_next_text_is_sent(spark, monkeypatch):
+    texts = ["é" * 9, "", "abcdefgh", "x" * 400, "y" * 3, None, "z" * 41]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprints.with_next(df, 4).collect()}
+    for k, t in enumerate(texts):
+        assert got[k].next_text == (texts[(k + 1) % len(texts)] or "")[: len(t or "") // 4]
+    plans, cut = [], fingerprints.cut
+    monkeypatch.setattr(fingerprints, "cut", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), cut(df))[1])
+    out = fingerprints.compare(df)
+    for r in out.collect():
+        t, following = texts[r.doc_id] or "", texts[(r.doc_id + 1) % len(texts)] or ""
+        k = len(t) // 4
+        assert r.edited_sha256 == hashlib.sha256((t[: len(t) - k] + following[:k]).encode()).hexdigest()
+    # Sketches are made where the digests lie.
+    for p in [*plans, out._jdf.queryExecution().executedPlan().toString()]:
+        for node in re.findall(r"Exchange hashpartitioning\((.*)", p):
+            assert not re.search(r"block#|\bi#", node), node
