@@ -9,15 +9,28 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: Spark's setting by which an execution's shuffle files go when it ends, in place of when the driver's garbage is collected.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write df to the checkpoint folder that the cluster names and read it back without lineage."""
+    """Write df to the checkpoint folder that the cluster names and read it back without lineage.
+
+    Nothing reads the shuffle files of its execution after that, so they are removed at once.
+    """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None and not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+    conf = df.sparkSession.conf
+    before = conf.get(TIDY, "false")
+    conf.set(TIDY, "true")
+    try:
+        return df.select("*").checkpoint()  # an execution of its own, which the setting holds for
+    finally:
+        conf.set(TIDY, before)
 
 
 def carried(df: DataFrame, *columns: str) -> DataFrame:

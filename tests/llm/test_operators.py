@@ -1,8 +1,10 @@
 """Each operator on nulls, empty, long, repeated and odd rows, on an empty table, and against brute force."""
 
 import hashlib
+import os
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -10,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from concilia.llm import bpe, embeddings, fingerprints, jaccard, packing, pii, quality, secrets, sharding, suffixes
+from concilia.llm import bpe, common, embeddings, fingerprints, jaccard, packing, pii, quality, secrets, sharding, suffixes
 from concilia.llm.blocks import roots
 from concilia.llm.common import components, ranked
 
@@ -562,3 +564,42 @@ def test_only_the_edit_of_the_next_text_is_sent(spark, monkeypatch):
     for p in [*plans, out._jdf.queryExecution().executedPlan().toString()]:
         for node in re.findall(r"Exchange hashpartitioning\((.*)", p):
             assert not re.search(r"block#|\bi#", node), node
+
+
+def shuffle_files(spark):
+    """Bytes of each shuffle file on this machine's disk."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {name: os.path.getsize(f"{d}/{name}") for top in folders for d, _, names in os.walk(top) for name in names if re.match(r"shuffle_.*\.data$", name)}
+
+
+def left_by(spark, job):
+    """What job() returns, and the bytes of shuffle files that it leaves."""
+    before = shuffle_files(spark)
+    out = job()
+    for _ in range(50):  # files are removed in the background
+        left = sum(n for name, n in shuffle_files(spark).items() if name not in before)
+        if not left:
+            break
+        time.sleep(0.1)
+    return out, left
+
+
+def test_shuffle_files_go_when_a_table_is_cut(spark):
+    df = spark.range(20_000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("n"))
+    spark.conf.set(common.TIDY, "false")
+    kept, left = left_by(spark, lambda: common.cut(df))
+    assert left == 0 and spark.conf.get(common.TIDY) == "false"
+    assert sorted(map(tuple, kept.collect())) == sorted((k, sum(range(k, 20_000, 7))) for k in range(7)) == sorted(map(tuple, df.collect()))
+
+
+def test_suffix_dedup_leaves_no_texts_behind(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=8000)) for _ in range(40)]
+    texts[1] = texts[0][:500] + texts[1]
+    rows = [*enumerate(texts), (1, texts[1]), (40, None), (41, "")]
+    out, left = left_by(spark, lambda: suffixes.judged(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert left < 0.2 * sum(map(len, texts))
+    raw = [(t or "").encode() for _, t in rows]
+    want = sorted((rows[k][0], *a, b[2], b[1]) for k, (a, b) in enumerate(zip(brute_suffixes(raw, 400), brute_suffixes(raw, 256))))
+    got = sorted(map(tuple, out.collect()))
+    assert got == want
