@@ -603,3 +603,14 @@ def test_suffix_dedup_leaves_no_texts_behind(spark):
     want = sorted((rows[k][0], *a, b[2], b[1]) for k, (a, b) in enumerate(zip(brute_suffixes(raw, 400), brute_suffixes(raw, 256))))
     got = sorted(map(tuple, out.collect()))
     assert got == want
+
+
+def test_fingerprints_leave_no_texts_behind(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=8000)) for _ in range(40)] + [None, ""]
+    out, left = left_by(spark, lambda: fingerprints.compare(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")))
+    assert left < 0.1 * sum(len(t or "") for t in texts)
+    for r in out.collect():
+        t, following = texts[r.doc_id] or "", texts[(r.doc_id + 1) % len(texts)] or ""
+        k = len(t) // 4
+        assert r.edited_sha256 == hashlib.sha256((t[: len(t) - k] + following[:k]).encode()).hexdigest()
