@@ -614,3 +614,28 @@ def test_fingerprints_leave_no_texts_behind(spark):
         t, following = texts[r.doc_id] or "", texts[(r.doc_id + 1) % len(texts)] or ""
         k = len(t) // 4
         assert r.edited_sha256 == hashlib.sha256((t[: len(t) - k] + following[:k]).encode()).hexdigest()
+
+
+def test_paragraphs_are_found_without_a_look_back_from_every_byte(spark):
+    """The same paragraphs as by the rule in one pattern, in less than half of its time."""
+    rng = random.Random(12)
+    signs = ["\n", "ac\n", "bd\n", "abcd", "ab\x00\x7f", "aaabbbbbbb\n", "éÿñа漢\U0001f300 \nx", "ÿ", "漢", "".join(map(chr, range(1, 128)))]
+    texts = ["".join(rng.choices(s, k=n)) for s in signs for n in (1, 7, 8, 249, 250, 251, 252, 253, 502, 503, 3000)]
+    texts += ["b" * n + end + tail for n in (*range(240, 254), 501) for end in ("\n", "aabbbbbb", "aabbb\nbb", "aabbbbb\n") for tail in ("", "b", "bbb", "\naabbbbbb" + "b" * 251)]
+    texts += [None, "", "the quick brown fox jumps over " * 9]
+    one = lambda c: F.regexp_extract_all(F.decode(F.encode(c, "UTF-8"), "ISO-8859-1"), F.lit(fingerprints.PARAGRAPH), F.lit(0))
+    same = spark.createDataFrame([(t,) for t in texts], "text string").select("text", fingerprints.digests(F.col("text")).alias("d"), F.array_distinct(F.transform(one(F.col("text")), lambda p: F.xxhash64(p))).alias("w"))
+    assert [r.text for r in same.collect() if r.d != r.w] == []
+
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 9))) for _ in range(500)]
+    many = spark.createDataFrame([(" ".join(rng.choices(words, k=5000)),) for _ in range(100)], "text string").coalesce(1).cache()
+    many.count()
+
+    def seconds(column):
+        began = time.time()
+        many.select(F.sum(F.size(column))).collect()
+        return time.time() - began
+
+    by_rule, by_steps = (min(seconds(c) for _ in range(3)) for c in (one(F.col("text")), fingerprints.digests(F.col("text"))))
+    many.unpersist()
+    assert by_steps < by_rule / 2, (by_steps, by_rule)
