@@ -205,6 +205,8 @@ def verified(units: DataFrame, size: int, threshold: float, tolerance: float) ->
         def tell(pairs: list[tuple[np.ndarray, np.ndarray]]) -> None:
             """Those of the pairs whose sets are similar enough."""
             i, j = (np.concatenate([p[n] for p in pairs]) for n in (0, 1))
+            if not len(i):  # all values of a large run can drop every pair that the first values kept
+                return
             rows, place = np.unique(np.concatenate([i, j]), return_inverse=True)
             sets = [shingles(texts[k], size) for k in rows]
             n = np.array([len(s) for s in sets], dtype=np.int64)

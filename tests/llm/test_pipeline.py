@@ -30,3 +30,13 @@ def test_passages_of_short_words_go(spark):
         assert len(passage) < 256 and got[k].text == texts[k].replace(there, "") and got[k].n_chars == len(got[k].text)
     # Two short passages in a row, each repeated elsewhere, are not a long one.
     assert all(got[k].text == texts[k] for k in (2, 3, 4))
+
+
+def test_templates_pass_the_join_whole(spark):
+    """More texts of one template than a run may have, none near another: all stay, with all their columns."""
+    rng = random.Random(3)
+    made = lambda n: [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(n))]
+    shared = made(300)
+    rows = [(k, " ".join(shared + made(100)), f"s{k}") for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert sorted(map(tuple, corpus_pipeline.jaccard_join(spark, df, "").collect())) == rows
