@@ -314,6 +314,22 @@ def test_jaccard(spark, edges, docs):
     assert len([t for t in texts if t and t.startswith(EDGES[5][1][:20])]) == 1 and texts.count("a") == 1
 
 
+def alike(n, common, own):
+    """n texts that share ``common`` words and have ``own`` words of their own."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    shared = [word() for _ in range(common)]
+    return [" ".join(shared + [word() for _ in range(own)]) for _ in range(n)]
+
+
+def test_templates_without_any_near_pair(spark):
+    """Texts of similarity 0.6: their first values make one component of more than SMALL classes, of which no pair stays."""
+    texts = alike(jaccard.SMALL + 8, 300, 100)
+    assert len(texts) > jaccard.SMALL
+    got = jaccard.join(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_links, r.group_id, r.kept) for r in got) == [(k, 0, k, True) for k in range(len(texts))]
+
+
 def test_least_matches_keeps_likely_pairs():
     for n in (8, 32, 96):
         least = jaccard.least_matches(n, 0.8, 1e-6)
