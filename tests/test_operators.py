@@ -1,6 +1,9 @@
 """Operators on tables of their own: tables that are replaced, jobs in a row, reports, running maxima, large row numbers."""
 
+import os
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,9 +11,9 @@ from pyspark.sql import functions as F
 from concilia.functions import cells as V
 from concilia.operators import agenda as G
 from concilia.operators import relational as R
-from concilia.operators import report, runner
+from concilia.operators import report, runner, stage
 from concilia.operators import steps as S
-from concilia.plans import agenda, flagship
+from concilia.plans import agenda, catalog, flagship
 from concilia.sources.catalog import Catalogs
 from concilia.sources.sinks import Table
 
@@ -154,3 +157,53 @@ def test_numbers_in_plain_digits(spark):
     told = {k: duckdb.execute(f"SELECT {D.number_text('x')} FROM (SELECT CAST(? AS DOUBLE) AS x)", [x]).fetchone()[0] for k, x in rows}
     assert got == told
     assert [r.t for r in df.where("x = 1e0 / 1013").select(V.shown(F.col("x").cast("variant")).alias("t")).collect()] == ["0.0009871668311944718"]
+
+
+def shuffle_bytes(spark):
+    """Bytes of each shuffle file on this machine's disk."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {name: os.path.getsize(f"{d}/{name}") for top in folders for d, _, names in os.walk(top) for name in names if re.match(r"shuffle_.*\.data$", name)}
+
+
+def steps(spark):
+    return set(os.listdir(stage.folder(spark.range(1)).removeprefix("file:")))
+
+
+def left_on_disk(spark, job):
+    """What job() returns, the folders of steps that it leaves, and the bytes of shuffle files."""
+    shuffles, folders = shuffle_bytes(spark), steps(spark)
+    out = job()
+    for _ in range(50):  # shuffle files are removed in the background
+        left = sum(n for name, n in shuffle_bytes(spark).items() if name not in shuffles)
+        if not left:
+            break
+        time.sleep(0.1)
+    return out, steps(spark) - folders, left
+
+
+def test_steps_are_small_and_leave_no_shuffle_files(spark):
+    df = spark.range(60_000).repartition(4, "id").select("id", F.concat(F.lit("a cell that is often the same "), F.col("id") % 7).alias("t"), *[(F.col("id") % k).alias(f"c{k}") for k in range(2, 22)])
+    kept, new, left = left_on_disk(spark, lambda: stage.cut(df))
+    at = [f"{stage.folder(df).removeprefix('file:')}/{x}" for x in new]
+    assert left == 0 and len(at) == 1
+    assert sum(os.path.getsize(f"{d}/{x}") for top in at for d, _, names in os.walk(top) for x in names) < 60_000 * 40  # 22 columns take 240 bytes a row as rows
+    assert rows(kept) == rows(df) and kept.rdd.getNumPartitions() <= 4
+
+
+def test_steps_of_a_step_go_with_it(spark):
+    df = spark.range(1000).withColumn("n", F.col("id") % 7)
+    inner = lambda: stage.cut(stage.cut(df).groupBy("n").agg(F.sum("id").alias("s")))
+    out, new, left = left_on_disk(spark, lambda: stage.settled(lambda: stage.settled(inner).unionByName(inner())))
+    assert len(new) == 1 and left == 0 and rows(out) == sorted([(k, sum(range(k, 1000, 7))) for k in range(7)] * 2, key=repr)
+
+
+#: Steps that a query leaves for its last one, which its caller runs; before, it left all that it had written, and its shuffle files.
+LEAVES = {
+    "full_pipeline": 3,  # the source, the base, the two tables that met
+}
+
+
+@pytest.mark.parametrize("name", sorted(LEAVES))
+def test_queries_leave_few_steps(spark, name):
+    _, new, left = left_on_disk(spark, lambda: catalog.QUERIES[name](spark, SF))
+    assert len(new) <= LEAVES[name] and left == 0
