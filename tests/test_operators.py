@@ -200,6 +200,7 @@ def test_steps_of_a_step_go_with_it(spark):
 #: Steps that a query leaves for its last one, which its caller runs; before, it left all that it had written, and its shuffle files.
 LEAVES = {
     "full_pipeline": 3,  # the source, the base, the two tables that met
+    "pipeline_log": 3,
 }
 
 
