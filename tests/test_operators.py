@@ -201,6 +201,7 @@ def test_steps_of_a_step_go_with_it(spark):
 LEAVES = {
     "full_pipeline": 3,  # the source, the base, the two tables that met
     "pipeline_log": 3,
+    "pipeline_tables": 3,
 }
 
 
