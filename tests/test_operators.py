@@ -202,6 +202,7 @@ LEAVES = {
     "full_pipeline": 3,  # the source, the base, the two tables that met
     "pipeline_log": 3,
     "pipeline_tables": 3,
+    "pipeline_base": 2,
 }
 
 
