@@ -8,7 +8,7 @@ from ..functions import scalars as X
 from ..operators import report as B
 from ..operators import runner
 from ..operators import steps as S
-from ..operators.stage import cut
+from ..operators.stage import cut, settled
 from ..sources.catalog import Catalogs
 from . import dialect as D
 from . import flagship as L
@@ -115,7 +115,7 @@ def backfill_b2(spark, d):
 def backfill_base(spark, d):
     """The base with the age bands of B2's last row of a key, by effective person, neighbourhood and date."""
     run = L.Run(spark, d)
-    b2 = cut(S.effective_b2(_manual(run.named[1]).drop("key"), L.AS_OF))
+    b2 = settled(lambda: S.effective_b2(_manual(run.b2()).drop("key"), L.AS_OF))
     return S.ages_into_base(run.before, b2).drop("key")
 
 

@@ -203,6 +203,7 @@ LEAVES = {
     "pipeline_log": 3,
     "pipeline_tables": 3,
     "pipeline_base": 2,
+    "backfill_base": 3,
 }
 
 
