@@ -204,6 +204,7 @@ LEAVES = {
     "pipeline_tables": 3,
     "pipeline_base": 2,
     "backfill_base": 3,
+    "pipeline_b2": 3,
 }
 
 
