@@ -82,10 +82,14 @@ def jobs() -> list[runner.Job]:
 
 def upsert_counters(spark, d):
     """contador, n: what the upsert took and left out, by cause, counted while its tables are written."""
-    run = L.Run(spark, d)
-    _, said = runner.run(jobs(), {"a2": run.named[0], "b2": run.named[1], "base": run.before}, lambda name, df: cut(df))
-    rows = [(k, int(v)) for job in said.values() for k, v in job.items() if k != "seconds"]
-    return spark.createDataFrame(rows, "contador string, n long")
+
+    def counted():
+        run = L.Run(spark, d)
+        _, said = runner.run(jobs(), {"a2": run.named[0], "b2": run.named[1], "base": run.before}, lambda name, df: cut(df))
+        rows = [(k, int(v)) for job in said.values() for k, v in job.items() if k != "seconds"]
+        return spark.createDataFrame(rows, "contador string, n long")
+
+    return settled(counted)
 
 
 _BLANK = lambda x: f"{D.clean(x)} = ''"

@@ -205,6 +205,7 @@ LEAVES = {
     "pipeline_base": 2,
     "backfill_base": 3,
     "pipeline_b2": 3,
+    "upsert_counters": 1,
 }
 
 
