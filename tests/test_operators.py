@@ -206,6 +206,7 @@ LEAVES = {
     "backfill_base": 3,
     "pipeline_b2": 3,
     "upsert_counters": 1,
+    "pipeline_user": 3,
 }
 
 
