@@ -207,6 +207,7 @@ LEAVES = {
     "pipeline_b2": 3,
     "upsert_counters": 1,
     "pipeline_user": 3,
+    "fill_only_base": 4,
 }
 
 
