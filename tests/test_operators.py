@@ -208,6 +208,7 @@ LEAVES = {
     "upsert_counters": 1,
     "pipeline_user": 3,
     "fill_only_base": 4,
+    "pipeline_a2": 2,
 }
 
 
